@@ -1 +1,207 @@
+"""Training, search, curves, backtests and stream scoring on applications.
 
+Fitted trees have no SQL twin, so most of these are checked by the property tests; sizes of the
+fits are kept small here and come from the caller in real runs.
+"""
+
+from __future__ import annotations
+
+import uuid
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from sievepoint.catalog.quality import AS_OF
+from sievepoint.catalog.registry import (APPLICATION_COLUMNS, applications, area_codes, ip_ranges, query, table)
+from sievepoint.functions import temporal as D
+from sievepoint.models import classifiers as C, training as T
+from sievepoint.operators import reports as R, splits as X
+from sievepoint.plans import scoring as P, state as S
+from sievepoint.plans.features import FeatureOptions
+from sievepoint.runtime import materialize, state_dir
+from sievepoint.streaming.scoring import score_stream
+
+FEATURES = ["app_duration", "submit_hour", "submit_wday", "user_no", "score", "college_count"]
+FEW_TREES = {"n_estimators": 4, "max_depth": 3, "colsample_bytree": 0.5, "colsample_bylevel": 0.7}
+OPTIONS = FeatureOptions(as_of=AS_OF)
+DECLARED_TEXT = {c for c, e in APPLICATION_COLUMNS.items() if "CASE" in e or "concat" in e}
+
+
+def model_rows(spark, sf):
+    """Assembled applications whose label follows score and duration, with some noise."""
+    rows = applications(spark, sf, "app_id", "college_id", "tstmp_create", "tstmp_submit", "fraud_score", "college_count")
+    rows = rows.select(
+        "app_id", "college_id", "tstmp_submit",
+        D.seconds_between(F.col("tstmp_create"), F.col("tstmp_submit")).alias("app_duration"),
+        F.hour("tstmp_submit").alias("submit_hour"), D.monday_weekday(F.col("tstmp_submit")).alias("submit_wday"),
+        (F.col("app_id") % 13).alias("user_no"), F.col("fraud_score").alias("score"), "college_count",
+        ((F.coalesce("fraud_score", F.lit(0.0)) > 0.45) ^ (F.col("app_id") % 17 == 0)).alias("y"))
+    return C.assemble(rows, FEATURES, ("app_id", "college_id", "tstmp_submit"), "y")
+
+
+def _prepared(spark, sf):
+    return materialize(model_rows(spark, sf))
+
+
+@query("boosted_tree_training")
+def boosted_tree_training(spark, sf):
+    rows = X.split_random(_prepared(spark, sf), "app_id", 0.2, "label")
+    return T.train(rows, "boosted_trees", FEW_TREES)[2]
+
+
+@query("out_of_fold_scores")
+def out_of_fold_scores(spark, sf):
+    rows = materialize(X.kfold(_prepared(spark, sf), "app_id", 3))
+    return T.out_of_fold(rows, "boosted_trees", FEW_TREES, folds=3).select("app_id", "fold", "label", "prob")
+
+
+@query("classifier_kinds")
+def classifier_kinds(spark, sf):
+    """One holdout quality row per classifier kind."""
+    rows = materialize(X.split_random(_prepared(spark, sf), "app_id", 0.2, "label"))
+    small = {"random_forest": {"n_estimators": 5}, "logistic": {"maxIter": 10}, "gradient_boosting": {"n_estimators": 3}}
+    out = []
+    for kind in ("random_forest", "gradient_boosting", "logistic", "decision_tree", "gaussian_nb"):
+        result = T.train(rows, kind, small.get(kind), retrain=False)[2]
+        out.append(result.withColumn("kind", F.lit(kind)))
+    from sievepoint.operators.lookup import union_rows
+    return union_rows(*out)
+
+
+_GAUSS = """
+WITH r AS (SELECT app_id, user_id AS a, value AS b, CAST(value > 60 AS INT) AS y FROM (SELECT event_id AS app_id, * FROM events)),
+e AS (SELECT 1e-9 * greatest(var_pop(a), var_pop(b)) AS eps FROM r),
+g AS (SELECT y, ln((count(*))::DOUBLE / (SELECT count(*) FROM r)) AS prior, avg(a) AS ma, var_pop(a) + (SELECT eps FROM e) AS va,
+             avg(b) AS mb, var_pop(b) + (SELECT eps FROM e) AS vb FROM r GROUP BY y),
+l AS (SELECT app_id, g.y AS k, prior - 0.5 * (ln(2 * pi() * va) + ln(2 * pi() * vb)) - (a - ma) * (a - ma) / (2 * va) - (b - mb) * (b - mb) / (2 * vb) AS s
+      FROM r, g)
+SELECT app_id, round(1 / (1 + exp(max(s) FILTER (k = 0) - max(s) FILTER (k = 1))), 6) AS prob FROM l GROUP BY app_id"""
+
+
+@query("gaussian_bayes_scores", _GAUSS)
+def gaussian_bayes_scores(spark, sf):
+    rows = table(spark, sf, "events").select(F.col("event_id").alias("app_id"), "user_id", "value", (F.col("value") > 60).alias("y"))
+    rows = materialize(C.assemble(rows, ["user_id", "value"], ("app_id",), "y"))
+    _, scored = T.fit_score(rows, rows, "gaussian_nb")
+    return scored.select("app_id", F.round("prob", 6).alias("prob"))
+
+
+@query("parameter_grid_search")
+def parameter_grid_search(spark, sf):
+    rows = materialize(X.kfold(_prepared(spark, sf), "app_id", 2))
+    return T.search(rows, "decision_tree", {"max_depth": [1, 2], "min_samples_leaf": [1, 50]}, folds=2)[2]
+
+
+@query("random_parameter_search")
+def random_parameter_search(spark, sf):
+    rows = materialize(X.kfold(_prepared(spark, sf), "app_id", 2))
+    return T.search(rows, "decision_tree", {"max_depth": [1, 2, 3], "min_samples_leaf": [1, 50]}, folds=2, n_iter=3)[2]
+
+
+@query("blended_predictions")
+def blended_predictions(spark, sf):
+    rows = _prepared(spark, sf)
+    model = C.make_classifier("decision_tree").fit(rows)
+    return C.predict(rows.withColumn("y_rule", (F.col("app_id") % 10 == 0).cast("int")), model)
+
+
+@query("feature_importances")
+def feature_importances(spark, sf):
+    model = C.make_classifier("boosted_trees", FEW_TREES).fit(_prepared(spark, sf))
+    return C.importance(spark, model, FEATURES, 5)
+
+
+@query("coefficient_importances")
+def coefficient_importances(spark, sf):
+    model = C.make_classifier("logistic", {"maxIter": 10}).fit(_prepared(spark, sf))
+    return C.importance(spark, model, FEATURES, 5)
+
+
+@query("learning_curve_scores")
+def learning_curve_scores(spark, sf):
+    return T.learning_curve(_prepared(spark, sf), "decision_tree", {"max_depth": 2}, shares=(0.1, 1.0), repeats=2)
+
+
+@query("validation_curve_scores")
+def validation_curve_scores(spark, sf):
+    rows = materialize(X.kfold(_prepared(spark, sf), "app_id", 2))
+    return T.validation_curve(rows, "decision_tree", "max_depth", [1, 3], folds=2)
+
+
+@query("unshuffled_fold_predictions")
+def unshuffled_fold_predictions(spark, sf):
+    return T.cross_predict(_prepared(spark, sf), "logistic", {"maxIter": 5}, k=5).select("app_id", "fold", "prob", "predicted")
+
+
+@query("repeated_holdout_quality")
+def repeated_holdout_quality(spark, sf):
+    return T.repeated_holdout(_prepared(spark, sf), "random_forest", {"n_estimators": 3, "max_depth": 3}, repeats=2)
+
+
+@query("progressive_chunk_quality")
+def progressive_chunk_quality(spark, sf):
+    return T.progressive(_prepared(spark, sf), "decision_tree", 4, {"max_depth": 3})
+
+
+@query("time_and_college_backtest")
+def time_and_college_backtest(spark, sf):
+    """History rows over two time splits and one split inside colleges."""
+    rows = _prepared(spark, sf)
+    splits = {f"until_{day}": rows.withColumn("is_train", F.col("tstmp_submit") < F.lit(datetime(2024, 1, day))) for day in (10, 20)}
+    splits["college_80"] = X.split_chronological(rows, "college_id", "tstmp_submit", "app_id", 0.8)
+    return T.backtest(splits, "decision_tree", FEATURES, {"max_depth": 3})
+
+
+def _lookups(spark, sf):
+    return {"area_codes": area_codes(spark, sf), "ip_ranges": ip_ranges(spark, sf)}
+
+
+def fitted(spark, sf, path, version=1):
+    """Fit ranks, codes and a small model on all applications and publish them under ``path``."""
+    assembled, state, features = P.prepare_training(
+        applications(spark, sf).drop("fraud_status"), OPTIONS, _lookups(spark, sf), DECLARED_TEXT)
+    rows = materialize(assembled)
+    model = C.make_classifier("decision_tree", {"max_depth": 4, "maxBins": 64}).fit(rows)
+    S.publish(spark, path, version, {k: state[k] for k in ("ranks", "codes")}, features, model)
+    return S.load(spark, path)
+
+
+@query("scored_applications")
+def scored_applications(spark, sf):
+    """Train on applications, publish the state, and score all of them with it."""
+    state = fitted(spark, sf, f"{state_dir(spark)}/sievepoint/{uuid.uuid4().hex}")
+    return P.score(applications(spark, sf).drop("fraud_status"), OPTIONS, state, _lookups(spark, sf), DECLARED_TEXT)
+
+
+@query("replayed_evaluation")
+def replayed_evaluation(spark, sf):
+    state = fitted(spark, sf, f"{state_dir(spark)}/sievepoint/{uuid.uuid4().hex}")
+    return P.replay(applications(spark, sf).drop("fraud_status"), OPTIONS, state, _lookups(spark, sf), DECLARED_TEXT)
+
+
+def _stream(spark, sf):
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    from sievepoint.catalog.registry import _SPARK_TIMES
+    schema = spark.read.parquet(f"{sf}/events.parquet").schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    return events.selectExpr(*(f"{e} AS {c}" for c, e in {**APPLICATION_COLUMNS, **_SPARK_TIMES}.items()))
+
+
+def run_stream(spark, sf, bypass=False):
+    base = f"{state_dir(spark)}/sievepoint/{uuid.uuid4().hex}"
+    if not bypass:
+        fitted(spark, sf, f"{base}/state")
+    job = score_stream(_stream(spark, sf).drop("fraud_status"), f"{base}/state", f"{base}/out", f"{base}/progress", OPTIONS,
+                       _lookups(spark, sf), DECLARED_TEXT, bypass=bypass, trigger={"availableNow": True})
+    job.awaitTermination()
+    return spark.read.parquet(f"{base}/out").drop("batch")
+
+
+@query("stream_scored_applications")
+def stream_scored_applications(spark, sf):
+    return run_stream(spark, sf)
+
+
+@query("bypassed_stream", "SELECT app_id, 0.0::DOUBLE AS pred_fraud_prob, CAST(0 AS INT) AS pred_fraud FROM applications")
+def bypassed_stream(spark, sf):
+    return run_stream(spark, sf, bypass=True)
