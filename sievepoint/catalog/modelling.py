@@ -35,7 +35,7 @@ def model_rows(spark, sf):
         D.seconds_between(F.col("tstmp_create"), F.col("tstmp_submit")).alias("app_duration"),
         F.hour("tstmp_submit").alias("submit_hour"), D.monday_weekday(F.col("tstmp_submit")).alias("submit_wday"),
         (F.col("app_id") % 13).alias("user_no"), F.col("fraud_score").alias("score"), "college_count",
-        ((F.coalesce("fraud_score", F.lit(0.0)) > 0.45) ^ (F.col("app_id") % 17 == 0)).alias("y"))
+        ((F.coalesce("fraud_score", F.lit(0.0)) > 0.45) != (F.col("app_id") % 17 == 0)).alias("y"))
     return C.assemble(rows, FEATURES, ("app_id", "college_id", "tstmp_submit"), "y")
 
 

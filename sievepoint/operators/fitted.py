@@ -6,13 +6,18 @@ are fitted in one shuffle through the long form (feature, value, count).
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sievepoint.constants import RANK_SHARE
 from sievepoint.functions.hashing import md5_mod
 from sievepoint.operators.lookup import lookup_join
 from sievepoint.operators.ordered import group_index
-from sievepoint.runtime import fits_broadcast, materialize
+from sievepoint.runtime import materialize
+
+# A column with no more fitted values than this is looked up in a constant map.
+LITERAL_VALUES = 64
 
 
 def long_form(df: DataFrame, columns: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
@@ -27,23 +32,31 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     return long_form(df, columns).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _feature_rows(state: DataFrame, column: str, *values: str) -> DataFrame:
-    return state.filter(F.col("feature") == column).select(F.col("value").alias("_v"), *values)
-
-
-def _look_up(df: DataFrame, state: DataFrame, columns: list[str], values: list[str], pick) -> DataFrame:
-    """Look each column up in its slice of ``state``; ``pick(column)`` builds the new column.
+def _look_up(df: DataFrame, state: DataFrame, columns: list[str], value: str, pick) -> DataFrame:
+    """Look each column up in its slice of ``state``; ``pick(column, found)`` builds the new column.
 
-    While the whole table is of broadcast size every slice is broadcast, so all columns share one
-    stage with no shuffle; the size is measured once, not per column.
+    A column with at most ``LITERAL_VALUES`` fitted values becomes one constant map, so any number of
+    such columns cost one projection. The others are joined, broadcast while their slice is of
+    broadcast size.
     """
-    small = fits_broadcast(state)
-    for c in columns:
-        part = _feature_rows(state, c, *values)
-        keyed = df.withColumn("_v", F.col(c).cast("string"))
-        df = keyed.join(F.broadcast(part), "_v", "left") if small else lookup_join(keyed, part, ["_v"])
-        df = df.withColumn(*pick(c)).drop("_v", *values)
-    return df
+    sizes = {r.feature: r["count"] for r in state.groupBy("feature").count().collect()}
+    few = [c for c in columns if sizes.get(c, 0) <= LITERAL_VALUES]
+    known: dict[str, dict] = {c: {} for c in few}
+    # At most LITERAL_VALUES rows per column.
+    for r in state.filter(F.col("feature").isin(few)).select("feature", "value", value).collect():
+        known[r.feature][r.value] = r[value]
+    kind = state.schema[value].dataType.simpleString()
+    found = {c: F.try_element_at(F.from_json(F.lit(json.dumps(known[c])), f"map<string,{kind}>"),
+                                 F.col(c).cast("string")) for c in few}
+    out = df
+    for i, c in enumerate(c for c in columns if c not in known):
+        part = state.filter(F.col("feature") == c).select(
+            F.col("value").alias(f"_v{i}"), F.col(value).alias(f"_found{i}"))
+        out = lookup_join(out.withColumn(f"_v{i}", F.col(c).cast("string")), part, [f"_v{i}"])
+        found[c] = F.col(f"_found{i}")
+    picked = dict(pick(c, found[c]) for c in columns)
+    fresh = [picked[n].alias(n) for n in picked if n not in df.columns]
+    return out.select(*(picked[c].alias(c) if c in picked else F.col(c) for c in df.columns), *fresh)
 
 
 def fit_rank(df: DataFrame, columns: list[str], share: float = RANK_SHARE) -> DataFrame:
@@ -65,11 +78,10 @@ def fit_rank(df: DataFrame, columns: list[str], share: float = RANK_SHARE) -> Da
 def apply_rank(df: DataFrame, state: DataFrame, columns: list[str]) -> DataFrame:
     """Add ``<column>_rank``; an unranked value gets the list length, NULL stays NULL."""
     lengths = {r.feature: r["rank"] for r in state.filter(F.col("value").isNull()).collect()}
-    ranks = state.filter(F.col("value").isNotNull()).select("feature", "value", F.col("rank").alias("_r"))
 
-    def pick(c: str):
-        return f"{c}_rank", F.when(F.col(c).isNotNull(), F.coalesce("_r", F.lit(lengths.get(c, 0))))
-    return _look_up(df, ranks, columns, ["_r"], pick)
+    def pick(c: str, found: Column):
+        return f"{c}_rank", F.when(F.col(c).isNotNull(), F.coalesce(found, F.lit(lengths.get(c, 0))))
+    return _look_up(df, state.filter(F.col("value").isNotNull()), columns, "rank", pick)
 
 
 def fit_common(df: DataFrame, columns: list[str], thresh: int = 10) -> DataFrame:
@@ -81,11 +93,10 @@ def fit_common(df: DataFrame, columns: list[str], thresh: int = 10) -> DataFrame
 def collapse_rare(df: DataFrame, state: DataFrame, columns: list[str], other: str = "Other") -> DataFrame:
     """Lower-case the columns and replace values outside the fitted table by ``other``."""
     lowered = df.select(*(F.lower(c).alias(c) if c in columns else F.col(c) for c in df.columns))
-    common = state.select("feature", "value", F.lit(True).alias("_common"))
 
-    def pick(c: str):
-        return c, F.when(F.col(c).isNull() | F.col("_common"), F.col(c)).otherwise(F.lit(other))
-    return _look_up(lowered, common, columns, ["_common"], pick).select(*df.columns)
+    def pick(c: str, found: Column):
+        return c, F.when(F.col(c).isNull() | found.isNotNull(), F.col(c)).otherwise(F.lit(other))
+    return _look_up(lowered, state, columns, "n", pick)
 
 
 def fit_codes(df: DataFrame, columns: list[str], key: str) -> DataFrame:
@@ -98,9 +109,7 @@ def fit_codes(df: DataFrame, columns: list[str], key: str) -> DataFrame:
 
 def apply_codes(df: DataFrame, state: DataFrame, columns: list[str]) -> DataFrame:
     """Replace values by their codes; unseen and NULL are -1."""
-    codes = state.select("feature", "value", F.col("code").alias("_code"))
-    pick = lambda c: (c, F.coalesce("_code", F.lit(-1)))
-    return _look_up(df, codes, columns, ["_code"], pick).select(*df.columns)
+    return _look_up(df, state, columns, "code", lambda c, found: (c, F.coalesce(found, F.lit(-1))))
 
 
 def fit_scale(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -12,11 +12,21 @@ from sievepoint.runtime import materialize
 METRIC_LINE = r"\[(.*): (.*): (.* .*)\] INFO: run_metrics: (.*) - (.*)"
 LIST_LINE = r"\[(.*): (.*): (.* .*)\] INFO: run_metrics: (feature_importances): (.*)"
 SPAN_LINE = r"\[(.*): (.*): (.* .*)\] INFO: Function (.*)"
+METRIC_MARK, SPAN_MARK = "] INFO: run_metrics: ", "] INFO: Function "
 STAMP = "yyyy-MM-dd HH:mm:ss,SSS"
 PREFIXED = {"model_params": "", "train_performance": "train_", "test_performance": "test_"}
 LISTED = "feature_importances"
 
 
+_CUT = "\x01"
+
+
+def _groups(line: Column, pattern: str, n: int) -> Column:
+    """All groups of the leftmost match from one pass of the pattern; NULL when there is none."""
+    marked = F.regexp_replace(line, f"^.*?{pattern}.*$", _CUT.join(f"${i}" for i in range(1, n + 1)))
+    return F.when(marked.contains(_CUT), F.split(marked, _CUT))
+
+
 def _as_json(literal: Column) -> Column:
     """Python literals to JSON words, before any lower-casing."""
     text = F.regexp_replace(literal, r"\bTrue\b", "true")
@@ -30,11 +40,10 @@ def run_metrics(lines: DataFrame) -> DataFrame:
     Of equal names in one run the last line wins.
     """
     raw = F.col("line")
-    plain = raw.rlike(METRIC_LINE)
-    name = F.lower(F.when(plain, F.regexp_extract(raw, METRIC_LINE, 4)).otherwise(F.lit(LISTED)))
-    value = F.when(plain, F.regexp_extract(raw, METRIC_LINE, 5)).otherwise(F.regexp_extract(raw, LIST_LINE, 5))
-    found = (lines.filter(plain | raw.rlike(LIST_LINE))
-             .select("run", "pos", name.alias("name"), value.alias("value")))
+    groups = F.coalesce(_groups(raw, METRIC_LINE, 5), _groups(raw, LIST_LINE, 5))
+    found = (lines.filter(raw.contains(METRIC_MARK)).select("run", "pos", groups.alias("_m"))
+             .filter(F.col("_m").isNotNull())
+             .select("run", "pos", F.lower(F.col("_m")[3]).alias("name"), F.col("_m")[4].alias("value")))
     pairs = F.map_entries(F.from_json(_as_json(F.col("value")), "map<string,string>"))
     prefix = F.lit("")
     for metric, text in PREFIXED.items():
@@ -58,17 +67,19 @@ def metrics_json(metrics: DataFrame) -> DataFrame:
 
 
 def _span_events(lines: DataFrame) -> DataFrame:
-    part = lambda i: F.regexp_extract("line", SPAN_LINE, i)
-    return (lines.filter(F.col("line").rlike(SPAN_LINE))
-            .select("run", "pos", part(1).alias("module"), part(2).alias("func"),
-                    F.try_to_timestamp(part(3), F.lit(STAMP)).alias("ts"), part(4).alias("state")))
+    m = F.col("_m")
+    return (lines.filter(F.col("line").contains(SPAN_MARK))
+            .select("run", "pos", _groups(F.col("line"), SPAN_LINE, 4).alias("_m")).filter(m.isNotNull())
+            .select("run", "pos", m[0].alias("module"), m[1].alias("func"),
+                    F.try_to_timestamp(m[2], F.lit(STAMP)).alias("ts"), m[3].alias("state")))
 
 
 def spans(lines: DataFrame) -> DataFrame:
     """Every span event with its nesting level, its duration at the end, and the time since the
     first event of the run. Times are in seconds; a start has no duration.
     """
-    events = _span_events(lines)
+    # Range sampling and the two ordered passes read the events again, so they are parsed once.
+    events = materialize(_span_events(lines))
     step = F.when(F.col("state") == "Start", 1).otherwise(-1)
     deep = running_total(events, [F.col("pos")], step, "depth", ["run"])
     starts = F.col("state") == "Start"
