@@ -55,7 +55,7 @@ def collated_metric_files(spark, sf):
     """Metric rows to one JSON object per run, and the objects back to one table."""
     path = f"{state_dir(spark)}/sievepoint/{uuid.uuid4().hex}"
     W.write_metrics_json(G.run_metrics(metric_lines(spark, sf)), path)
-    found = spark.read.json(path)
+    found = S.collate_metrics(spark, path, one_per_file=False)
     return found.select("etl_duration", "max_depth", F.col("`model_type - kind`").alias("kind"))
 
 

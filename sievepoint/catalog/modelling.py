@@ -68,22 +68,107 @@ def classifier_kinds(spark, sf):
     return union_rows(*out)
 
 
-_GAUSS = """
-WITH r AS (SELECT app_id, user_id AS a, value AS b, CAST(value > 60 AS INT) AS y FROM (SELECT event_id AS app_id, * FROM events)),
-e AS (SELECT 1e-9 * greatest(var_pop(a), var_pop(b)) AS eps FROM r),
-g AS (SELECT y, ln((count(*))::DOUBLE / (SELECT count(*) FROM r)) AS prior, avg(a) AS ma, var_pop(a) + (SELECT eps FROM e) AS va,
-             avg(b) AS mb, var_pop(b) + (SELECT eps FROM e) AS vb FROM r GROUP BY y),
-l AS (SELECT app_id, g.y AS k, prior - 0.5 * (ln(2 * pi() * va) + ln(2 * pi() * vb)) - (a - ma) * (a - ma) / (2 * va) - (b - mb) * (b - mb) / (2 * vb) AS s
-      FROM r, g)
-SELECT app_id, round(1 / (1 + exp(max(s) FILTER (k = 0) - max(s) FILTER (k = 1))), 6) AS prob FROM l GROUP BY app_id"""
+def bayes_sql(rows: str) -> str:
+    """Gaussian Bayes in SQL: ``rows`` defines r(id, split, is_train, a, b, y); adds scored(id, split, y, prob)."""
+    return f"""
+WITH {rows},
+e AS (SELECT split, 1e-9 * greatest(var_pop(a), var_pop(b)) AS eps FROM r WHERE is_train GROUP BY split),
+g AS (SELECT split, y, ln(count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY split)) AS prior, avg(a) AS ma,
+             var_pop(a) + max(eps) AS va, avg(b) AS mb, var_pop(b) + max(eps) AS vb
+      FROM r JOIN e USING (split) WHERE is_train GROUP BY split, y),
+l AS (SELECT id, r.split, r.y, g.y AS k, prior - 0.5 * (ln(2 * pi() * va) + ln(2 * pi() * vb))
+             - (a - ma) * (a - ma) / (2 * va) - (b - mb) * (b - mb) / (2 * vb) AS s
+      FROM r JOIN g ON r.split = g.split WHERE NOT is_train),
+scored AS (SELECT id, split, any_value(y) AS y, 1 / (1 + exp(max(s) FILTER (k = 0) - max(s) FILTER (k = 1))) AS prob
+           FROM l GROUP BY id, split)
+"""
+
+
+_BAYES = "b0 AS (SELECT event_id AS id, user_id AS a, value AS b, CAST(value + event_id % 40 > 70 AS INT) AS y FROM events)"
+_HASHED = "md5(concat('42:', CAST(id AS STRING)))"
 
 
-@query("gaussian_bayes_scores", _GAUSS)
+def bayes_rows(spark, sf):
+    rows = table(spark, sf, "events").select(
+        F.col("event_id").alias("app_id"), "user_id", "value", (F.col("value") + F.col("event_id") % 40 > 70).alias("y"))
+    return materialize(C.assemble(rows, ["user_id", "value"], ("app_id",), "y"))
+
+
+@query("gaussian_bayes_scores", bayes_sql(f"""{_BAYES},
+q AS (SELECT id, a, b, y, unnest([true, false]) AS is_train FROM b0), r AS (SELECT *, 0 AS split FROM q)""") + """
+SELECT id AS app_id, round(prob, 6) AS prob FROM scored""")
 def gaussian_bayes_scores(spark, sf):
-    rows = table(spark, sf, "events").select(F.col("event_id").alias("app_id"), "user_id", "value", (F.col("value") > 60).alias("y"))
-    rows = materialize(C.assemble(rows, ["user_id", "value"], ("app_id",), "y"))
-    _, scored = T.fit_score(rows, rows, "gaussian_nb")
-    return scored.select("app_id", F.round("prob", 6).alias("prob"))
+    rows = bayes_rows(spark, sf)
+    return T.fit_score(rows, rows, "gaussian_nb")[1].select("app_id", F.round("prob", 6).alias("prob"))
+
+
+_FOLDED = """f AS (SELECT *, CASE WHEN rn < (n % {k}) * (n // {k} + 1) THEN rn // (n // {k} + 1) ELSE (rn - n % {k}) // (n // {k}) END AS fold
+  FROM (SELECT *, row_number() OVER (ORDER BY {order}) - 1 AS rn, count(*) OVER () AS n FROM b0)),
+r AS (SELECT id, a, b, y, t.i AS split, fold <> t.i AS is_train FROM f, range({k}) t(i))"""
+
+
+@query("out_of_fold_bayes_scores", bayes_sql(f"{_BAYES}, {_FOLDED.format(k=3, order=_HASHED)}") + """
+SELECT id AS app_id, CAST(split AS INT) AS fold, round(prob, 6) AS prob FROM scored""")
+def out_of_fold_bayes_scores(spark, sf):
+    rows = materialize(X.kfold(bayes_rows(spark, sf), "app_id", 3))
+    return T.out_of_fold(rows, "gaussian_nb", folds=3).select("app_id", "fold", F.round("prob", 6).alias("prob"))
+
+
+@query("unshuffled_fold_bayes_classes", bayes_sql(f"{_BAYES}, {_FOLDED.format(k=5, order='id')}") + """
+SELECT id AS app_id, CAST(split AS INT) AS fold, CAST(prob >= 0.5 AS INT) AS predicted FROM scored""")
+def unshuffled_fold_bayes_classes(spark, sf):
+    return T.cross_predict(bayes_rows(spark, sf), "gaussian_nb", k=5).select("app_id", "fold", "predicted")
+
+
+_QUALITY = """count(*) FILTER (y = 1 AND p) AS tp, count(*) FILTER (y = 0 AND p) AS fp,
+  count(*) FILTER (y = 1 AND NOT p) AS fn, count(*) FILTER (y = 0 AND NOT p) AS tn"""
+
+
+@query("progressive_bayes_quality", bayes_sql(f"""{_BAYES},
+c AS (SELECT *, (SELECT max(i) FROM range(4) t(i) WHERE i * (n + 1) // 4 <= rn) AS chunk
+      FROM (SELECT *, row_number() OVER (ORDER BY id) - 1 AS rn, count(*) OVER () AS n FROM b0)),
+r AS (SELECT id, a, b, y, t.i AS split, chunk = t.i AS is_train FROM c, range(3) t(i) WHERE chunk IN (t.i, 3))""") + f"""
+SELECT CAST(split AS INT) AS chunk, tp, fp, fn, tn, (tp + tn)::DOUBLE / (tp + fp + fn + tn) AS accuracy
+FROM (SELECT split, {_QUALITY} FROM (SELECT split, y, prob > 0.5 AS p FROM scored) GROUP BY split)""")
+def progressive_bayes_quality(spark, sf):
+    return T.progressive(bayes_rows(spark, sf), "gaussian_nb", 4)
+
+
+_HELD_OUT = f"""{_BAYES}, r AS (SELECT id, a, b, y, 0 AS split, rn > ceil(0.2::DOUBLE * n) AS is_train
+  FROM (SELECT *, row_number() OVER (ORDER BY {_HASHED}) AS rn, count(*) OVER () AS n FROM b0))"""
+
+
+@query("holdout_bayes_evaluation", bayes_sql(_HELD_OUT) + f""",
+o AS (SELECT prob, count(*) FILTER (y = 1) AS pos, count(*) FILTER (y = 0) AS neg FROM scored GROUP BY prob),
+u AS (SELECT pos, neg, sum(neg) OVER (ORDER BY prob) - neg / 2.0::DOUBLE AS below FROM o)
+SELECT round((SELECT sum(pos * below) / (sum(pos)::DOUBLE * sum(neg)::DOUBLE) FROM u), 6) AS auc, tp::DOUBLE / (tp + fn) AS recall,
+       tp::DOUBLE / (tp + fp) AS "precision", (tp + tn)::DOUBLE / (tp + fp + fn + tn) AS accuracy, tp, fp, fn, tn
+FROM (SELECT {_QUALITY} FROM (SELECT y, prob > 0.3 AS p FROM scored))""")
+def holdout_bayes_evaluation(spark, sf):
+    """Train with a random holdout and evaluate it at the scoring threshold."""
+    rows = X.split_random(bayes_rows(spark, sf), "app_id", 0.2)
+    return T.train(rows, "gaussian_nb")[2].withColumn("auc", F.round("auc", 6))
+
+
+@query("repeated_holdout_bayes_quality", bayes_sql(_HELD_OUT) + f"""
+SELECT CAST(tp AS DOUBLE) AS mean_tp, CAST(fp AS DOUBLE) AS mean_fp, CAST(fn AS DOUBLE) AS mean_fn, CAST(tn AS DOUBLE) AS mean_tn,
+       round(2 * tp::DOUBLE / (2 * tp + fp + fn), 9) AS mean_f_beta
+FROM (SELECT {_QUALITY} FROM (SELECT y, prob >= 0.5 AS p FROM scored))""")
+def repeated_holdout_bayes_quality(spark, sf):
+    out = T.repeated_holdout(bayes_rows(spark, sf), "gaussian_nb", repeats=2)
+    return out.select("mean_tp", "mean_fp", "mean_fn", "mean_tn", F.round("mean_f_beta", 9).alias("mean_f_beta"))
+
+
+@query("backtest_bayes_history", bayes_sql(f"""{_BAYES},
+r AS (SELECT id, a, b, y, d AS split, id < d * (SELECT count(*) FROM b0) / 10 AS is_train FROM b0, (SELECT unnest([3, 6]) AS d))""") + f"""
+SELECT concat('until_', CAST(split AS STRING)) AS tag, tp::DOUBLE / (tp + fn) AS "Recall", (tp + tn)::DOUBLE / (tp + fp + fn + tn) AS "Accuracy"
+FROM (SELECT split, {_QUALITY} FROM (SELECT split, y, prob > 0.3 AS p FROM scored) GROUP BY split)""")
+def backtest_bayes_history(spark, sf):
+    rows = bayes_rows(spark, sf)
+    n = rows.count()
+    splits = {f"until_{d}": rows.withColumn("is_train", F.col("app_id") < d * n / 10) for d in (3, 6)}
+    history = T.backtest(splits, "gaussian_nb", ["user_id", "value"])
+    return history.filter("scope = 'test'").select("tag", "Recall", "Accuracy")
 
 
 @query("parameter_grid_search")

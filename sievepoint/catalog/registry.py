@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sievepoint.runtime import spread
+
 QUERIES, ORACLES = {}, {}
 
 # One expression per column, valid in Spark and in ANSI engines alike.
@@ -75,15 +77,18 @@ VIEWS = {
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    naive = {f.name for f in df.schema.fields if f.dataType.typeName() == "timestamp_ntz"}
-    return df.select(*(F.col(c).cast("timestamp").alias(c) if c in naive else F.col(c) for c in df.columns))
+    # Read stamps as timestamps: a cast in the plan would keep their filters out of the scan.
+    spark.conf.set("spark.sql.parquet.inferTimestampNTZ.enabled", "false")
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def applications(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """Applications composed from the event table, with missing and malformed values."""
     rows = {**APPLICATION_COLUMNS, **_SPARK_TIMES}
-    return table(spark, sf_dir, "events").selectExpr(*(f"{rows[c]} AS {c}" for c in (columns or rows)))
+    events = table(spark, sf_dir, "events")
+    if not columns:  # the full feature step is long per row
+        events = spread(events, "event_id")
+    return events.selectExpr(*(f"{rows[c]} AS {c}" for c in (columns or rows)))
 
 
 def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:

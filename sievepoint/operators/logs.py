@@ -8,10 +8,11 @@ from sievepoint.operators.lookup import lookup_join
 from sievepoint.operators.ordered import carry_last, running_total
 from sievepoint.runtime import materialize
 
-# Line formats of the run log.
-METRIC_LINE = r"\[(.*): (.*): (.* .*)\] INFO: run_metrics: (.*) - (.*)"
-LIST_LINE = r"\[(.*): (.*): (.* .*)\] INFO: run_metrics: (feature_importances): (.*)"
-SPAN_LINE = r"\[(.*): (.*): (.* .*)\] INFO: Function (.*)"
+# Line formats of the run log. The header is ``[module: func(): time] LEVEL: ``; its
+# parts hold no colon or bracket, which keeps the match linear in the line length.
+_HEADER = r"\[([^\[\]:]+): ([^\[\]:]+): (\d{4}-\d\d-\d\d \d\d:\d\d:\d\d,\d{3})\] INFO: "
+METRIC_LINE = _HEADER + r"run_metrics: (?:(.*) - (.*)|(feature_importances): (.*))"
+SPAN_LINE = _HEADER + r"Function (.*)"
 METRIC_MARK, SPAN_MARK = "] INFO: run_metrics: ", "] INFO: Function "
 STAMP = "yyyy-MM-dd HH:mm:ss,SSS"
 PREFIXED = {"model_params": "", "train_performance": "train_", "test_performance": "test_"}
@@ -19,12 +20,13 @@ LISTED = "feature_importances"
 
 
 _CUT = "\x01"
+_CELLS = "array<struct<name:string,value:string>>"
 
 
 def _groups(line: Column, pattern: str, n: int) -> Column:
-    """All groups of the leftmost match from one pass of the pattern; NULL when there is none."""
+    """All groups of the leftmost match from one pass of the pattern; one part when there is none."""
     marked = F.regexp_replace(line, f"^.*?{pattern}.*$", _CUT.join(f"${i}" for i in range(1, n + 1)))
-    return F.when(marked.contains(_CUT), F.split(marked, _CUT))
+    return F.split(marked, _CUT)
 
 
 def _as_json(literal: Column) -> Column:
@@ -39,11 +41,12 @@ def run_metrics(lines: DataFrame) -> DataFrame:
 
     Of equal names in one run the last line wins.
     """
-    raw = F.col("line")
-    groups = F.coalesce(_groups(raw, METRIC_LINE, 5), _groups(raw, LIST_LINE, 5))
-    found = (lines.filter(raw.contains(METRIC_MARK)).select("run", "pos", groups.alias("_m"))
-             .filter(F.col("_m").isNotNull())
-             .select("run", "pos", F.lower(F.col("_m")[3]).alias("name"), F.col("_m")[4].alias("value")))
+    raw, m = F.col("line"), F.col("_m")
+    found = (lines.filter(raw.contains(METRIC_MARK))
+             .select("run", "pos", _groups(raw, METRIC_LINE, 7).alias("_m"))
+             .select("run", "pos", (F.size(m) > 1).alias("matched"),
+                     F.lower(F.concat(F.get(m, F.lit(3)), F.get(m, F.lit(5)))).alias("name"),
+                     F.concat(F.get(m, F.lit(4)), F.get(m, F.lit(6))).alias("value")))
     pairs = F.map_entries(F.from_json(_as_json(F.col("value")), "map<string,string>"))
     prefix = F.lit("")
     for metric, text in PREFIXED.items():
@@ -53,7 +56,7 @@ def run_metrics(lines: DataFrame) -> DataFrame:
     items = F.from_json(_as_json(F.col("value")), "array<string>")
     listed = F.transform(items, lambda v, i: cell(F.concat(F.lit("feature_"), i.cast("string")), v))
     single = F.array(cell(F.col("name"), F.col("value")))
-    cells = (F.when(F.col("name").isin(*PREFIXED), flat)
+    cells = (F.when(~F.col("matched"), F.array().cast(_CELLS)).when(F.col("name").isin(*PREFIXED), flat)
              .when(F.col("name") == LISTED, listed).otherwise(single))
     exploded = found.select("run", "pos", F.posexplode(cells).alias("_i", "_c"))
     return (exploded.groupBy("run", F.col("_c.name").alias("name"))
@@ -69,17 +72,19 @@ def metrics_json(metrics: DataFrame) -> DataFrame:
 def _span_events(lines: DataFrame) -> DataFrame:
     m = F.col("_m")
     return (lines.filter(F.col("line").contains(SPAN_MARK))
-            .select("run", "pos", _groups(F.col("line"), SPAN_LINE, 4).alias("_m")).filter(m.isNotNull())
-            .select("run", "pos", m[0].alias("module"), m[1].alias("func"),
-                    F.try_to_timestamp(m[2], F.lit(STAMP)).alias("ts"), m[3].alias("state")))
+            .select("run", "pos", _groups(F.col("line"), SPAN_LINE, 4).alias("_m"))
+            .select("run", "pos", m[0].alias("module"), F.get(m, F.lit(1)).alias("func"),
+                    F.try_to_timestamp(F.get(m, F.lit(2)), F.lit(STAMP)).alias("ts"),
+                    F.get(m, F.lit(3)).alias("state")))
 
 
 def spans(lines: DataFrame) -> DataFrame:
     """Every span event with its nesting level, its duration at the end, and the time since the
     first event of the run. Times are in seconds; a start has no duration.
     """
-    # Range sampling and the two ordered passes read the events again, so they are parsed once.
-    events = materialize(_span_events(lines))
+    # Range sampling and the two ordered passes read the events again, so they are parsed once. A
+    # filter ahead of the write would be pushed down and run the pattern twice.
+    events = materialize(_span_events(lines)).filter(F.col("state").isNotNull())
     step = F.when(F.col("state") == "Start", 1).otherwise(-1)
     deep = running_total(events, [F.col("pos")], step, "depth", ["run"])
     starts = F.col("state") == "Start"

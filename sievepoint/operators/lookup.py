@@ -58,7 +58,9 @@ def in_list(value: Column, words: list[str]) -> Column:
 
 def in_table(rows: DataFrame, value: Column, table: DataFrame, column: str, name: str) -> DataFrame:
     """Membership in a list held as a table: adds Boolean ``name``."""
-    listed = table.select(F.col(column).alias("_member")).distinct().withColumn("_listed", F.lit(True))
+    # Written first: the size check and the join both read it.
+    listed = materialize(table.select(F.col(column).alias("_member")).distinct()
+                         .withColumn("_listed", F.lit(True)))
     return (lookup_join(rows.withColumn("_member", value), listed, ["_member"])
             .withColumn(name, F.coalesce("_listed", F.lit(False)))
             .drop("_member", "_listed"))
@@ -134,6 +136,7 @@ def remainder(df: DataFrame, taken: DataFrame, key: str) -> DataFrame:
 
 def merge_on(rows: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
     """Inner merge of aggregates back to rows; NULL keys meet each other, as in pandas."""
+    stats = materialize(stats)
     right = stats.select(*(F.col(k).alias(f"_r_{k}") for k in keys),
                          *(c for c in stats.columns if c not in keys))
     same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys))

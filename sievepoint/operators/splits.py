@@ -7,6 +7,7 @@ is about n / 65536 rows. Membership is then one comparison per row, and wide row
 
 from __future__ import annotations
 
+import math
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from sievepoint.functions.hashing import normal, order_key, salted_order_key, uniform
 from sievepoint.operators.lookup import lookup_join
 from sievepoint.operators.ordered import group_index, row_index
+from sievepoint.runtime import materialize
 
 PREFIX_DIGITS = 4
 
@@ -202,11 +204,12 @@ def split_chronological(df: DataFrame, group: str, ts: str, key: str, share: flo
     present = df.filter(F.col(group).isNotNull())
     slim = present.select(group, F.col(ts).alias("_t"), F.col(key).alias("_k"))
     placed = group_index(slim, [F.col("_t").asc_nulls_last(), F.col("_k")], [group])
-    sizes = placed.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = materialize(placed.groupBy(group).agg(F.count(F.lit(1)).alias("_n")))
     # The row at 0-based position floor(share * n) - 1 is the last one to train on.
     last = (lookup_join(placed, sizes, [group])
             .filter(F.col("idx") == F.floor(F.lit(share) * F.col("_n")) - 1)
             .select(group, F.struct(F.col("_t").isNull(), "_t", "_k").alias("_cut")))
+    last = materialize(last)
     own = F.struct(F.col(ts).isNull(), F.col(ts), F.col(key))
     return (lookup_join(present, last, [group])
             .withColumn(name, F.coalesce(own <= F.col("_cut"), F.lit(False))).drop("_cut"))
@@ -230,7 +233,6 @@ def noise_label(df: DataFrame, key: str, label: str, ratio: float, seed: int = 0
 
     Drawing ``ratio * n`` rows with replacement leaves a row undrawn with chance ``exp(-ratio)``.
     """
-    import math
     drawn = uniform(F.col(key), seed, "label") < F.lit(1.0 - math.exp(-ratio))
     return df.withColumn(label, F.when(drawn, ~F.col(label)).otherwise(F.col(label)))
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 # A table is broadcast only when both measured bounds hold.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
+JIT_OPTIONS = "-XX:-DontCompileHugeMethods"
 
 
 def build_session(app: str = "sievepoint", master: str | None = None, **conf) -> SparkSession:
@@ -18,6 +19,11 @@ def build_session(app: str = "sievepoint", master: str | None = None, **conf) ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Files without a time zone hold UTC here; as timestamps their filters reach the scan.
+        .config("spark.sql.parquet.inferTimestampNTZ.enabled", "false")
+        # Wide rows generate methods the JVM would otherwise interpret.
+        .config("spark.driver.extraJavaOptions", JIT_OPTIONS)
+        .config("spark.executor.extraJavaOptions", JIT_OPTIONS)
     )
     if master:
         builder = builder.master(master)
@@ -56,6 +62,12 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores on an input of few row groups; an input with enough partitions is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def measured_size(df: DataFrame) -> tuple[int, int]:
     """Rows and approximate payload bytes, as one distributed aggregate."""
     width = F.lit(0).cast("long")
