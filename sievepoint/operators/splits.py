@@ -20,32 +20,34 @@ from sievepoint.runtime import materialize
 PREFIX_DIGITS = 4
 
 
-def _cuts(keys: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Hash at each wanted 1-based position.
+class _Prefixes:
+    """Rows per (stratum, hash prefix), written once: stratum sizes and cuts both come from it.
 
-    ``keys``: (stratum, h). ``wanted``: (stratum, cut, k) with a handful of strata and cuts.
-    Returns (stratum, cuts) with the cut hashes in order.
+    ``keys``: (stratum, h), with few strata, so the table has at most 65536 rows for each.
     """
-    prefixed = keys.withColumn("_p", F.substring("h", 1, PREFIX_DIGITS))
-    through = W.partitionBy("stratum").orderBy("_p").rowsBetween(W.unboundedPreceding, W.currentRow)
-    counts = (prefixed.groupBy("stratum", "_p").agg(F.count(F.lit(1)).alias("_n"))
-              .withColumn("_to", F.sum("_n").over(through))
-              .withColumn("_from", F.col("_to") - F.col("_n")))
-    w = wanted.select(F.col("stratum").alias("_ws"), "cut", "k")
-    aimed = counts.join(
-        F.broadcast(w),
-        F.col("stratum").eqNullSafe(F.col("_ws")) & (F.col("k") > F.col("_from")) & (F.col("k") <= F.col("_to"))
-    ).select(F.col("stratum").alias("_as"), F.col("_p").alias("_ap"), "cut",
-             (F.col("k") - F.col("_from")).alias("_rn"))
-    slots = aimed.select("_as", "_ap").distinct()
-    near = prefixed.join(
-        F.broadcast(slots), F.col("stratum").eqNullSafe(F.col("_as")) & (F.col("_p") == F.col("_ap")))
-    ranked = near.select("stratum", "_p", "h", F.row_number().over(
-        W.partitionBy("stratum", "_p").orderBy("h")).alias("_rank"))
-    hit = ranked.join(
-        F.broadcast(aimed), F.col("stratum").eqNullSafe(F.col("_as")) & (F.col("_p") == F.col("_ap"))
-        & (F.col("_rank") == F.col("_rn")))
-    return hit.groupBy("stratum").agg(F.sort_array(F.collect_list("h")).alias("cuts"))
+
+    def __init__(self, keys: DataFrame):
+        self.keys = keys.withColumn("_p", F.substring("h", 1, PREFIX_DIGITS))
+        self.counts = materialize(self.keys.groupBy("stratum", "_p").agg(F.count(F.lit(1)).alias("_n")))
+        self.sizes = self.counts.groupBy("stratum").agg(F.sum("_n").alias("n"))
+
+    def cuts(self, wanted: DataFrame) -> DataFrame:
+        """(stratum, cuts): the hashes at the wanted 1-based positions (stratum, cut, k), in order."""
+        through = W.partitionBy("stratum").orderBy("_p").rowsBetween(W.unboundedPreceding, W.currentRow)
+        reach = (self.counts.withColumn("_to", F.sum("_n").over(through))
+                 .withColumn("_from", F.col("_to") - F.col("_n")))
+        w = wanted.select(F.col("stratum").alias("_ws"), "cut", "k")
+        same = F.col("stratum").eqNullSafe(F.col("_ws"))
+        # One row per stratum and cut.
+        aimed = materialize(reach.join(
+            F.broadcast(w), same & (F.col("k") > F.col("_from")) & (F.col("k") <= F.col("_to"))).select(
+            F.col("stratum").alias("_as"), F.col("_p").alias("_ap"), "cut", (F.col("k") - F.col("_from")).alias("_rn")))
+        here = F.col("stratum").eqNullSafe(F.col("_as")) & (F.col("_p") == F.col("_ap"))
+        near = self.keys.join(F.broadcast(aimed.select("_as", "_ap").distinct()), here)
+        ranked = near.select("stratum", "_p", "h", F.row_number().over(
+            W.partitionBy("stratum", "_p").orderBy("h")).cast("long").alias("_rank"))
+        hit = ranked.join(F.broadcast(aimed), here & (F.col("_rank") == F.col("_rn")))
+        return materialize(hit.groupBy("stratum").agg(F.sort_array(F.collect_list("h")).alias("cuts")))
 
 
 def _with_cuts(df: DataFrame, stratum: Column, cuts: DataFrame) -> DataFrame:
@@ -77,20 +79,25 @@ def split_random(df: DataFrame, key: str, share: float, label: str | None = None
         return df.withColumn(name, F.lit(False))
     stratum = F.col(label) if label else F.lit(0)
     keys = df.select(stratum.alias("stratum"), order_key(F.col(key), seed).alias("h"))
-    sizes = keys.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"))
-    cuts = _cuts(keys, _quotas(sizes, share))
+    prefixes = _Prefixes(keys)
+    cuts = prefixes.cuts(_quotas(prefixes.sizes, share))
     hashed = order_key(F.col(key), seed)
     return (_with_cuts(df, stratum, cuts)
             .withColumn(name, F.coalesce(hashed <= F.col("_cuts")[0], F.lit(False))).drop("_cuts"))
 
 
+def _share_cuts(keys: DataFrame, position) -> DataFrame:
+    prefixes = _Prefixes(keys)
+    return prefixes.cuts(prefixes.sizes.select("stratum", F.lit(0).alias("cut"), position(F.col("n")).alias("k")))
+
+
 def _fold_cuts(keys: DataFrame, k: int) -> DataFrame:
-    sizes = keys.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"))
+    prefixes = _Prefixes(keys)
     fold = F.explode(F.sequence(F.lit(1), F.lit(k - 1)))
-    wanted = sizes.withColumn("cut", fold).select(
+    wanted = prefixes.sizes.withColumn("cut", fold).select(
         "stratum", "cut", (F.col("cut") * F.floor(F.col("n") / k)
                            + F.least(F.col("cut"), F.col("n") % k)).alias("k"))
-    return _cuts(keys, wanted)
+    return prefixes.cuts(wanted)
 
 
 def _below(cuts: Column, h: Column) -> Column:
@@ -120,8 +127,7 @@ def split_by_value(df: DataFrame, column: str, share: float, seed: int = 42,
     if share == 0:
         return df.withColumn(name, F.lit(False))
     keys = _value_keys(df, column, seed)
-    sizes = keys.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"))
-    cuts = _cuts(keys, sizes.select("stratum", F.lit(0).alias("cut"), F.ceil(F.lit(share) * F.col("n")).alias("k")))
+    cuts = _share_cuts(keys, lambda n: F.ceil(F.lit(share) * n))
     hashed = order_key(_value_text(column), seed)
     return (_with_cuts(df, F.lit(0), cuts)
             .withColumn(name, F.coalesce(hashed <= F.col("_cuts")[0], F.lit(False))).drop("_cuts"))
@@ -142,10 +148,8 @@ def simple_sample(df: DataFrame, key: str, share: float = 0.995, seed: int = 42,
                   name: str = "in_sample") -> DataFrame:
     """Mark ``round(share * n)`` rows; the unmarked rows are the remainder."""
     keys = df.select(F.lit(0).alias("stratum"), order_key(F.col(key), seed).alias("h"))
-    sizes = keys.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"))
-    wanted = sizes.select("stratum", F.lit(0).alias("cut"),
-                          F.bround(F.lit(share) * F.col("n")).cast("long").alias("k"))
-    return (_with_cuts(df, F.lit(0), _cuts(keys, wanted))
+    cuts = _share_cuts(keys, lambda n: F.bround(F.lit(share) * n).cast("long"))
+    return (_with_cuts(df, F.lit(0), cuts)
             .withColumn(name, F.coalesce(order_key(F.col(key), seed) <= F.col("_cuts")[0], F.lit(False)))
             .drop("_cuts"))
 
@@ -156,9 +160,8 @@ def shuffle_splits(df: DataFrame, key: str, repeats: int, share: float = 0.2, se
     many = df.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
     hashed = salted_order_key(F.col(key), F.col("repeat"), seed)
     keys = many.select(F.col("repeat").alias("stratum"), hashed.alias("h"))
-    sizes = keys.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"))
-    wanted = sizes.select("stratum", F.lit(0).alias("cut"), F.ceil(F.lit(share) * F.col("n")).alias("k"))
-    return (_with_cuts(many, F.col("repeat"), _cuts(keys, wanted))
+    cuts = _share_cuts(keys, lambda n: F.ceil(F.lit(share) * n))
+    return (_with_cuts(many, F.col("repeat"), cuts)
             .withColumn(name, F.coalesce(hashed <= F.col("_cuts")[0], F.lit(False))).drop("_cuts"))
 
 
@@ -219,11 +222,10 @@ def noise_features(df: DataFrame, key: str, columns: list[str], level: float = 1
                    share: float = 0.6, seed: int = 0) -> DataFrame:
     """Multiply ``floor(share * n)`` rows by N(1, level); each column meets the same rows and factors."""
     keys = df.select(F.lit(0).alias("stratum"), order_key(F.col(key), seed).alias("h"))
-    sizes = keys.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"))
-    wanted = sizes.select("stratum", F.lit(0).alias("cut"), F.floor(F.lit(share) * F.col("n")).alias("k"))
+    cuts = _share_cuts(keys, lambda n: F.floor(F.lit(share) * n))
     picked = F.coalesce(order_key(F.col(key), seed) <= F.col("_cuts")[0], F.lit(False))
     factor = F.lit(1.0) + F.lit(float(level)) * normal(F.col(key), seed)
-    noisy = _with_cuts(df, F.lit(0), _cuts(keys, wanted))
+    noisy = _with_cuts(df, F.lit(0), cuts)
     return noisy.select(*(F.when(picked, F.col(c) * factor).otherwise(F.col(c)).alias(c)
                           if c in columns else F.col(c) for c in df.columns))
 
