@@ -60,19 +60,19 @@ def rare_values_collapsed(spark, sf):
 
 
 _CODE = lambda c: (f"k_{c} AS (SELECT {c} AS v, row_number() OVER (ORDER BY min(app_id), {c}) - 1 AS code "
-                   f"FROM t WHERE app_id % 2 = 0 GROUP BY {c})")
+                   f"FROM t WHERE tstmp_submit < TIMESTAMP '2024-01-01 02:00:00' GROUP BY {c})")
 _CODED = ("state", "city", "campaign1")
 
 
 @query("ordinal_codes", f"""
-WITH t AS (SELECT app_id, coalesce(state, 'nan') AS state, coalesce(city, 'nan') AS city, coalesce(campaign1, 'missing') AS campaign1 FROM applications),
+WITH t AS (SELECT app_id, coalesce(state, 'nan') AS state, coalesce(city, 'nan') AS city, coalesce(campaign1, 'missing') AS campaign1, tstmp_submit FROM applications),
 {", ".join(_CODE(c) for c in _CODED)}
 SELECT app_id, {", ".join(f"coalesce((SELECT code FROM k_{c} WHERE v = t.{c}), -1) AS {c}" for c in _CODED)} FROM t""")
 def ordinal_codes(spark, sf):
-    """Codes are fitted on half of the rows, so the other half meets unseen values."""
-    rows = C.categorical_text(applications(spark, sf, "app_id", *_CODED), list(_CODED), {"state", "city"})
-    state = M.fit_codes(rows.filter("app_id % 2 = 0"), list(_CODED), "app_id")
-    return M.apply_codes(rows, state, list(_CODED))
+    """Codes are fitted on the first two hours, so later rows meet unseen values."""
+    rows = C.categorical_text(applications(spark, sf, "app_id", "tstmp_submit", *_CODED), list(_CODED), {"state", "city"})
+    early = rows.filter(F.col("tstmp_submit") < F.lit("2024-01-01 02:00:00").cast("timestamp"))
+    return M.apply_codes(rows, M.fit_codes(early, list(_CODED), "app_id"), list(_CODED)).drop("tstmp_submit")
 
 
 @query("library_ordinal_codes", """
@@ -129,13 +129,14 @@ def leave_one_out_rates(spark, sf):
 
 @query("standard_scaled", """
 WITH s AS (SELECT avg(l_quantity) AS mq, stddev_pop(l_quantity) AS sq, avg(l_discount) AS md, stddev_pop(l_discount) AS sd
-           FROM lineitem WHERE l_linenumber <= 4)
+           FROM lineitem WHERE l_shipdate < TIMESTAMP '2000-01-01')
 SELECT l_orderkey, l_linenumber, round((l_quantity - mq) / sq, 6) AS l_quantity, round((l_discount - md) / sd, 6) AS l_discount
 FROM lineitem, s""")
 def standard_scaled(spark, sf):
     """The scale is fitted on training rows only and applied to all."""
-    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount")
-    state = M.fit_scale(rows.filter("l_linenumber <= 4"), ["l_quantity", "l_discount"])
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_shipdate")
+    early = rows.filter(F.col("l_shipdate") < F.lit("2000-01-01").cast("timestamp"))
+    state = M.fit_scale(early, ["l_quantity", "l_discount"])
     scaled = M.apply_scale(rows, state, ["l_quantity", "l_discount"])
     return scaled.select("l_orderkey", "l_linenumber", *(F.round(c, 6).alias(c) for c in ("l_quantity", "l_discount")))
 
@@ -148,14 +149,14 @@ def event_value_ecdf(spark, sf):
 
 
 @query("quantity_ecdf_lookup", """
-WITH d AS (SELECT CAST(l_quantity AS DOUBLE) AS v, count(*) AS n FROM lineitem WHERE l_quantity % 5 = 0 GROUP BY 1),
+WITH d AS (SELECT CAST(l_quantity AS DOUBLE) AS v, count(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1),
 k AS (SELECT v, CAST(sum(n) OVER (ORDER BY v) AS DOUBLE) / (sum(n) OVER () + 1.0::DOUBLE) AS p FROM d),
 s AS (SELECT v, p, lead(v) OVER (ORDER BY v) AS v1, lead(p) OVER (ORDER BY v) AS p1 FROM k),
 q AS (SELECT l_orderkey, l_linenumber, CAST(l_quantity AS DOUBLE) + l_discount * 10 AS x FROM lineitem)
 SELECT l_orderkey, l_linenumber, round(CASE WHEN v IS NULL THEN (SELECT arg_min(p, v) FROM k) WHEN v1 IS NULL THEN p
        ELSE p + (x - v) * (p1 - p) / (v1 - v) END, 9) AS p FROM q ASOF LEFT JOIN s ON x >= v""")
 def quantity_ecdf_lookup(spark, sf):
-    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount")
-    knots = E.ecdf(rows.filter("l_quantity % 5 = 0"), "l_quantity")
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag")
+    knots = E.ecdf(rows.filter("l_returnflag = 'R'"), "l_quantity")
     x = F.col("l_quantity").cast("double") + F.col("l_discount") * 10
     return E.ecdf_lookup(rows, x, knots).select("l_orderkey", "l_linenumber", F.round("p", 9).alias("p"))

@@ -156,12 +156,12 @@ def weekly_rates_on_rows(spark, sf):
 
 
 @query("union_of_parts", """
-SELECT app_id, 'train' AS part, CAST(NULL AS DOUBLE) AS fraud_score FROM applications WHERE app_id % 5 <> 0
-UNION ALL SELECT app_id, 'test', fraud_score FROM applications WHERE app_id % 5 = 0""")
+SELECT app_id, 'train' AS part, CAST(NULL AS DOUBLE) AS fraud_score FROM applications WHERE tstmp_submit < TIMESTAMP '2024-01-20'
+UNION ALL SELECT app_id, 'test', fraud_score FROM applications WHERE tstmp_submit >= TIMESTAMP '2024-01-20'""")
 def union_of_parts(spark, sf):
-    rows = applications(spark, sf, "app_id", "fraud_score")
-    train = rows.filter("app_id % 5 <> 0").select("app_id", F.lit("train").alias("part"))
-    return L.union_rows(train, rows.filter("app_id % 5 = 0").select("app_id", F.lit("test").alias("part"), "fraud_score"))
+    rows = X.split_by_time(applications(spark, sf, "app_id", "tstmp_submit", "fraud_score"), "tstmp_submit", datetime(2024, 1, 20))
+    train = rows.filter("not is_test").select("app_id", F.lit("train").alias("part"))
+    return L.union_rows(train, rows.filter("is_test").select("app_id", F.lit("test").alias("part"), "fraud_score"))
 
 
 _UNIT = lambda key, seed, stream: (f"((('0x' || substr(md5(concat('{seed}:{stream}:', CAST({key} AS STRING))), 1, 13))::BIGINT)::DOUBLE"

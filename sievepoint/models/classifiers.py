@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        NaiveBayes, RandomForestClassifier)
 from pyspark.ml.feature import VectorAssembler
@@ -23,7 +25,7 @@ PRODUCTION_PARAMS = {"max_depth": 5, "n_estimators": 600, "colsample_bytree": 0.
 SEARCH_GRID = {
     "n_estimators": [100, 300, 500], "max_depth": [5, 10, 15], "subsample": [0.3, 0.5, 0.7],
     "colsample_bytree": [0.3, 0.5, 0.7], "colsample_bylevel": [0.5, 0.7, 1.0],
-    "learning_rate": [0.01, 0.1, 0.2],
+    "reg_lambda": [1, 3, 5], "reg_alpha": [1, 3, 5], "learning_rate": [0.01, 0.1, 0.2],
 }
 
 
@@ -35,7 +37,9 @@ def spark_params(kind: str, params: dict) -> dict:
              "min_samples_leaf": "minInstancesPerNode", "random_state": "seed"}
     out, share = {}, 1.0
     for name, value in params.items():
-        if name.startswith("colsample_"):
+        if name in ("reg_lambda", "reg_alpha") and kind != "logistic":
+            warnings.warn(f"{KINDS[kind].__name__} has no leaf-weight penalty: {name} is ignored")
+        elif name.startswith("colsample_"):
             share *= value
         elif name == "C":
             out["regParam"] = 1.0 / value

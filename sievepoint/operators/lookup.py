@@ -11,6 +11,8 @@ from sievepoint.runtime import BROADCAST_ROWS, fits_broadcast, materialize
 
 # Keys broadcast ahead of a shuffled lookup; every other key is rarer than each of these.
 HOT_KEYS = 10_000
+# Copies of a large aggregate table in a merge, and so the tasks that share one group's rows.
+MERGE_SALTS = 32
 # More ranges than this under one coarse key would make the bucketed range join quadratic.
 RANGES_PER_BUCKET = 4_096
 
@@ -134,14 +136,19 @@ def remainder(df: DataFrame, taken: DataFrame, key: str) -> DataFrame:
     return df.join(taken.select(key), key, "left_anti")
 
 
-def merge_on(rows: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
+def merge_on(rows: DataFrame, stats: DataFrame, keys: list[str], max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Inner merge of aggregates back to rows; NULL keys meet each other, as in pandas."""
     stats = materialize(stats)
     right = stats.select(*(F.col(k).alias(f"_r_{k}") for k in keys),
                          *(c for c in stats.columns if c not in keys))
     same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys))
-    side = F.broadcast(right) if fits_broadcast(stats) else right
-    return rows.join(side, same).drop(*(f"_r_{k}" for k in keys))
+    if fits_broadcast(stats, max_rows):
+        return rows.join(F.broadcast(right), same).drop(*(f"_r_{k}" for k in keys))
+    # Too many groups to broadcast: each group's rows are spread over several tasks.
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(MERGE_SALTS)).cast("int"))
+    copies = right.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(MERGE_SALTS - 1))))
+    return (salted.join(copies, same & (F.col("_salt") == F.col("_copy")))
+            .drop("_salt", "_copy", *(f"_r_{k}" for k in keys)))
 
 
 def union_rows(*frames: DataFrame) -> DataFrame:
