@@ -18,7 +18,7 @@ from sievepoint.models import classifiers as C, training as T
 from sievepoint.operators import reports as R, splits as X
 from sievepoint.plans import scoring as P, state as S
 from sievepoint.plans.features import FeatureOptions
-from sievepoint.runtime import materialize, state_dir
+from sievepoint.runtime import materialize, spread, state_dir
 from sievepoint.streaming.scoring import score_stream
 
 FEATURES = ["app_duration", "submit_hour", "submit_wday", "user_no", "score", "college_count"]
@@ -36,7 +36,7 @@ def model_rows(spark, sf):
         F.hour("tstmp_submit").alias("submit_hour"), D.monday_weekday(F.col("tstmp_submit")).alias("submit_wday"),
         (F.col("app_id") % 13).alias("user_no"), F.col("fraud_score").alias("score"), "college_count",
         ((F.coalesce("fraud_score", F.lit(0.0)) > 0.45) != (F.col("app_id") % 17 == 0)).alias("y"))
-    return C.assemble(rows, FEATURES, ("app_id", "college_id", "tstmp_submit"), "y")
+    return C.assemble(spread(rows, "app_id"), FEATURES, ("app_id", "college_id", "tstmp_submit"), "y")
 
 
 def _prepared(spark, sf):
@@ -91,7 +91,7 @@ _HASHED = "md5(concat('42:', CAST(id AS STRING)))"
 def bayes_rows(spark, sf):
     rows = table(spark, sf, "events").select(
         F.col("event_id").alias("app_id"), "user_id", "value", (F.col("value") + F.col("event_id") % 40 > 70).alias("y"))
-    return materialize(C.assemble(rows, ["user_id", "value"], ("app_id",), "y"))
+    return materialize(C.assemble(spread(rows, "app_id"), ["user_id", "value"], ("app_id",), "y"))
 
 
 @query("gaussian_bayes_scores", bayes_sql(f"""{_BAYES},
