@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sievepoint.llm.text import bounded_blocks, joined_in_blocks, lower_ascii, row_keys, whole_text
+from sievepoint.llm.text import joined_in_blocks, lower_ascii, once, row_keys, whole_text
 from sievepoint.runtime import materialize
 
 # Everything in ASCII but digits and lower-case letters parts words.
@@ -58,14 +58,17 @@ def _anchors(docs: DataFrame, items: DataFrame, size: int, window: int) -> DataF
 def _occurrences(docs: DataFrame, anchors: DataFrame, size: int) -> DataFrame:
     """Verified windows as (k1, k2, seq, spans); each span is a word range of the document."""
     base = F.col("p") - F.col("offset")
-    first = F.greatest(F.lit(0), -base)
-    last = F.least(F.size("part"), F.size("words") - base) - F.col("len")
+    at = F.greatest(F.lit(0), base)
+    met = joined_in_blocks(_document_shingles(docs, size), anchors, "token")
+    # Only the words beside the shingle go on; a long text must not be copied for each of its candidates.
+    met = once(met, near=F.slice("words", at + 1, F.greatest(F.lit(0), F.size("part") - (at - base))), at=at, skip=at - base)
+    met = met.select("k1", "k2", "seq", "len", "part", "near", "at", "skip")
+    last = F.size("near") - F.col("len")
     same = F.filter(
-        F.when(first <= last, F.sequence(first, last)),
-        lambda j: F.slice("words", base + j + 1, F.col("len")) == F.slice("part", j + 1, F.col("len")))
-    spans = F.transform(same, lambda j: F.struct((base + j).alias("s"), (base + j + F.col("len")).alias("e")))
-    return (joined_in_blocks(_document_shingles(docs, size), anchors, "token")
-            .select("k1", "k2", "seq", spans.alias("spans")).where(F.size("spans") > 0))
+        F.when(last >= 0, F.sequence(F.lit(0), last)),
+        lambda j: F.slice("near", j + 1, F.col("len")) == F.slice("part", F.col("skip") + j + 1, F.col("len")))
+    spans = F.transform(same, lambda j: F.struct((F.col("at") + j).alias("s"), (F.col("at") + j + F.col("len")).alias("e")))
+    return met.select("k1", "k2", "seq", spans.alias("spans")).where(F.size("spans") > 0)
 
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = 10, shingle: int = 3) -> DataFrame:
