@@ -15,7 +15,7 @@ from sievepoint.llm.text import whole_text
 UNDETERMINED = "und"
 # Bounds of the fit, all of it in tables of this size on the driver.
 SAMPLE_ROWS = 20_000
-FEATURES = 60_000
+FEATURES = 30_000
 # A script is open to a language if it holds at least this share of the language's letters.
 SCRIPT_SHARE = 0.001
 # Log units: the most that one word can say for or against a language, and the price of a switch.

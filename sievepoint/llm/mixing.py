@@ -65,10 +65,11 @@ def mix_sources(docs: DataFrame, weights: dict[str, float], seed: str = "mix", e
     rows = docs.select(F.struct("*").alias("row"), F.col("source").alias("own"), ident.alias("ident"))
     u = unit_hash(F.lit(seed), F.col("ident"))
     copies = F.size(F.filter("upto", lambda p: p <= F.col("u"))).alias("n")
+    key = lambda no: unit_hash(F.lit(seed), F.lit("order"), F.col("ident"), no.cast("string"))
+    numbered = F.transform(F.sequence(F.lit(1), F.col("n")), lambda no: F.struct(no.alias("copy_no"), key(no).alias("order_key")))
     counted = (rows.withColumn("u", u).join(table, F.col("own").eqNullSafe(F.col("of")))
                .select("row", "ident", copies).where("n > 0")
-               .select("row", "ident", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy_no"))
-               .withColumn("order_key", unit_hash(F.lit(seed), F.lit("order"), F.col("ident"), F.col("copy_no").cast("string"))))
+               .select("row", F.explode(numbered).alias("copy")).select("row", "copy.copy_no", "copy.order_key"))
     names = [c for c in docs.columns if c not in ("copy_no", "order_key")]
     return (counted.repartition(F.col("order_key")).sortWithinPartitions("order_key")
             .select(*(F.col("row")[c].alias(c) for c in names), "copy_no", "order_key"))
