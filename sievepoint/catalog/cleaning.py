@@ -24,15 +24,23 @@ _flag = lambda c: f"CASE lower({c}) WHEN 't' THEN true WHEN 'f' THEN false END"
 
 
 @query("typed_csv_scan", f"""
-SELECT CAST(app_id AS INT) AS app_id, {_blank("firstname")} AS firstname, {_blank("middlename")} AS middlename,
+SELECT CAST(app_id AS INT) AS app_id, CASE WHEN app_id % 41 = 0 THEN firstname || chr(10) || '"x", y' WHEN app_id % 59 = 0 OR app_id % 61 = 0 THEN NULL
+            ELSE {_blank("firstname")} END AS firstname, {_blank("middlename")} AS middlename,
        {_flag("hispanic")} AS hispanic, college_count, hs_comp_date, fraud_score FROM applications""")
 def typed_csv_scan(spark, sf):
-    """Write applications as CSV, then scan them under the declared types; undeclared columns go."""
+    """Write applications as CSV, then scan them under the declared types; undeclared columns go.
+
+    Half of the files have another order of columns; some names hold a line break, others a word for "missing".
+    """
     path = _folder(spark)
-    W.write_csv(applications(spark, sf, "app_id", "firstname", "middlename", "hispanic", "college_count",
-                             "hs_comp_date", "fraud_score", "lastname"), path)
+    columns = ["app_id", "firstname", "middlename", "hispanic", "college_count", "hs_comp_date", "fraud_score", "lastname"]
+    rows = applications(spark, sf, *columns).withColumn(
+        "firstname", F.when(F.col("app_id") % 41 == 0, F.concat("firstname", F.lit("\n\"x\", y"))).when(F.col("app_id") % 59 == 0, "NA")
+        .when(F.col("app_id") % 61 == 0, "n/a").otherwise(F.col("firstname")))
+    W.write_csv(rows.filter("app_id % 2 = 0"), path)
+    W.write_csv(rows.filter("app_id % 2 = 1").select(*reversed(columns)), path, "append")
     kinds = S.declared("app_id int\nfirstname str\nmiddlename str\nhispanic bool\ncollege_count int\nhs_comp_date datetime")
-    return S.read_typed_csv(spark, path, kinds, {"fraud_score": "float"})
+    return S.read_typed_csv(spark, path, kinds, {"fraud_score": "float"}, mixed_headers=True)
 
 
 @query("inferred_csv_scan", """
@@ -73,15 +81,19 @@ def clean_column_names(spark, sf):
 @query("json_record_scan", f"""
 SELECT CAST(app_id AS INT) AS app_id, {_blank("firstname")} AS firstname, {_flag("hispanic")} AS hispanic, college_count
 FROM applications
+WHERE app_id % 7 <> 5
+UNION ALL
+SELECT CAST(app_id AS INT), 'twin', NULL, 3 FROM applications WHERE app_id % 3 = 0 AND app_id % 7 <> 5
 UNION ALL
-SELECT CAST(app_id AS INT), 'twin', NULL, 3 FROM applications WHERE app_id % 3 = 0""")
+SELECT NULL, NULL, NULL, NULL FROM applications WHERE app_id % 7 = 5""")
 def json_record_scan(spark, sf):
-    """Every third text holds a list of two records, the others one record."""
+    """Every third text holds a list of two records, the others one record; every seventh is cut off."""
     rows = applications(spark, sf, "app_id", "firstname", "hispanic", "college_count")
     one = F.struct("app_id", "firstname", "hispanic", F.col("college_count").cast("double").alias("college_count"))
     two = F.struct("app_id", F.lit("twin").alias("firstname"), F.lit(None).cast("string").alias("hispanic"),
                    F.lit(3.0).alias("college_count"))
     text = F.when(F.col("app_id") % 3 == 0, F.to_json(F.array(one, two))).otherwise(F.to_json(one))
+    text = F.when(F.col("app_id") % 7 == 5, F.substring(text, 1, 9)).otherwise(text)
     kinds = {"app_id": "int", "firstname": "str", "hispanic": "bool", "college_count": "int"}
     return S.json_records(rows.select(text.alias("body")), "body", kinds)
 
@@ -143,12 +155,12 @@ _COUNTED = ("app_id", "college_count", "fraud_score", "confirmed_fraud", "integr
 
 @query("zero_and_missing_counts", """
 SELECT app_id, CAST((app_id = 0) AS INT) + coalesce(CAST(college_count = 0 AS INT), 0) + coalesce(CAST(fraud_score = 0 AS INT), 0)
-       + CAST(NOT confirmed_fraud AS INT) + CAST(NOT integrity_fg_01 AS INT) AS zeros,
+       + CAST(NOT confirmed_fraud AS INT) + CAST(NOT integrity_fg_01 AS INT) + coalesce(CAST(firstname = 'N' AS INT), 0) AS zeros,
        CAST(college_count IS NULL AS INT) + CAST(fraud_score IS NULL AS INT) + CAST(firstname IS NULL AS INT)
        + CAST(campaign1 IS NULL AS INT) AS missing_values FROM applications""")
 def zero_and_missing_counts(spark, sf):
-    rows = applications(spark, sf, *_COUNTED)
-    return rows.select("app_id", C.zero_count(rows).alias("zeros"), C.missing_count(rows).alias("missing_values"))
+    rows = C.recode_frame(applications(spark, sf, *_COUNTED))
+    return rows.select("app_id", C.zero_count(rows, recoded=True).alias("zeros"), C.missing_count(rows).alias("missing_values"))
 
 
 @query("trimmed_columns", """

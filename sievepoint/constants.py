@@ -45,20 +45,120 @@ FEATURE_DOMAIN_LIST = ("ru", "de", "cr")
 PERIOD_DOMAIN_LIST = ("gmail.com", "googlemail.com")
 TOP_DOMAIN_LIST = ("tk", "nf")
 ADDRESS_DOMAIN_LIST = tuple("""
-tempr.email golld.us yopmail.net yopmail.com yopmail.fr cool.fr.nf jetable.fr.nf nospam.ze.tc
-nomail.xl.cx mega.zik.dj speed.1s.fr courriel.fr.nf moncourrier.fr.nf monemail.fr.nf
-monmail.fr.nf dayrep.com 0box.eu armyspy.com jourrapide.com teleworm.us rhyta.com ymail.com
-ciantel.com temp-mail.org ciantel.com upcmaill.com searchfast.co denomla.com usa.com hatuli.com
-moviepo.us yandex.com foc.cu.edu.eg trash-mail.com re-gister.com trash-me.com you-spam.com
-fake-box.com opentrash.com bossemail.info altmails.com sika3.com tapi.re kpay.be heisei.be
-honeys.be mbox.re kmail.li prin.be rapt.be kksm.be usako.net eay.jp via.tokyo.jp ichigo.me
-choco.la cream.pink merry.pink neko2.net fuwamofu.com ruru.be macr2.com f5.si outlook.sa
-luottin.com mailboxt.net etemp.it upcmaill.com wilkinson.biz sweatmail.com denomla.com
-denomla.net denomla.org emailnube.com yuoia.com ahk.jp svk.jp student.sbccd.edu umailz.com
-umailz.org umailz.net denomla.com pecinan.com pecinan.org pecinan.net panchoalts.org
-panchoalts.net panchoalts.com now.mefound.com btcmail.pw trafficbot.life bottraffic.live
-bot-traffic.xyz shelove.me yopmail.com temporary-mail.net bestlistbase.com besttempmail.com
-chasefreedomactivate.com deverob.com dmcd.ctu.edu.gr gulfmedic.org meantinc.com pnizgotten.com
-powerencry.com rvemold.com truthfinderlogin.com unwiki.org wellsfargocomcardholders.com
+tempr.email
+golld.us
+yopmail.net
+yopmail.com
+yopmail.fr
+cool.fr.nf
+jetable.fr.nf
+nospam.ze.tc
+nomail.xl.cx
+mega.zik.dj
+speed.1s.fr
+courriel.fr.nf
+moncourrier.fr.nf
+monemail.fr.nf
+monmail.fr.nf
+dayrep.com
+0box.eu
+armyspy.com
+jourrapide.com
+teleworm.us
+rhyta.com
+ymail.com
+ciantel.com
+temp-mail.org
+ciantel.com
+upcmaill.com
+searchfast.co
+denomla.com
+usa.com
+hatuli.com
+moviepo.us
+yandex.com
+foc.cu.edu.eg
+trash-mail.com
+re-gister.com
+trash-me.com
+you-spam.com
+fake-box.com
+opentrash.com
+bossemail.info
+altmails.com
+sika3.com
+tapi.re
+kpay.be
+heisei.be
+honeys.be
+mbox.re
+kmail.li
+prin.be
+rapt.be
+kksm.be
+usako.net
+eay.jp
+via.tokyo.jp
+ichigo.me
+choco.la
+cream.pink
+merry.pink
+neko2.net
+fuwamofu.com
+ruru.be
+macr2.com
+f5.si
+outlook.sa
+luottin.com
+mailboxt.net
+etemp.it
+upcmaill.com
+wilkinson.biz
+sweatmail.com
+denomla.com
+denomla.net
+denomla.org
+emailnube.com
+yuoia.com
+ahk.jp
+svk.jp
+student.sbccd.edu
+umailz.com
+umailz.org
+umailz.net
+denomla.com
+pecinan.com
+pecinan.org
+pecinan.net
+panchoalts.org
+panchoalts.net
+panchoalts.com
+now.mefound.com
+btcmail.pw
+trafficbot.life
+bottraffic.live
+bot-traffic.xyz
+shelove.me
+yopmail.com
+temporary-mail.net
+bestlistbase.com
+besttempmail.com
+chasefreedomactivate.com
+deverob.com
+dmcd.ctu.edu.gr
+gulfmedic.org
+meantinc.com
+pnizgotten.com
+powerencry.com
+rvemold.com
+truthfinderlogin.com
+unwiki.org
+wellsfargocomcardholders.com
 unwiki.org
 """.split())
+
+# Cells of a CSV file that mean "missing".
+MISSING_WORDS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)

@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from sievepoint.constants import MISSING_WORDS
+
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
@@ -18,6 +20,11 @@ def nan_to_null(df: DataFrame) -> DataFrame:
                        for c in df.columns))
 
 
+def words_to_null(text: Column) -> Column:
+    """The words that mark a missing cell of a CSV file, in exactly this spelling."""
+    return F.when(~text.isin(*MISSING_WORDS), text)
+
+
 def blank_to_null(text: Column) -> Column:
     """``None`` and text of spaces only are missing."""
     return F.when(~((text == "None") | text.rlike("^ *$")), text)
@@ -52,8 +59,8 @@ def _total(parts: list[Column]) -> Column:
     return reduce(lambda a, b: a + b, parts, F.lit(0))
 
 
-def zero_count(df: DataFrame, skip: tuple[str, ...] = ("y",)) -> Column:
-    """Cells equal to 0; Boolean false is 0, text and times never are."""
+def zero_count(df: DataFrame, skip: tuple[str, ...] = ("y",), recoded: bool = False) -> Column:
+    """Cells equal to 0; Boolean false is 0, times never are, and text only as a recoded ``false``."""
     parts = []
     for f in df.schema.fields:
         if f.name in skip:
@@ -62,6 +69,8 @@ def zero_count(df: DataFrame, skip: tuple[str, ...] = ("y",)) -> Column:
             parts.append(F.when(~F.col(f.name), 1).otherwise(0))
         elif isinstance(f.dataType, NUMERIC):
             parts.append(F.when(F.col(f.name) == 0, 1).otherwise(0))
+        elif recoded and isinstance(f.dataType, T.StringType):
+            parts.append(F.when(F.col(f.name) == "false", 1).otherwise(0))
     return _total(parts)
 
 

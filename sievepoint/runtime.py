@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -43,7 +44,7 @@ def state_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     folder = tempfile.mkdtemp(prefix="sievepoint-")
     spark.sparkContext.setCheckpointDir(folder)
@@ -74,6 +75,9 @@ def measured_size(df: DataFrame) -> tuple[int, int]:
     for field in df.schema.fields:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
             width = width + F.coalesce(F.octet_length(field.name), F.lit(0)) + 16
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            # As text a nested value is about as long as its payload, numbers rather longer.
+            width = width + F.coalesce(F.octet_length(F.col(f"`{field.name}`").cast("string")), F.lit(0)) + 16
         else:
             width = width + 16
     row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()

@@ -23,7 +23,8 @@ def load_stage(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).csv(path, header=True, escape='"', timestampFormat="yyyy-MM-dd HH:mm:ss.SSSSSS")
+    df.write.mode(mode).csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+                            timestampFormat="yyyy-MM-dd HH:mm:ss.SSSSSS")
 
 
 def write_result_dump(scored: DataFrame, features: list[str], path: str, y: str = "y",
