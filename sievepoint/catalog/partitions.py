@@ -103,6 +103,15 @@ def contiguous_folds(spark, sf):
     return X.contiguous_folds(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", 5)
 
 
+@query("contiguous_fold_sizes", f"""
+WITH r AS (SELECT row_number() OVER () - 1 AS rn, count(*) OVER () AS n FROM orders)
+SELECT CAST({_FOLD("n", 5)} AS INT) AS fold, count(*) AS n_rows FROM r GROUP BY 1""")
+def contiguous_fold_sizes(spark, sf):
+    """A key with few values and NULLs: folds are of one size all the same."""
+    rows = table(spark, sf, "orders").select("o_orderkey", F.when(F.col("o_custkey") % 5 != 0, F.col("o_custkey") % 3).alias("k"))
+    return X.contiguous_folds(rows, "k", 5).groupBy("fold").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @query("row_range_chunks", """
 WITH r AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS rn, count(*) OVER () AS n FROM orders)
 SELECT o_orderkey, CAST((SELECT max(i) FROM range(7) t(i) WHERE i * (n + 1) // 7 <= rn) AS INT) AS chunk FROM r""")

@@ -55,10 +55,9 @@ def email_features(spark, sf):
 @query("anonymous_email_features", f"""
 SELECT app_id, email, lower(email) AS email_domain,
        CASE WHEN contains(email, '.') THEN split_part(lower(email), '.', 2) END AS short_domain
-FROM (SELECT app_id, split_part(email, '@', 2) AS email FROM applications WHERE contains(email, '@'))""")
+FROM (SELECT app_id, split_part(email, '@', 2) AS email FROM applications)""")
 def anonymous_email_features(spark, sf):
-    rows = applications(spark, sf, "app_id", "email").filter(F.col("email").contains("@"))
-    rows = rows.select("app_id", F.split_part("email", F.lit("@"), F.lit(2)).alias("email"))
+    rows = applications(spark, sf, "app_id", "email").select("app_id", F.split_part("email", F.lit("@"), F.lit(2)).alias("email"))
     return P.email_features(rows, anonymized=True)
 
 
@@ -228,7 +227,10 @@ def single_rules(spark, sf):
         R.address_rule(email).alias("address"), R.top_domain_rule(email).alias("top_domain"))
 
 
-@query("combined_rule_flag", f"SELECT app_id, CAST({_R1} OR {_R4} OR {_R5} AS INT) AS y_rule FROM applications")
+RULE_SQL = f"{_R1} OR {_R4} OR {_R5}"
+
+
+@query("combined_rule_flag", f"SELECT app_id, CAST({RULE_SQL} AS INT) AS y_rule FROM applications")
 def combined_rule_flag(spark, sf):
     return R.rule_flag(_rule_rows(spark, sf)).select("app_id", "y_rule")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -11,13 +12,24 @@ from sievepoint.runtime import BROADCAST_ROWS, fits_broadcast, materialize
 
 # Keys broadcast ahead of a shuffled lookup; every other key is rarer than each of these.
 HOT_KEYS = 10_000
-# Copies of a large aggregate table in a merge, and so the tasks that share one group's rows.
-MERGE_SALTS = 32
+# Copies of the groups with a NULL key in a large merge, and so the tasks that share one such group's rows.
+MERGE_SALTS = 256
 # More ranges than this under one coarse key would make the bucketed range join quadratic.
 RANGES_PER_BUCKET = 4_096
 
 
-def lookup_join(rows: DataFrame, table: DataFrame, on: list[str],
+@dataclass(frozen=True)
+class Sized:
+    """A table that was measured before, so that a lookup in it starts no job of its own."""
+    table: DataFrame
+    small: bool
+
+
+def measured(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> Sized:
+    return Sized(table, fits_broadcast(table, max_rows))
+
+
+def lookup_join(rows: DataFrame, table: DataFrame | Sized, on: list[str],
                 max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Left join ``rows`` to ``table``, whose ``on`` keys are unique.
 
@@ -25,9 +37,10 @@ def lookup_join(rows: DataFrame, table: DataFrame, on: list[str],
     most in ``rows`` are answered from a broadcast of at most ``HOT_KEYS`` of them, so no task
     receives a hot key.
     """
-    if fits_broadcast(table, max_rows):
-        return rows.join(F.broadcast(table), on, "left")
-    return _shuffled_lookup(rows, table, on)
+    sized = table if isinstance(table, Sized) else measured(table, max_rows)
+    if sized.small:
+        return rows.join(F.broadcast(sized.table), on, "left")
+    return _shuffled_lookup(rows, sized.table, on)
 
 
 def _shuffled_lookup(rows: DataFrame, table: DataFrame, on: list[str],
@@ -68,11 +81,15 @@ def in_table(rows: DataFrame, value: Column, table: DataFrame, column: str, name
             .drop("_member", "_listed"))
 
 
-def area_state(df: DataFrame, codes: DataFrame, phone_code: str = "area_code",
+def prepare_codes(codes: DataFrame) -> Sized:
+    return measured(codes.select(F.col("code").alias("_code"), F.col("state").alias("_state"), F.lit(True).alias("_found")))
+
+
+def area_state(df: DataFrame, codes: DataFrame | Sized, phone_code: str = "area_code",
                name: str = "area_code_state") -> DataFrame:
     """``(916)`` -> ``CA`` / ``non-CA`` / ``unknown``; anything but 5 characters -> ``na``."""
     token = F.col(phone_code)
-    table = codes.select(F.col("code").alias("_code"), F.col("state").alias("_state"), F.lit(True).alias("_found"))
+    table = codes if isinstance(codes, Sized) else prepare_codes(codes)
     shaped = df.withColumn("_code", F.when(F.length(token) == 5, F.substring(token, 2, 3)))
     looked = lookup_join(shaped, table, ["_code"])
     state = (F.when(F.coalesce(F.length(token) != 5, F.lit(True)), "na")
@@ -81,35 +98,63 @@ def area_state(df: DataFrame, codes: DataFrame, phone_code: str = "area_code",
     return looked.withColumn(name, state).drop("_code", "_state", "_found")
 
 
-def range_lookup(df: DataFrame, x: Column, ranges: DataFrame, name: str = "country",
-                 shift: int = 16, below: str = "-", missing: str = "ZZ",
-                 max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def settle_ranges(ranges: DataFrame) -> DataFrame:
+    """(start, country) with one row per start: no NULL start, and of equal starts the greatest country."""
+    return (ranges.where(F.col("start").isNotNull()).groupBy(F.col("start").cast("long").alias("start"))
+            .agg(F.max("country").alias("country")))
+
+
+@dataclass(frozen=True)
+class RangeTable:
+    """Ranges made ready for lookups: ``coarse`` for a broadcast by equi key, else ``settled`` for ordered passes."""
+    settled: DataFrame
+    coarse: DataFrame | None
+    shift: int
+
+
+def prepare_ranges(ranges: DataFrame, max_rows: int = BROADCAST_ROWS) -> RangeTable:
+    """Settle the ranges and, within the broadcast bounds, bucket them by the upper bits of their numbers.
+
+    The span of the starts sets how many bits a bucket leaves out, so a few thousand buckets
+    cover numbers of any size. Both ways give the same answers.
+    """
+    settled = materialize(settle_ranges(ranges))
+    if not fits_broadcast(settled, max_rows):
+        return RangeTable(settled, None, 0)
+    ends = settled.agg(F.min("start").alias("a"), F.max("start").alias("b"), F.count(F.lit(1)).alias("n")).first()
+    span = (ends.b - ends.a) if ends.n else 0
+    # About 16 buckets per range, 65,536 at least where the span has them.
+    shift = max(0, span.bit_length() - max(16, ends.n.bit_length() + 4))
+    spans = (settled.select("start", "country", F.lead("start").over(W.orderBy("start")).alias("_end"))
+             .filter(F.col("_end").isNotNull()))
+    coarse = materialize(spans.select(
+        "start", "country", "_end",
+        F.explode(F.sequence(F.shiftright("start", shift), F.shiftright(F.col("_end") - 1, shift))).alias("_b")))
+    fullest = coarse.groupBy("_b").count().agg(F.max("count")).first()[0] or 0
+    small = fullest <= RANGES_PER_BUCKET and fits_broadcast(coarse, max_rows * 4)
+    return RangeTable(settled, coarse if small else None, shift)
+
+
+def range_lookup(df: DataFrame, x: Column, ranges: DataFrame | RangeTable, name: str = "country",
+                 below: str = "-", missing: str = "ZZ", max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Value of the largest range start <= ``x``.
 
     ``below`` stands for a number under the first start or at and past the last one, ``missing``
-    for an unparsable number or a range with no value. ``ranges`` has ``start`` and ``country``.
+    for an unparsable number or a range with no value. ``ranges`` has ``start`` and ``country``, or is
+    a ``RangeTable`` made ready before.
     """
-    probe = df.withColumn("_x", x)
-    if fits_broadcast(ranges, max_rows):
-        spans = (ranges.select("start", "country",
-                               F.lead("start").over(W.orderBy("start")).alias("_end"))
-                 .filter(F.col("_end").isNotNull()))
-        coarse = spans.select(
-            "start", "country", "_end",
-            F.explode(F.sequence(F.shiftright("start", shift),
-                                 F.shiftright(F.col("_end") - 1, shift))).alias("_b"))
-        coarse = materialize(coarse)
-        fullest = coarse.groupBy("_b").count().agg(F.max("count")).first()[0] or 0
-        if fullest <= RANGES_PER_BUCKET and fits_broadcast(coarse, max_rows * 4):
-            probe = probe.withColumn("_bx", F.shiftright("_x", shift))
-            inside = ((F.col("_bx") == F.col("_b")) & (F.col("_x") >= F.col("start"))
-                      & (F.col("_x") < F.col("_end")))
-            found = probe.join(F.broadcast(coarse), inside, "left")
-            value = (F.when(F.col("_x").isNull(), missing)
-                     .when(F.col("_b").isNull(), below)
-                     .otherwise(F.coalesce("country", F.lit(missing))))
-            return found.select(*df.columns, value.alias(name))
-    known = materialize(_range_values(probe.select("_x"), ranges))
+    table = ranges if isinstance(ranges, RangeTable) else prepare_ranges(ranges, max_rows)
+    probe = df.withColumn("_x", x.cast("long"))
+    if table.coarse is not None:
+        probe = probe.withColumn("_bx", F.shiftright("_x", table.shift))
+        inside = ((F.col("_bx") == F.col("_b")) & (F.col("_x") >= F.col("start"))
+                  & (F.col("_x") < F.col("_end")))
+        found = probe.join(F.broadcast(table.coarse), inside, "left")
+        value = (F.when(F.col("_x").isNull(), missing)
+                 .when(F.col("_b").isNull(), below)
+                 .otherwise(F.coalesce("country", F.lit(missing))))
+        return found.select(*df.columns, value.alias(name))
+    known = materialize(_range_values(probe.select("_x"), table.settled))
     value = (F.when(F.col("_x").isNull(), missing)
              .when(F.col("_outside"), below)
              .otherwise(F.coalesce("country", F.lit(missing))))
@@ -126,7 +171,7 @@ def _range_values(numbers: DataFrame, ranges: DataFrame) -> DataFrame:
     carried = carry_last(starts.unionByName(asked), [F.col("_x"), F.col("_kind")],
                          F.col("_range"), "_held")
     last = ranges.agg(F.max("start")).first()[0]
-    outside = F.col("_held").isNull() | (F.col("_x") >= F.lit(last))
+    outside = F.col("_held").isNull() | F.coalesce(F.col("_x") >= F.lit(last), F.lit(True))
     return carried.filter("_kind = 1").select(
         "_x", outside.alias("_outside"), F.col("_held.country").alias("country"))
 
@@ -144,11 +189,17 @@ def merge_on(rows: DataFrame, stats: DataFrame, keys: list[str], max_rows: int =
     same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys))
     if fits_broadcast(stats, max_rows):
         return rows.join(F.broadcast(right), same).drop(*(f"_r_{k}" for k in keys))
-    # Too many groups to broadcast: each group's rows are spread over several tasks.
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(MERGE_SALTS)).cast("int"))
-    copies = right.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(MERGE_SALTS - 1))))
-    return (salted.join(copies, same & (F.col("_salt") == F.col("_copy")))
+    # Too many groups to broadcast. Rows with whole keys take the lookup that answers hot keys first;
+    # those with a NULL key, which that lookup cannot match, are spread over copies of the few NULL groups.
+    whole = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
+    met = lookup_join(rows.where(whole), stats.where(whole).withColumn("_met", F.lit(True)), keys, max_rows)
+    met = met.where("_met").drop("_met")
+    holed = right.where(~reduce(lambda a, b: a & b, (F.col(f"_r_{k}").isNotNull() for k in keys)))
+    salted = rows.where(~whole).withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(MERGE_SALTS)).cast("int"))
+    copies = holed.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(MERGE_SALTS - 1))))
+    rest = (salted.join(copies, same & (F.col("_salt") == F.col("_copy")))
             .drop("_salt", "_copy", *(f"_r_{k}" for k in keys)))
+    return met.select(*rest.columns).unionByName(rest)
 
 
 def union_rows(*frames: DataFrame) -> DataFrame:

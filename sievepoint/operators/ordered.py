@@ -15,20 +15,22 @@ PART, POS = "_part", "_pos"
 _ROW_BITS = 33  # monotonically_increasing_id keeps the partition above these bits
 
 
-def range_parts(df: DataFrame, order: list[Column]) -> DataFrame:
-    """``df`` plus its range number and its position in the range, written out.
+def _ranged(df: DataFrame, order: list[Column]) -> DataFrame:
+    """``df`` plus its range number and its position in the range.
 
-    ``order`` must be total, else equal keys make one range heavy. The result is written because
-    a second evaluation could draw other range bounds.
+    ``order`` must be total, else equal keys make one range heavy. The result must be used once, or
+    written: a second evaluation could draw other range bounds.
     """
     ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
     mark = F.monotonically_increasing_id()
-    return materialize(
-        ordered.withColumn("_mark", mark)
-        .withColumn(PART, F.shiftright("_mark", _ROW_BITS))
-        .withColumn(POS, F.col("_mark").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
-        .drop("_mark")
-    )
+    return (ordered.withColumn("_mark", mark)
+            .withColumn(PART, F.shiftright("_mark", _ROW_BITS))
+            .withColumn(POS, F.col("_mark").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
+            .drop("_mark"))
+
+
+def range_parts(df: DataFrame, order: list[Column]) -> DataFrame:
+    return materialize(_ranged(df, order))
 
 
 def row_index(df: DataFrame, order: list[Column], name: str = "idx") -> DataFrame:
@@ -48,7 +50,7 @@ def _group_key(group: list[str]) -> Column:
 
 
 def _by_range(df: DataFrame, group: list[str], order: list[Column]) -> tuple[DataFrame, W]:
-    parts = range_parts(df, [*(F.col(g) for g in group), *order]).withColumn("_g", _group_key(group))
+    parts = _ranged(df, [*(F.col(g) for g in group), *order]).withColumn("_g", _group_key(group))
     local = (W.partitionBy(PART, "_g").orderBy(POS)
              .rowsBetween(W.unboundedPreceding, W.currentRow))
     return parts, local
@@ -67,7 +69,8 @@ def running_total(df: DataFrame, order: list[Column], value: Column, name: str =
                   group: list[str] | None = None) -> DataFrame:
     """Add the inclusive running sum of ``value``, restarted for each ``group``."""
     parts, local = _by_range(df, group or [], order)
-    summed = parts.withColumn("_local", F.sum(value).over(local))
+    # Written with its sums, which the links and the rows are both read from.
+    summed = materialize(parts.withColumn("_local", F.sum(value).over(local)))
     # A group that spans ranges is the last group of every range but its final one.
     so_far = W.partitionBy("_last").orderBy(PART).rowsBetween(W.unboundedPreceding, W.currentRow)
     links = (_link(summed, "_local")
@@ -87,7 +90,7 @@ def carry_last(df: DataFrame, order: list[Column], value: Column, name: str,
                group: list[str] | None = None) -> DataFrame:
     """Add the last non-NULL ``value`` at or before each row of the order, within ``group``."""
     parts, local = _by_range(df, group or [], order)
-    seen = parts.withColumn("_local", F.last(value, ignorenulls=True).over(local))
+    seen = materialize(parts.withColumn("_local", F.last(value, ignorenulls=True).over(local)))
     so_far = W.partitionBy("_last").orderBy(PART).rowsBetween(W.unboundedPreceding, W.currentRow)
     links = (_link(seen, "_local")
              .withColumn("_held", F.last("_tail", ignorenulls=True).over(so_far))

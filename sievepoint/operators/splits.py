@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from sievepoint.functions.hashing import normal, order_key, salted_order_key, uniform
 from sievepoint.operators.lookup import lookup_join
 from sievepoint.operators.ordered import group_index, row_index
-from sievepoint.runtime import materialize
+from sievepoint.runtime import fits_broadcast, materialize
 
 PREFIX_DIGITS = 4
 
@@ -40,19 +40,24 @@ class _Prefixes:
         same = F.col("stratum").eqNullSafe(F.col("_ws"))
         # One row per stratum and cut.
         aimed = materialize(reach.join(
-            F.broadcast(w), same & (F.col("k") > F.col("_from")) & (F.col("k") <= F.col("_to"))).select(
+            _small(w), same & (F.col("k") > F.col("_from")) & (F.col("k") <= F.col("_to"))).select(
             F.col("stratum").alias("_as"), F.col("_p").alias("_ap"), "cut", (F.col("k") - F.col("_from")).alias("_rn")))
         here = F.col("stratum").eqNullSafe(F.col("_as")) & (F.col("_p") == F.col("_ap"))
-        near = self.keys.join(F.broadcast(aimed.select("_as", "_ap").distinct()), here)
+        near = self.keys.join(_small(aimed.select("_as", "_ap").distinct()), here)
         ranked = near.select("stratum", "_p", "h", F.row_number().over(
             W.partitionBy("stratum", "_p").orderBy("h")).cast("long").alias("_rank"))
-        hit = ranked.join(F.broadcast(aimed), here & (F.col("_rank") == F.col("_rn")))
+        hit = ranked.join(_small(aimed), here & (F.col("_rank") == F.col("_rn")))
         return materialize(hit.groupBy("stratum").agg(F.sort_array(F.collect_list("h")).alias("cuts")))
 
 
+def _small(table: DataFrame) -> DataFrame:
+    """Broadcast a table of strata within the bounds; more strata than that are joined by a shuffle."""
+    return F.broadcast(table) if fits_broadcast(table) else table
+
+
 def _with_cuts(df: DataFrame, stratum: Column, cuts: DataFrame) -> DataFrame:
     small = cuts.select(F.col("stratum").alias("_s"), F.col("cuts").alias("_cuts"))
-    return df.join(F.broadcast(small), stratum.eqNullSafe(F.col("_s")), "left").drop("_s")
+    return df.join(_small(small), stratum.eqNullSafe(F.col("_s")), "left").drop("_s")
 
 
 def _quotas(sizes: DataFrame, share: float) -> DataFrame:
@@ -154,40 +159,63 @@ def simple_sample(df: DataFrame, key: str, share: float = 0.995, seed: int = 42,
             .drop("_cuts"))
 
 
+def shuffle_marks(df: DataFrame, key: str, repeats: int, share: float = 0.2, seed: int = 0,
+                  name: str = "is_test") -> DataFrame:
+    """``repeats`` independent holdouts of ``ceil(share * n)`` as one array of Booleans on each row.
+
+    Only keys are repeated to find the cuts; rows are neither copied nor moved.
+    """
+    many = df.select(key, F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("stratum"))
+    keys = many.select("stratum", salted_order_key(F.col(key), F.col("stratum"), seed).alias("h"))
+    # One row per repeat.
+    cuts = {r.stratum: r.cuts[0] for r in _share_cuts(keys, lambda n: F.ceil(F.lit(share) * n)).collect()}
+    marks = [F.coalesce(salted_order_key(F.col(key), F.lit(r), seed) <= F.lit(cuts.get(r)), F.lit(False)) for r in range(repeats)]
+    return df.withColumn(name, F.array(*marks))
+
+
 def shuffle_splits(df: DataFrame, key: str, repeats: int, share: float = 0.2, seed: int = 0,
                    name: str = "is_test") -> DataFrame:
-    """``repeats`` independent holdouts of ``ceil(share * n)``: one row per repeat and input row."""
-    many = df.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
-    hashed = salted_order_key(F.col(key), F.col("repeat"), seed)
-    keys = many.select(F.col("repeat").alias("stratum"), hashed.alias("h"))
-    cuts = _share_cuts(keys, lambda n: F.ceil(F.lit(share) * n))
-    return (_with_cuts(many, F.col("repeat"), cuts)
-            .withColumn(name, F.coalesce(hashed <= F.col("_cuts")[0], F.lit(False))).drop("_cuts"))
+    """The same holdouts with one row per repeat and input row, for callers that want all copies."""
+    return shuffle_marks(df, key, repeats, share, seed, "_marks").select(
+        *df.columns, F.posexplode("_marks").alias("repeat", name))
+
 
+def _row_order(df: DataFrame, key: str) -> Column:
+    """NULL keys first, then by key; rows with one key by a hash of the row. Equal rows cannot be told apart."""
+    return F.struct(F.col(key).isNotNull().alias("known"), F.col(key).alias("key"), F.xxhash64(*df.columns).alias("tie"))
 
-def _chunk_marks(df: DataFrame, key: str, ends: Column) -> list:
-    """First key of every chunk but the first; ``ends`` maps (n) to an array of 0-based starts."""
-    indexed = row_index(df.select(key), [F.col(key)])
+
+def _chunk_marks(df: DataFrame, key: str, ends) -> list:
+    """Place of the first row of every chunk but the first; ``ends`` maps n to an array of 0-based starts."""
+    indexed = materialize(row_index(df.select(_row_order(df, key).alias("o")), [F.col("o")]))
     n = indexed.count()
     starts = indexed.sparkSession.range(1).select(F.explode(ends(F.lit(n))).alias("idx"))
     # One row per chunk boundary: the chunk count is a parameter.
-    found = indexed.join(F.broadcast(starts), "idx").select("idx", key).collect()
-    return [r[key] for r in sorted(found, key=lambda r: r.idx)]
+    found = indexed.join(F.broadcast(starts), "idx").select("idx", "o").collect()
+    return [r.o for r in sorted(found, key=lambda r: r.idx)]
 
 
-def _chunk_number(key: str, marks: list) -> Column:
-    number = F.lit(0)
+def _chunk_number(df: DataFrame, key: str, marks: list) -> Column:
+    number, k, tie = F.lit(0), F.col(key), F.xxhash64(*df.columns)
     for mark in marks:
-        number = number + (F.col(key) >= F.lit(mark)).cast("int")
+        if not mark.known:
+            reached = k.isNotNull() | (tie >= F.lit(mark.tie))
+        else:
+            reached = F.coalesce((k > F.lit(mark.key)) | ((k == F.lit(mark.key)) & (tie >= F.lit(mark.tie))), F.lit(False))
+        number = number + reached.cast("int")
     return number
 
 
 def contiguous_folds(df: DataFrame, key: str, k: int = 5, name: str = "fold") -> DataFrame:
-    """Unshuffled folds over the key order; the first ``n mod k`` folds hold one row more."""
+    """Unshuffled folds over the key order; the first ``n mod k`` folds hold one row more.
+
+    NULL keys come first. Rows that share a key are parted by a hash of the whole row; only rows that are equal in
+    every column always share a fold.
+    """
     starts = lambda n: F.transform(
         F.sequence(F.lit(1), F.lit(k - 1)),
         lambda i: (i * F.floor(n / k) + F.least(i.cast("long"), n % k)).cast("long"))
-    return df.withColumn(name, _chunk_number(key, _chunk_marks(df, key, starts)))
+    return df.withColumn(name, _chunk_number(df, key, _chunk_marks(df, key, starts)))
 
 
 def row_range_chunks(df: DataFrame, key: str, n_chunks: int, name: str = "chunk") -> DataFrame:
@@ -195,7 +223,7 @@ def row_range_chunks(df: DataFrame, key: str, n_chunks: int, name: str = "chunk"
     starts = lambda n: F.transform(
         F.sequence(F.lit(1), F.lit(n_chunks - 1)),
         lambda i: F.floor(i * (n + 1) / n_chunks).cast("long"))
-    return df.withColumn(name, _chunk_number(key, _chunk_marks(df, key, starts)))
+    return df.withColumn(name, _chunk_number(df, key, _chunk_marks(df, key, starts)))
 
 
 def split_chronological(df: DataFrame, group: str, ts: str, key: str, share: float = 0.8,
