@@ -1,7 +1,5 @@
 """Fitted tables: ranks, rare values, codes, scales, and the distribution function."""
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -79,25 +77,24 @@ def ordinal_codes(spark, sf):
 WITH c AS (SELECT p_type, row_number() OVER (ORDER BY count(*) DESC, p_type) - 1 AS code FROM part GROUP BY p_type)
 SELECT p_partkey, CAST(code AS DOUBLE) AS code FROM part JOIN c USING (p_type)""")
 def library_ordinal_codes(spark, sf):
+    """Codes by falling frequency: the popularity ranks of all values."""
     rows = table(spark, sf, "part").select("p_partkey", "p_type")
-    fitted = StringIndexer(inputCol="p_type", outputCol="code", stringOrderType="frequencyDesc").fit(rows)
-    return fitted.transform(rows).select("p_partkey", "code")
+    return M.apply_rank(rows, M.fit_rank(rows, ["p_type"], 1.0), ["p_type"]).select("p_partkey", F.col("p_type_rank").cast("double").alias("code"))
 
 
 @query("encoder_map", """
-WITH s AS (SELECT c_mktsegment, row_number() OVER (ORDER BY count(*) DESC, c_mktsegment) - 1 AS i FROM customer GROUP BY 1),
-n AS (SELECT c_nationkey, row_number() OVER (ORDER BY count(*) DESC, CAST(c_nationkey AS STRING)) - 1 AS i FROM customer GROUP BY 1)
-SELECT c_custkey, CAST(n.i AS DOUBLE) AS nation, CAST(s.i = 0 AS INT) AS segment_0, CAST(s.i = 1 AS INT) AS segment_1
+WITH s AS (SELECT c_mktsegment, row_number() OVER (ORDER BY min(c_custkey)) - 1 AS i FROM customer GROUP BY 1),
+n AS (SELECT c_nationkey, row_number() OVER (ORDER BY min(c_custkey)) - 1 AS i FROM customer GROUP BY 1)
+SELECT c_custkey, n.i AS nation, s.i AS segment, CAST(s.i = 0 AS INT) AS segment_0, CAST(s.i = 1 AS INT) AS segment_1
 FROM customer JOIN s USING (c_mktsegment) JOIN n USING (c_nationkey)""")
 def encoder_map(spark, sf):
-    """A pipeline with one encoder per column, fitted once and applied."""
-    rows = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
-    stages = [StringIndexer(inputCol="c_nationkey", outputCol="nation"),
-              StringIndexer(inputCol="c_mktsegment", outputCol="segment"),
-              OneHotEncoder(inputCol="segment", outputCol="segment_v", dropLast=False)]
-    hot = vector_to_array("segment_v")
-    return Pipeline(stages=stages).fit(rows).transform(rows).select(
-        "c_custkey", "nation", hot[0].cast("int").alias("segment_0"), hot[1].cast("int").alias("segment_1"))
+    """One table of codes for several columns, fitted once, then applied as numbers and as a sparse vector."""
+    rows = table(spark, sf, "customer").select("c_custkey", F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").alias("nation"))
+    state = M.prepare(M.fit_codes(rows, ["segment", "nation"], "c_custkey"), "code")
+    coded = M.apply_codes(M.one_hot_vector(rows, state, "segment", "flags"), state, ["segment", "nation"])
+    hot = vector_to_array("flags")
+    return coded.select("c_custkey", F.col("nation").cast("long").alias("nation"), F.col("segment").cast("long").alias("segment"),
+                        hot[0].cast("int").alias("segment_0"), hot[1].cast("int").alias("segment_1"))
 
 
 @query("one_hot_flags", """

@@ -7,12 +7,14 @@ are fitted in one shuffle through the long form (feature, value, count).
 from __future__ import annotations
 
 import json
+from dataclasses import dataclass
 
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sievepoint.constants import RANK_SHARE
 from sievepoint.functions.hashing import md5_mod
-from sievepoint.operators.lookup import lookup_join
+from sievepoint.operators.lookup import Sized, lookup_join, measured
 from sievepoint.operators.ordered import group_index
 from sievepoint.runtime import materialize
 
@@ -32,28 +34,54 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     return long_form(df, columns).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _look_up(df: DataFrame, state: DataFrame, columns: list[str], value: str, pick) -> DataFrame:
-    """Look each column up in its slice of ``state``; ``pick(column, found)`` builds the new column.
+@dataclass(frozen=True)
+class Fitted:
+    """A fitted table made ready for rows, so that applying it starts no job.
 
     A column with at most ``LITERAL_VALUES`` fitted values becomes one constant map, so any number of
-    such columns cost one projection. The others are joined, broadcast while their slice is of
-    broadcast size.
+    such columns cost one projection. The others are measured slices to join, broadcast while small.
     """
-    sizes = {r.feature: r["count"] for r in state.groupBy("feature").count().collect()}
-    few = [c for c in columns if sizes.get(c, 0) <= LITERAL_VALUES]
-    known: dict[str, dict] = {c: {} for c in few}
-    # At most LITERAL_VALUES rows per column.
-    for r in state.filter(F.col("feature").isin(few)).select("feature", "value", value).collect():
+    value: str
+    constants: dict[str, str]
+    kind: str
+    slices: dict[str, Sized]
+    lengths: dict[str, int]
+
+    @property
+    def features(self) -> set[str]:
+        return set(self.constants) | set(self.slices)
+
+
+def prepare(state: DataFrame | Fitted, value: str) -> Fitted:
+    """Collect the small columns of a table (feature, value, ``value``) and measure the large ones.
+
+    A row without a value holds the length of its feature's list.
+    """
+    if isinstance(state, Fitted):
+        return state
+    # One row per column, then at most LITERAL_VALUES rows for each.
+    sizes = {r.feature: r.n for r in state.groupBy("feature").agg(F.count("value").alias("n")).collect()}
+    lengths = {r.feature: r[value] for r in state.where("value IS NULL").select("feature", value).collect()}
+    known: dict[str, dict] = {c: {} for c, n in sizes.items() if n <= LITERAL_VALUES}
+    named = state.where(F.col("value").isNotNull())
+    for r in named.where(F.col("feature").isin(list(known))).select("feature", "value", value).collect():
         known[r.feature][r.value] = r[value]
-    kind = state.schema[value].dataType.simpleString()
-    found = {c: F.try_element_at(F.from_json(F.lit(json.dumps(known[c])), f"map<string,{kind}>"),
-                                 F.col(c).cast("string")) for c in few}
-    out = df
-    for i, c in enumerate(c for c in columns if c not in known):
-        part = state.filter(F.col("feature") == c).select(
-            F.col("value").alias(f"_v{i}"), F.col(value).alias(f"_found{i}"))
-        out = lookup_join(out.withColumn(f"_v{i}", F.col(c).cast("string")), part, [f"_v{i}"])
-        found[c] = F.col(f"_found{i}")
+    slices = {c: measured(named.where(F.col("feature") == c).select(F.col("value").alias("_v"), F.col(value).alias("_found")))
+              for c in sizes if c not in known}
+    return Fitted(value, {c: json.dumps(v) for c, v in known.items()}, state.schema[value].dataType.simpleString(), slices, lengths)
+
+
+def _look_up(df: DataFrame, state: Fitted, columns: list[str], pick) -> DataFrame:
+    """Look each column up; ``pick(column, found)`` builds the new column."""
+    found, out = {}, df
+    for i, c in enumerate(columns):
+        if c in state.slices:
+            part = Sized(state.slices[c].table.select(F.col("_v").alias(f"_v{i}"), F.col("_found").alias(f"_found{i}")), state.slices[c].small)
+            out = lookup_join(out.withColumn(f"_v{i}", F.col(c).cast("string")), part, [f"_v{i}"])
+            found[c] = F.col(f"_found{i}")
+        else:
+            found[c] = F.try_element_at(F.from_json(F.lit(state.constants.get(c, "{}")), f"map<string,{state.kind}>"),
+                                        F.col(c).cast("string"))
     picked = dict(pick(c, found[c]) for c in columns)
     fresh = [picked[n].alias(n) for n in picked if n not in df.columns]
     return out.select(*(picked[c].alias(c) if c in picked else F.col(c) for c in df.columns), *fresh)
@@ -75,13 +103,13 @@ def fit_rank(df: DataFrame, columns: list[str], share: float = RANK_SHARE) -> Da
     return materialize(kept.unionByName(rest))
 
 
-def apply_rank(df: DataFrame, state: DataFrame, columns: list[str]) -> DataFrame:
+def apply_rank(df: DataFrame, state: DataFrame | Fitted, columns: list[str]) -> DataFrame:
     """Add ``<column>_rank``; an unranked value gets the list length, NULL stays NULL."""
-    lengths = {r.feature: r["rank"] for r in state.filter(F.col("value").isNull()).collect()}
+    ready = prepare(state, "rank")
 
     def pick(c: str, found: Column):
-        return f"{c}_rank", F.when(F.col(c).isNotNull(), F.coalesce(found, F.lit(lengths.get(c, 0))))
-    return _look_up(df, state.filter(F.col("value").isNotNull()), columns, "rank", pick)
+        return f"{c}_rank", F.when(F.col(c).isNotNull(), F.coalesce(found, F.lit(ready.lengths.get(c, 0))))
+    return _look_up(df, ready, columns, pick)
 
 
 def fit_common(df: DataFrame, columns: list[str], thresh: int = 10) -> DataFrame:
@@ -90,13 +118,13 @@ def fit_common(df: DataFrame, columns: list[str], thresh: int = 10) -> DataFrame
     return materialize(counts.filter(F.col("value").isNotNull() & (F.col("n") > thresh)))
 
 
-def collapse_rare(df: DataFrame, state: DataFrame, columns: list[str], other: str = "Other") -> DataFrame:
+def collapse_rare(df: DataFrame, state: DataFrame | Fitted, columns: list[str], other: str = "Other") -> DataFrame:
     """Lower-case the columns and replace values outside the fitted table by ``other``."""
     lowered = df.select(*(F.lower(c).alias(c) if c in columns else F.col(c) for c in df.columns))
 
     def pick(c: str, found: Column):
         return c, F.when(F.col(c).isNull() | found.isNotNull(), F.col(c)).otherwise(F.lit(other))
-    return _look_up(lowered, state, columns, "n", pick)
+    return _look_up(lowered, prepare(state, "n"), columns, pick)
 
 
 def fit_codes(df: DataFrame, columns: list[str], key: str) -> DataFrame:
@@ -107,9 +135,9 @@ def fit_codes(df: DataFrame, columns: list[str], key: str) -> DataFrame:
     return materialize(coded.select("feature", "value", "code", "n"))
 
 
-def apply_codes(df: DataFrame, state: DataFrame, columns: list[str]) -> DataFrame:
+def apply_codes(df: DataFrame, state: DataFrame | Fitted, columns: list[str]) -> DataFrame:
     """Replace values by their codes; unseen and NULL are -1."""
-    return _look_up(df, state, columns, "code", lambda c, found: (c, F.coalesce(found, F.lit(-1))))
+    return _look_up(df, prepare(state, "code"), columns, lambda c, found: (c, F.coalesce(found, F.lit(-1))))
 
 
 def fit_scale(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -130,11 +158,25 @@ def apply_scale(df: DataFrame, state: DataFrame, columns: list[str]) -> DataFram
     return df.select(*(scaled(c) if c in fitted else F.col(c) for c in df.columns))
 
 
-def one_hot(df: DataFrame, state: DataFrame, column: str) -> DataFrame:
-    """Boolean indicators as 0/1 columns, one per fitted code of ``column``."""
-    values = [r.value for r in state.filter(F.col("feature") == column).orderBy("code").limit(1001).collect()]
-    if len(values) > 1000:
-        raise ValueError(f"{column} has over 1000 values; use hash_encode or leave_one_out")
+def one_hot_vector(df: DataFrame, state: DataFrame | Fitted, column: str, name: str | None = None) -> DataFrame:
+    """Indicators as one sparse vector, for any number of fitted values; unseen and NULL are all zero."""
+    ready = prepare(state, "code")
+    size = (ready.slices[column].table.count() if column in ready.slices else len(json.loads(ready.constants.get(column, "{}"))))
+    coded = _look_up(df, ready, [column], lambda c, found: ("_code", F.coalesce(found, F.lit(size)).cast("double")))
+    # The last code stands for "none" and is dropped from the vector.
+    known = df.sparkSession.createDataFrame([(float(size),)], "_code double")
+    encoder = OneHotEncoder(inputCols=["_code"], outputCols=[name or f"{column}_flags"], dropLast=True).fit(known)
+    return encoder.transform(coded).drop("_code")
+
+
+def one_hot(df: DataFrame, state: DataFrame, column: str, limit: int = 1000) -> DataFrame:
+    """Indicators as 0/1 columns, one per fitted code; ``limit`` guards the width of the frame.
+
+    Beyond it ``one_hot_vector`` holds the same in one column.
+    """
+    values = [r.value for r in state.filter(F.col("feature") == column).orderBy("code").limit(limit + 1).collect()]
+    if len(values) > limit:
+        raise ValueError(f"{column} has over {limit} values; use one_hot_vector")
     text = F.col(column).cast("string")
     return df.select("*", *(F.coalesce((text == v).cast("int"), F.lit(0)).alias(f"{column}_{i}")
                             for i, v in enumerate(values)))
@@ -154,15 +196,37 @@ def hash_encode(df: DataFrame, columns: list[str], n: int = 8) -> DataFrame:
     return marked.select(*rest, *counters)
 
 
+def fit_leave_one_out(df: DataFrame, columns: list[str], y: str) -> DataFrame:
+    """(feature, value, total, n) of the labels, with one row per feature for all labels and no value."""
+    label = F.col(y).cast("double")
+    cells = long_form(df.withColumn("_y", label), columns, ("_y",))
+    sums = (F.sum("_y").alias("total"), F.count("_y").alias("n"))
+    own = cells.where(F.col("value").isNotNull()).groupBy("feature", "value").agg(*sums)
+    every = cells.groupBy("feature").agg(*sums).select("feature", F.lit(None).cast("string").alias("value"), "total", "n")
+    return materialize(own.unionByName(every))
+
+
+def apply_leave_one_out(df: DataFrame, state: DataFrame, column: str, y: str | None = None, name: str | None = None) -> DataFrame:
+    """Mean label of the fitted rows with the same value, without the row's own label where ``y`` is given.
+
+    New rows have no part in the fit and give no ``y``. A value without any other row, unseen or NULL gets the
+    mean of all labels.
+    """
+    mine = state.where(F.col("feature") == column)
+    whole = mine.where("value IS NULL").first()
+    overall = whole.total / whole.n if whole and whole.n else None
+    part = mine.where("value IS NOT NULL").select(F.col("value").alias("_v"), F.col("total").alias("_sum"), F.col("n").alias("_cnt"))
+    label = F.col(y).cast("double") if y else F.lit(None).cast("double")
+    total = F.col("_sum") - F.coalesce(label, F.lit(0.0))
+    n = F.col("_cnt") - label.isNotNull().cast("int")
+    joined = lookup_join(df.withColumn("_v", F.col(column).cast("string")), part, ["_v"])
+    value = F.when(n > 0, total / n).otherwise(F.lit(overall).cast("double"))
+    return joined.withColumn(name or f"{column}_loo", value).drop("_v", "_sum", "_cnt")
+
+
 def leave_one_out(df: DataFrame, column: str, y: str, name: str | None = None) -> DataFrame:
     """Mean label of the other rows with the same value; a lone row gets the overall mean."""
-    label = F.col(y).cast("double")
-    stats = materialize(df.filter(F.col(column).isNotNull()).groupBy(column)
-                        .agg(F.sum(label).alias("_sum"), F.count(label).alias("_cnt")))
-    overall = df.agg(F.avg(label)).first()[0]
-    value = (F.when(F.col("_cnt") > 1, (F.col("_sum") - label) / (F.col("_cnt") - 1))
-             .otherwise(F.lit(overall)))
-    return lookup_join(df, stats, [column]).withColumn(name or f"{column}_loo", value).drop("_sum", "_cnt")
+    return apply_leave_one_out(df, fit_leave_one_out(df, [column], y), column, y, name)
 
 
 def categorical_columns(df: DataFrame, skip: tuple[str, ...] = ("y", "ts")) -> list[str]:
