@@ -29,6 +29,12 @@ SEARCH_GRID = {
 }
 
 
+def effective(kind: str, params: dict) -> dict:
+    """The parameters that have an effect on ``kind``; a search over others would fit the same model again."""
+    ignored = () if kind == "logistic" else ("reg_lambda", "reg_alpha")
+    return {name: value for name, value in params.items() if name not in ignored}
+
+
 def spark_params(kind: str, params: dict) -> dict:
     """Common parameter names to those of the Spark estimator; Spark names pass through."""
     rounds = "numTrees" if kind == "random_forest" else "maxIter"
@@ -75,13 +81,18 @@ def with_probability(scored: DataFrame, name: str = "prob") -> DataFrame:
         "rawPrediction", "probability", "prediction")
 
 
+def blended(df: DataFrame, model, threshold: float = SCORE_THRESHOLD, rule: str | None = "y_rule") -> DataFrame:
+    """Assembled rows with ``pred_fraud_prob``, the rule blended in where the column is there."""
+    scored = with_probability(model.transform(df))
+    prob = blend(F.col("prob"), F.col(rule), threshold) if rule and rule in df.columns else F.col("prob")
+    return scored.withColumn("pred_fraud_prob", prob)
+
+
 def predict(df: DataFrame, model, id_column: str = "app_id", threshold: float = SCORE_THRESHOLD,
             rule: str | None = "y_rule") -> DataFrame:
     """Assembled rows to (id, pred_fraud_prob, pred_fraud), the rule blended in."""
-    scored = with_probability(model.transform(df))
-    prob = blend(F.col("prob"), F.col(rule), threshold) if rule and rule in df.columns else F.col("prob")
-    return scored.select(id_column, prob.alias("pred_fraud_prob"),
-                         decide(prob, threshold).alias("pred_fraud"))
+    return blended(df, model, threshold, rule).select(
+        id_column, "pred_fraud_prob", decide(F.col("pred_fraud_prob"), threshold).alias("pred_fraud"))
 
 
 def bypass(df: DataFrame, id_column: str = "app_id") -> DataFrame:

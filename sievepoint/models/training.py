@@ -18,10 +18,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from sievepoint.constants import SCORE_THRESHOLD
 from sievepoint.functions.hashing import uniform
-from sievepoint.models.classifiers import importance, make_classifier, spark_params, with_probability
+from sievepoint.models.classifiers import effective, importance, make_classifier, spark_params, with_probability
 from sievepoint.operators.metrics import confusion, evaluate, f_beta
 from sievepoint.operators.rules import decide
-from sievepoint.operators.splits import contiguous_folds, row_range_chunks, shuffle_splits, split_random
+from sievepoint.operators.splits import contiguous_folds, row_range_chunks, shuffle_marks, split_random
 from sievepoint.runtime import materialize
 
 
@@ -55,6 +55,39 @@ def train(df: DataFrame, kind: str, params: dict | None = None, fold: str | None
     return model, scored, evaluate(scored, "label", "prob", threshold)
 
 
+def train_kinds(df: DataFrame, kinds: dict[str, dict], fold: str | None = None, is_test: str = "is_test",
+                threshold: float = SCORE_THRESHOLD) -> tuple[dict, DataFrame]:
+    """Several kinds with their chosen parameters in one run: (models fitted on all rows, quality rows).
+
+    The table has one row per kind and split, and with folds one more for all held-out rows together.
+    """
+    models, rows = {}, []
+    for kind, params in kinds.items():
+        if fold:
+            scored = materialize(out_of_fold(df, kind, params, fold).drop("features"))
+            splits = {str(r[fold]): scored.where(F.col(fold) == r[fold]) for r in scored.select(fold).distinct().collect()}
+            splits["all"] = scored
+        else:
+            scored = fit_score(df.where(~F.col(is_test)), df.where(is_test), kind, params)[1]
+            splits = {"holdout": materialize(scored.drop("features"))}
+        models[kind] = make_classifier(kind, params).fit(df)
+        rows += [evaluate(part, "label", "prob", threshold).withColumns({
+            "kind": F.lit(kind), "split": F.lit(name), "params": F.lit(json.dumps(params, sort_keys=True))}) for name, part in splits.items()]
+    return models, reduce(DataFrame.unionByName, rows)
+
+
+def classification_report(scored: DataFrame, label: str = "label", prob: str = "prob", threshold: float = 0.5) -> DataFrame:
+    """Precision, recall, F1 and support of each class."""
+    counts = confusion(scored, label, decide(F.col(prob), threshold))
+    share = lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(0.0))
+    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
+    each = F.explode(F.array(*(
+        F.struct(F.lit(k).alias("class"), share(hit, hit + wrong).alias("precision"), share(hit, hit + lost).alias("recall"),
+                 share(2 * hit, 2 * hit + wrong + lost).alias("f1"), (hit + lost).alias("support"))
+        for k, hit, wrong, lost in ((0, tn, fn, fp), (1, tp, fp, fn)))))
+    return counts.select(each.alias("r")).select("r.*")
+
+
 def parameter_grid(space: dict[str, list]) -> list[dict]:
     names = sorted(space)
     return [dict(zip(names, values)) for values in product(*(space[n] for n in names))]
@@ -64,9 +97,9 @@ def search(df: DataFrame, kind: str, space: dict[str, list], fold: str = "fold",
            n_iter: int | None = None, seed: int = 42, parallelism: int = 4):
     """Grid search, or a random draw of ``n_iter`` grid points, scored by recall on given folds.
 
-    Returns (best model refitted on all rows, best parameters, results table).
+    Parameters without effect on ``kind`` are left out before the grid is built. Returns (best model refitted on all rows, best parameters, results table).
     """
-    grid = parameter_grid(space)
+    grid = parameter_grid(effective(kind, space))
     if n_iter is not None and n_iter < len(grid):
         grid = random.Random(seed).sample(grid, n_iter)
     estimator = make_classifier(kind)
@@ -96,17 +129,17 @@ _CURVE = "x double, n_train long, train_mean double, train_std double, test_mean
 def learning_curve(df: DataFrame, kind: str, params: dict | None = None, key: str = "app_id",
                    shares=(0.1, 0.325, 0.55, 0.775, 1.0), repeats: int = 5, share: float = 0.2) -> DataFrame:
     """Accuracy on train and held-out rows for growing training shares, over shuffle splits."""
-    split = materialize(shuffle_splits(df, key, repeats, share))
+    split = materialize(shuffle_marks(df, key, repeats, share))
     rows = []
     for size in shares:
         n, on_train, on_test = 0, [], []
         for r in range(repeats):
-            part = split.filter(F.col("repeat") == r)
-            known = part.filter(~F.col("is_test") & (uniform(F.col(key), r, "curve") < size))
+            held = F.col("is_test")[r]
+            known = split.filter(~held & (uniform(F.col(key), r, "curve") < size))
             model = make_classifier(kind, params).fit(known)
             n = known.count()
             on_train.append(_accuracy(with_probability(model.transform(known))))
-            on_test.append(_accuracy(with_probability(model.transform(part.filter("is_test")))))
+            on_test.append(_accuracy(with_probability(model.transform(split.filter(held)))))
         rows.append(_curve_row(size, n, on_train, on_test))
     return df.sparkSession.createDataFrame(rows, _CURVE)
 

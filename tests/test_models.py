@@ -42,20 +42,69 @@ def test_given_model_and_bypass(spark):
     assert (off.pred_fraud_prob, off.pred_fraud) == (0.0, 0)
 
 
+def test_search_drops_parameters_without_effect(spark):
+    rows = X.kfold(planted(spark, 400), "app_id", 2)
+    _, _, table = T.search(rows, "decision_tree", {"max_depth": [1, 2], "reg_alpha": [1, 3, 5], "reg_lambda": [1, 3]}, folds=2)
+    assert table.count() == 2
+
+
+def test_kinds_and_report(spark):
+    rows = X.kfold(planted(spark, 600), "app_id", 2)
+    models, table = T.train_kinds(rows, {"decision_tree": {"max_depth": 2}, "random_forest": {"n_estimators": 3}}, fold="fold")
+    assert set(models) == {"decision_tree", "random_forest"}
+    assert sorted((r.kind, r.split) for r in table.collect()) == [(k, s) for k in sorted(models) for s in ("0", "1", "all")]
+    scored = T.out_of_fold(rows, "decision_tree", {"max_depth": 2}, folds=2)
+    report = {r["class"]: r for r in T.classification_report(scored).collect()}
+    assert report[0].support + report[1].support == 600 and report[1].f1 > 0.9
+
+
 def test_stream_equals_batch_and_newest_state_is_used(spark, tmp_path):
     path = str(tmp_path / "state")
     first = Q.fitted(spark, SF, path, 1)
     assert first["version"] == 1
-    batch = P.score(Q.applications(spark, SF).drop("fraud_status"), Q.OPTIONS, first, Q._lookups(spark, SF), Q.DECLARED_TEXT)
+    state, lookups = S.ready(first, Q._lookups(spark, SF))
+    batch = P.score(Q.marked(spark, SF), Q.END_TO_END, state, lookups, Q.DECLARED_TEXT)
     want = sorted(map(tuple, batch.collect()))
     from sievepoint.streaming.scoring import FreshState, score_stream
-    fresh = FreshState(path)
+    fresh = FreshState(path, lookups)
     held = fresh.get(spark)
     assert fresh.get(spark) is held
-    job = score_stream(Q._stream(spark, SF).drop("fraud_status"), path, str(tmp_path / "out"), str(tmp_path / "progress"),
-                       Q.OPTIONS, Q._lookups(spark, SF), Q.DECLARED_TEXT, trigger={"availableNow": True})
+    events = str(tmp_path / "in")
+    spark.read.parquet(f"{SF}/events.parquet").repartition(3).write.parquet(events)
+    job = score_stream(Q._stream(spark, events), path, str(tmp_path / "out"), str(tmp_path / "progress"),
+                       Q.END_TO_END, lookups, Q.DECLARED_TEXT, trigger={"availableNow": True})
     job.awaitTermination()
+    assert len(list((tmp_path / "out").glob("batch=*"))) == 3
     got = spark.read.parquet(str(tmp_path / "out")).drop("batch")
     assert sorted(map(tuple, got.collect())) == want and len(want) == 1000
-    S.publish(spark, path, 2, {k: held[k] for k in ("ranks", "codes")}, held["features"], held["model"].stages[0])
-    assert fresh.get(spark)["version"] == 2
+    S.publish(spark, path, 2, {k: first[k] for k in ("inputs", "ranks", "codes")}, first["features"], first["model"].stages[0])
+    assert fresh.get(spark)[0]["version"] == 2 and fresh.get(spark)[1]["ip_ranges"] is held[1]["ip_ranges"]
+
+
+def test_scoring_with_ready_state(spark, tmp_path):
+    """No job before the answer is asked for, and unknown columns or the size of a batch change nothing."""
+    state, lookups = S.ready(Q.fitted(spark, SF, str(tmp_path / "state")), Q._lookups(spark, SF))
+    few = Q.marked(spark, SF).where("app_id < 40").cache()
+    few.count()
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan", "plan")
+    plain = P.score(few, Q.END_TO_END, state, lookups, Q.DECLARED_TEXT)
+    assert len(jobs.getJobIdsForGroup("plan")) == 0
+    spark.sparkContext.setJobGroup("rest", "rest")
+    more = few.withColumns({"surprise": F.lit(None).cast("int"), "another": F.lit(0)})
+    want = sorted(map(tuple, plain.collect()))
+    assert sorted(map(tuple, P.score(more, Q.END_TO_END, state, lookups, Q.DECLARED_TEXT).collect())) == want
+    one = P.score(few.where("app_id = 7"), Q.END_TO_END, state, lookups, Q.DECLARED_TEXT)
+    assert [tuple(r) for r in one.collect()] == [w for w in want if w[0] == 7]
+
+
+def test_kept_columns_do_not_depend_on_the_batch(spark, tmp_path):
+    from dataclasses import replace
+    opts = replace(Q.END_TO_END, unique_bound=50, cardinality_thresh=3)
+    small = Q.marked(spark, SF).where("app_id < 60").cache()
+    assembled, state, features = P.prepare_training(small, opts, Q._lookups(spark, SF), Q.DECLARED_TEXT)
+    model = C.make_classifier("decision_tree", {"maxBins": 64}).fit(assembled.cache())
+    S.publish(spark, str(tmp_path / "s"), 1, state, features, model)
+    held, lookups = S.ready(S.load(spark, str(tmp_path / "s")), Q._lookups(spark, SF))
+    whole = P.score(Q.marked(spark, SF), opts, held, lookups, Q.DECLARED_TEXT)
+    assert whole.count() == 1000
