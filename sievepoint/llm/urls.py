@@ -81,8 +81,8 @@ def judge_pages(pages: DataFrame, rules: list[tuple[str, str, str]], reject_at:
     """Verdict for each page address: page_id, host, path, rule, verdict, template, purity.
 
     The rule's verdict where a rule fits. These pages are also the labels of the tree: a template's purity is its
-    share of blocked labels, smoothed by ``prior_weight`` labels at the share over all pages, and a page without
-    a rule is blocked if its template's purity reaches ``reject_at``. Without any label everything else is allowed.
+    share of blocked labels, smoothed by ``prior_weight`` labels of which half are blocked, and a page without a
+    rule is blocked if its template's purity reaches ``reject_at``. A template without labels is thus allowed.
 
     A NULL url, or one without ``://``, has an empty host and path and is judged like any other. Repeated rows
     come back as often as they are given. Other columns are ignored; an empty table gives an empty result.
@@ -91,11 +91,9 @@ def judge_pages(pages: DataFrame, rules: list[tuple[str, str, str]], reject_at:
     found = found.withColumn("fit", rule_for(F.col("host"), F.col("path"), rules))
     paths = materialize(found.groupBy("host", "path").agg(
         F.count(F.lit(1)).alias("n"), F.count("fit").alias("labelled"), F.count_if(F.col("fit.verdict") == "block").alias("bad")))
-    total = paths.agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad")).first()
-    prior = (total.bad or 0) / max(1, total.labelled or 0)
     placed = path_templates(paths, **tree)
     sums = placed.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
-    purity = (F.col("bad") + prior_weight * prior) / (F.col("labelled") + prior_weight)
+    purity = (F.col("bad") + prior_weight / 2) / (F.col("labelled") + prior_weight)
     judged = placed.select("host", "path", "template").join(
         sums.select("host", "template", purity.alias("purity")), ["host", "template"])
     own = F.when(F.col("purity") >= reject_at, "block").otherwise("allow")
