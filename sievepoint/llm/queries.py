@@ -93,7 +93,27 @@ def op6_nearest_vectors(spark, sf_dir):
     return hnsw.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
-@query()
+_LOWER_WORDS = (r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+                r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+_PAIRS = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
+_TEMPLATE_ROWS = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in licences.TEMPLATES.items())
+
+
+@query(f"""
+WITH tpl AS (SELECT name, {_PAIRS} AS b FROM (SELECT name, {_LOWER_WORDS.format("t")} AS w FROM (VALUES {_TEMPLATE_ROWS}) v(name, t))),
+d AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
+unit AS (
+  SELECT doc_id, unnest(string_split(body, chr(10))) AS unit FROM d
+  UNION SELECT doc_id, unnest(regexp_split_to_array(body, chr(10) || '{{2,}}')) FROM d WHERE contains(body, chr(10) || chr(10))
+  UNION SELECT doc_id, body FROM d WHERE contains(body, chr(10))),
+a AS (SELECT doc_id, unit, {_PAIRS} AS a FROM (SELECT doc_id, unit, {_LOWER_WORDS.format("unit")} AS w FROM unit) WHERE len(w) > 1),
+s AS (SELECT doc_id, unit, name, 2 * len(list_intersect(a, b)) / (len(a) + len(b)) AS dice FROM a, tpl
+      WHERE len(a) BETWEEN len(b) * 0.8 / 1.2 AND len(b) * 1.2 / 0.8),
+best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, unit ORDER BY dice DESC, name) AS r FROM s WHERE dice >= 0.8),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY dice DESC, name) AS rank, count(*) OVER (PARTITION BY doc_id) AS n
+           FROM best WHERE r = 1)
+SELECT doc_id, name AS licence, dice, CAST(coalesce(n, 0) AS INTEGER) AS n_found FROM d LEFT JOIN (FROM ranked WHERE rank = 1) USING (doc_id)
+""")
 def op7_licence_statements(spark, sf_dir):
     found = licences.scan_licences(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "licence", "dice", F.size("licences").alias("n_found"))
@@ -129,8 +149,7 @@ def op9_shared_lines(spark, sf_dir):
     return found.select("doc_id", "n_lines", "n_dropped", sha256(F.col("text")).alias("kept_sha256"))
 
 
-_WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
-          r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+_WORDS = _LOWER_WORDS.format("coalesce(text, '')")
 
 
 @query(f"""
