@@ -233,6 +233,62 @@ def test_templates_reject_by_purity(spark):
     assert {r.verdict for r in got if "/news/" in r.path} == {"allow"}
 
 
+def plain_templates(paths, depth=6, fan_out=50, least_share=0.02, chi_square=5.99):
+    """The template of each (host, path), grown level by level; ``paths`` maps it to (n, labelled, bad)."""
+    parts = {k: re.sub("^/", "", k[1]).split("/") for k in paths}
+    made = {k: "" for k in paths}
+    for level in range(depth):
+        kids = {}
+        for k, (n, labelled, bad) in paths.items():
+            if level < len(parts[k]) and not re.match(urls.VARIABLE, parts[k][level]):
+                sums = kids.setdefault((k[0], made[k]), {}).setdefault(parts[k][level], [0, 0, 0])
+                for i, v in enumerate((bad, labelled - bad, n - labelled)):
+                    sums[i] += v
+        grown = {}
+        for k in paths:
+            if level >= len(parts[k]):
+                grown[k] = made[k]
+                continue
+            beside = kids.get((k[0], made[k]), {})
+            mine, total = beside.get(parts[k][level]), [sum(v[i] for v in beside.values()) for i in range(3)]
+            own = False
+            if mine:
+                n, whole = sum(mine), sum(total)
+                common = len(beside) <= fan_out or n >= least_share * whole
+                expected = [n * t / whole for t in total]
+                own = common and sum((m - e) ** 2 / e for m, e in zip(mine, expected) if e > 0) >= chi_square
+            grown[k] = f"{made[k]}/{parts[k][level] if own else '*'}"
+        made = grown
+    return {k: v + ("/**" if len(parts[k]) > depth else "") for k, v in made.items()}
+
+
+def test_pages_against_plain_python(spark):
+    got = queries.op4_path_templates(spark, "/root/testdata/sf0.01").collect()
+    paths = {}
+    for r in got:
+        held = paths.setdefault((r.host, r.path), [0, 0, 0])
+        held[0] += 1
+        held[1] += r.rule is not None
+        held[2] += r.rule is not None and r.verdict == "block"
+    made = plain_templates(paths)
+    sums = {}
+    for k, (_, labelled, bad) in paths.items():
+        total = sums.setdefault((k[0], made[k]), [0, 0])
+        total[0] += labelled
+        total[1] += bad
+    urls_given = {r.page_id: r.url for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()}
+    assert len(got) == len(urls_given)
+    for r in got:
+        rest = urls_given[r.page_id].partition("://")[2]
+        host = re.split("[/?#]", rest)[0]
+        path = re.split("[?#]", rest[len(host):])[0]
+        fits = [(len(h + p), h + p, v) for h, p, v in queries.RULES if ("." + host.lower()).endswith("." + h) and path.startswith(p)]
+        labelled, bad = sums[(r.host, r.template)]
+        own = "block" if (bad + 2) / (labelled + 4) >= 0.8 else "allow"
+        assert (r.host, r.path, r.template) == (host.lower(), path, made[(r.host, r.path)])
+        assert (r.rule, r.verdict) == (max(fits)[1:] if fits else (None, own))
+
+
 def test_many_segments_become_a_wildcard(spark):
     pages = [(i, f"http://h.org/user-{chr(97 + i % 26)}{chr(97 + i // 26)}/profile") for i in range(300)]
     got = urls.judge_pages(spark.createDataFrame(pages, "page_id long, url string"), queries.RULES).collect()
