@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -36,7 +38,8 @@ def build_session(app: str = "sievepoint", master: str | None = None, **conf) ->
 def state_dir(spark: SparkSession) -> str:
     """Shared folder for written intermediates: the cluster's ``spark.checkpoint.dir``.
 
-    Only a local session, as in tests, may fall back to a temporary folder.
+    Only a session in one process, as in tests, may fall back to a temporary folder; with executors of
+    their own a missing setting is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -51,6 +54,22 @@ def state_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+_scope: ContextVar[str | None] = ContextVar("scope", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Delete, on leaving, every intermediate written inside. Results must be written before that."""
+    folder = f"{state_dir(spark)}/sievepoint/{uuid.uuid4().hex}"
+    token = _scope.set(folder)
+    try:
+        yield folder
+    finally:
+        _scope.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -58,7 +77,7 @@ def materialize(df: DataFrame) -> DataFrame:
     planner exact sizes for its join choice.
     """
     spark = df.sparkSession
-    path = f"{state_dir(spark)}/sievepoint/{uuid.uuid4().hex}"
+    path = f"{_scope.get() or f'{state_dir(spark)}/sievepoint'}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

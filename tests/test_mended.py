@@ -1,11 +1,13 @@
 """Inputs that used to be dropped, cut or answered differently by size."""
 
+from pathlib import Path
+
 import pytest
 from conftest import values
 from pyspark.sql import functions as F
 
 from sievepoint.operators import fitted as M, lookup as L, splits as X
-from sievepoint.runtime import measured_size
+from sievepoint.runtime import materialize, measured_size, scratch
 from sievepoint.sources import readers as S, sinks as W
 
 KINDS = {"a": "int", "b": "str"}
@@ -84,3 +86,10 @@ def test_leave_one_out_on_new_rows(rows):
 def test_nested_payload_is_measured(rows):
     df = rows([([1.5] * 1000,)], "v array<double>")
     assert measured_size(df)[1] > 3000
+
+
+def test_scratch_leaves_nothing(spark, rows):
+    df = rows([(1,), (2,)], "a int")
+    with scratch(spark) as folder:
+        assert folder.split("/")[-1] in materialize(df).inputFiles()[0]
+    assert not Path(folder.removeprefix("file:")).exists()
