@@ -5,12 +5,34 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sievepoint.llm.text import BLANKS, lower_ascii, row_keys, whole_text
+from sievepoint.runtime import fits_broadcast, materialize
+
+# Hashes that a large table of shared lines broadcasts ahead of its shuffle.
+HOT_LINES = 100_000
 
 
 def line_key(line: Column) -> Column:
     return lower_ascii(F.btrim(line, F.lit(BLANKS)))
 
 
+def _hits(lines: DataFrame, shared: DataFrame, most: int = HOT_LINES) -> DataFrame:
+    """Lines whose hash is in ``shared`` (h1, h2, docs).
+
+    A table within the broadcast bounds meets the lines where they are. Of a larger one the ``most`` widespread
+    hashes are broadcast, and the lines that they settle are spread by their row; only hashes rarer than all of
+    these are matched by a shuffle, so no task gets a line that a large share of the documents holds.
+    """
+    keys = ["h1", "h2"]
+    if fits_broadcast(shared):
+        return lines.join(F.broadcast(shared.select(*keys)), keys, "left_semi")
+    hot = shared.orderBy(F.desc("docs"), *keys).limit(most).select(*keys, F.lit(True).alias("hot"))
+    marked = lines.join(F.broadcast(materialize(hot)), keys, "left")
+    spread = F.when(F.col("hot"), 1 + F.pmod(F.xxhash64("k1", "pos"), F.lit(1 << 20))).otherwise(F.lit(0))
+    cold = shared.select(*keys, F.lit(0).cast("long").alias("salt"), F.lit(True).alias("cold"))
+    found = marked.withColumn("salt", spread.cast("long")).join(cold, [*keys, "salt"], "left")
+    return found.where("hot OR cold").select(*lines.columns)
+
+
 def drop_shared_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataFrame:
     """Remove every line whose key is found in at least ``min_docs`` documents.
 
@@ -31,9 +53,9 @@ def drop_shared_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -
              .select("k1", "k2", "doc", "pos", key.alias("key"))
              .where(F.length("key") >= min_chars)
              .select("k1", "k2", "doc", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("#"), "key").alias("h2")))
-    shared = (lines.groupBy("h1", "h2").agg(F.count_distinct("doc").alias("docs"))
-              .where(F.col("docs") >= min_docs).select("h1", "h2"))
-    hits = (lines.select("k1", "k2", "pos", "h1", "h2").join(shared, ["h1", "h2"], "left_semi")
+    shared = materialize(lines.groupBy("h1", "h2").agg(F.count_distinct("doc").alias("docs"))
+                         .where(F.col("docs") >= min_docs))
+    hits = (_hits(lines.select("k1", "k2", "pos", "h1", "h2"), shared)
             .groupBy("k1", "k2").agg(F.collect_set("pos").alias("hit")))
     all_lines = F.split("body", "\n", -1)
     none = F.array().cast("array<int>")
