@@ -24,6 +24,7 @@ SWITCH_PENALTY = 12.0
 # Words labelled together, and words whose scores a task remembers.
 WORDS_AT_ONCE = 2_000_000
 WORDS_KEPT = 400_000
+SCORED_AT_ONCE = 50_000
 
 WORD = re.compile(r"[^\W\d_]+")
 RESULT = "lang_pred string, score double, spans array<struct<start:int,end:int,lang:string>>"
@@ -57,8 +58,8 @@ def _script_column(letter: Column) -> Column:
 
 
 def script_of(word: str) -> str:
-    code = ord(word[0])
-    return next((s for s, ranges in SCRIPTS.items() if any(a <= code <= b for a, b in ranges)), "other")
+    code = ord(word[0].lower())
+    return "latin" if code < 0x250 else next((s for s, ranges in SCRIPTS.items() if any(a <= code <= b for a, b in ranges)), "other")
 
 
 @dataclass
@@ -115,31 +116,45 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, features: int = FEATURE
 
 
 class _Words(dict):
-    """Numbers words as they are met and keeps their scores and lengths."""
+    """Numbers words as they are met, scores the new ones together, and keeps scores and lengths."""
 
     def __init__(self, model: Model):
         super().__init__()
-        self.model, self.scores, self.sizes = model, np.zeros((1024, len(model.langs)), np.float32), np.zeros(1024, np.int32)
+        self.model, self.fresh = model, []
+        self.scores, self.sizes = np.zeros((0, len(model.langs)), np.float32), np.zeros(0, np.int32)
+        # One more row stands for features that are not known, and one for scripts that no language uses.
+        self.logs = np.vstack([model.logs.reshape(-1, len(model.langs)), np.zeros((1, len(model.langs)), np.float32)])
+        self.scripts = {s: i for i, s in enumerate(model.open_to)}
+        self.open = np.array([*model.open_to.values(), np.zeros(len(model.langs), bool)])
 
     def __missing__(self, word: str) -> int:
         i = self[word] = len(self)
-        if i == len(self.sizes):
-            self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
-            self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
-        model, lowered = self.model, word.lower()
-        bounded = f"^{lowered}$"
-        found = [r for r in map(model.rows.get, [bounded[j:j + 3] for j in range(len(bounded) - 2)] + [f" {lowered}"])
-                 if r is not None]
-        said = model.logs[found].sum(axis=0) if found else np.zeros(len(model.langs), np.float32)
-        allowed = model.open_to.get(script_of(lowered))
-        if allowed is not None and allowed.any():
-            said = np.maximum(said - said[allowed].max(), -WORD_LIMIT)
-            said[~allowed] = -2 * WORD_LIMIT
-        else:
-            said = np.zeros(len(model.langs), np.float32)
-        self.scores[i], self.sizes[i] = said, len(word)
+        self.fresh.append(word)
         return i
 
+    def settle(self) -> None:
+        """Score the words met since the last call."""
+        parts = [self._scored(self.fresh[i:i + SCORED_AT_ONCE]) for i in range(0, len(self.fresh), SCORED_AT_ONCE)]
+        self.scores = np.concatenate([self.scores, *parts])
+        self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, self.fresh), np.int32)])
+        self.fresh = []
+
+    def _scored(self, words: list[str]) -> np.ndarray:
+        get, unknown, rows, starts = self.model.rows.get, len(self.logs) - 1, [], []
+        for word in words:
+            lowered = word.lower()
+            bounded = f"^{lowered}$"
+            starts.append(len(rows))
+            rows.append(get(f" {lowered}", unknown))
+            rows += [get(bounded[j:j + 3], unknown) for j in range(len(bounded) - 2)]
+        said = np.add.reduceat(self.logs[rows], starts)
+        allowed = self.open[[self.scripts.get(script_of(w), len(self.open) - 1) for w in words]]
+        best = np.where(allowed, said, -np.inf).max(axis=1, keepdims=True)
+        limited = np.maximum(said - np.where(np.isfinite(best), best, 0), -WORD_LIMIT)
+        out = np.where(allowed, limited, -2 * WORD_LIMIT)
+        out[~allowed.any(axis=1)] = 0
+        return out.astype(np.float32)
+
 
 def best_paths(scores: np.ndarray, sizes: list[int], penalty: float) -> np.ndarray:
     """Viterbi labels of several word sequences laid end to end, stepping through all of them at once."""
@@ -174,6 +189,7 @@ def best_paths(scores: np.ndarray, sizes: list[int], penalty: float) -> np.ndarr
 def _label_texts(texts: list[str], words: _Words, penalty: float) -> list[tuple]:
     """(language, share, spans) of each text; the spans tile it."""
     ids = [np.fromiter(map(words.__getitem__, WORD.findall(t)), np.int32) for t in texts]
+    words.settle()
     langs, out = words.model.langs, []
     sizes = [len(x) for x in ids]
     flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
