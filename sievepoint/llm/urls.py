@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sievepoint.llm.text import lower_ascii, whole_text
+from sievepoint.operators.lookup import lookup_join
 from sievepoint.runtime import materialize
 
 WILD, REST = "*", "**"
@@ -44,19 +45,20 @@ def path_templates(paths: DataFrame, depth: int = 6, fan_out: int = 50, least_sh
     than ``fan_out`` different segments and it holds less than ``least_share`` of their pages. Of the others those
     whose pages are blocked, allowed and unlabelled much as their parent's are (a chi-square under ``chi_square``; the
     default is the 5 % point for two degrees of freedom) are merged into the wildcard too. What lies below
-    ``depth`` is one ``**``. Rows are distinct paths with counts, and each level is two sums and two joins by host
-    and parent.
+    ``depth`` is one ``**``. Rows are distinct paths with counts; each level is two sums and two lookups by host and
+    parent, which broadcast a table of measured size, or else its most used keys ahead of a shuffle, so that
+    a host with a third of all pages is no single task.
     """
     segments = F.split(F.regexp_replace("path", "^/", ""), "/", -1)
     rows = paths.withColumn("parts", segments).withColumn("template", F.lit(""))
     for level in range(depth):
         here = F.get("parts", F.lit(level))
         rows = rows.withColumn("part", F.when(here.rlike(VARIABLE), F.lit(WILD)).otherwise(here))
-        kids = (rows.where("part IS NOT NULL AND part != '*'").groupBy("host", "template", "part")
-                .agg(F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad")))
-        whole = kids.groupBy("host", "template").agg(
+        kids = materialize(rows.where("part IS NOT NULL AND part != '*'").groupBy("host", "template", "part")
+                           .agg(F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad")))
+        whole = materialize(kids.groupBy("host", "template").agg(
             F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("all_n"), F.sum("labelled").alias("all_labelled"),
-            F.sum("bad").alias("all_bad"))
+            F.sum("bad").alias("all_bad")))
         distance = F.lit(0.0)
         for mine, every in ((F.col("bad"), F.col("all_bad")),
                             (F.col("labelled") - F.col("bad"), F.col("all_labelled") - F.col("all_bad")),
@@ -65,9 +67,9 @@ def path_templates(paths: DataFrame, depth: int = 6, fan_out: int = 50, least_sh
             distance = distance + F.when(expected > 0, (mine - expected) * (mine - expected) / expected).otherwise(0.0)
         differs = distance >= chi_square
         common = (F.col("kinds") <= fan_out) | (F.col("n") >= least_share * F.col("all_n"))
-        own = (kids.join(whole, ["host", "template"]).where(common & differs)
-               .select("host", "template", "part", F.lit(True).alias("own")))
-        rows = (rows.join(own, ["host", "template", "part"], "left")
+        own = materialize(lookup_join(kids, whole, ["host", "template"]).where(common & differs)
+                          .select("host", "template", "part", F.lit(True).alias("own")))
+        rows = (lookup_join(rows, own, ["host", "template", "part"])
                 .withColumn("template", F.when(F.col("part").isNull(), F.col("template"))
                             .otherwise(F.concat("template", F.lit("/"), F.when(F.col("own"), F.col("part")).otherwise(WILD))))
                 .drop("own", "part"))
@@ -94,8 +96,8 @@ def judge_pages(pages: DataFrame, rules: list[tuple[str, str, str]], reject_at:
     placed = path_templates(paths, **tree)
     sums = placed.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
     purity = (F.col("bad") + prior_weight / 2) / (F.col("labelled") + prior_weight)
-    judged = placed.select("host", "path", "template").join(
-        sums.select("host", "template", purity.alias("purity")), ["host", "template"])
+    rated = materialize(sums.select("host", "template", purity.alias("purity")))
+    judged = lookup_join(placed.select("host", "path", "template"), rated, ["host", "template"])
     own = F.when(F.col("purity") >= reject_at, "block").otherwise("allow")
     return (found.join(judged, ["host", "path"])
             .select("page_id", "host", "path", F.col("fit.rule").alias("rule"),
