@@ -129,11 +129,15 @@ def near_duplicates(docs: DataFrame, radius: int = 3, size: int = 3) -> DataFram
 
 
 def keep_one_of_each(docs: DataFrame, radius: int = 3, size: int = 3) -> DataFrame:
-    """One row of each near-duplicate component, that of the least id (rows without id last); all columns kept.
+    """One row of each near-duplicate component, chosen as in ``keep_first``; all columns kept."""
+    return keep_first(docs, near_duplicates(docs, radius, size))
+
+
+def keep_first(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The row of least id (rows without id last) for each ``root`` in ``found``; all columns of ``docs`` kept.
 
     Among rows with that id the choice is by hash of the text, and of repeated rows one stays.
     """
-    found = near_duplicates(docs, radius, size)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k1", "k2"))
     kept = found.groupBy("root").agg(first.alias("r")).select("r.k1", "r.k2")
     rows = docs.select(F.struct("*").alias("row"), *row_keys(F.col("doc_id"), F.col("text")))

@@ -1,0 +1,45 @@
+"""Near copies of the pipeline against all pairs in plain Python."""
+
+from itertools import combinations
+
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from sievepoint.llm import lines, overlap
+
+
+def plain_roots(sets, least):
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    for a, b in combinations(sorted(sets), 2):
+        if len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b]):
+            low, high = sorted((find(a), find(b)))
+            root[high] = low
+    return {i: find(i) for i in sets}
+
+
+def grams(text):
+    words = text.encode().lower().split()
+    return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def test_edges_of_the_threshold(spark):
+    base = [f"w{i}" for i in range(104)]  # 100 shingles
+    with_new = lambda n: " ".join(base + [f"x{i}" for i in range(n)])  # noqa: E731  100 of 100 + n shingles are shared
+    docs = spark.createDataFrame([(1, with_new(0)), (2, with_new(24)), (3, with_new(200)), (4, "W1 w2"), (5, "w1  W2"), (6, None), (7, "")],
+                                 "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, docs, "").collect()) == [1, 3, 4, 6]
+    assert overlap.near_copies(docs.where("false")).count() == 0
+
+
+def test_all_pairs_of_a_table(spark):
+    docs = lines.drop_shared_lines(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).cache()
+    want = plain_roots({r.doc_id: grams(r.text or "") for r in docs.collect()}, 0.8)
+    got = overlap.near_copies(docs).groupBy("root").agg(F.collect_list("doc_id").alias("ids")).collect()
+    assert {i: min(r.ids) for r in got for i in r.ids} == want
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, docs, "").collect()}
+    assert kept == set(want.values())
