@@ -21,6 +21,8 @@ SCRIPT_SHARE = 0.001
 # Log units: the most that one word can say for or against a language, and the price of a switch.
 WORD_LIMIT = 10.0
 SWITCH_PENALTY = 12.0
+# A span is evidence for its language if words that fit it hold this share of the span's letters.
+FITTING_SHARE = 0.5
 # Words labelled together, and words whose scores a task remembers.
 WORDS_AT_ONCE = 2_000_000
 WORDS_KEPT = 400_000
@@ -64,11 +66,12 @@ def script_of(word: str) -> str:
 
 @dataclass
 class Model:
-    """Log probabilities of features per language, and the languages open to each script."""
+    """Log probabilities of features per language, those of an unknown trigram, and the languages open to each script."""
     langs: list[str]
     rows: dict[str, int]
     logs: np.ndarray
     open_to: dict[str, np.ndarray]
+    floor: np.ndarray
 
 
 def _features(word: Column) -> Column:
@@ -104,6 +107,7 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, features: int = FEATURE
             table[i, at[one.lang]] += one.n
     rows = {row.f: i for i, row in enumerate(by_feature)}
     whole = np.array([f.startswith(" ") for f in rows], bool)
+    floor = np.log(0.5) - np.log(np.maximum(table[~whole].sum(axis=0), 1))
     for kind in (whole, ~whole):
         if kind.any():
             table[kind] = np.log(table[kind]) - np.log(table[kind].sum(axis=0))
@@ -112,19 +116,28 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, features: int = FEATURE
         letters.setdefault(r.s, np.zeros(len(langs)))[at[r.lang]] += r.n
     total = sum(letters.values(), np.zeros(len(langs)))
     return Model(langs, rows, table.astype(np.float32),
-                 {s: n >= SCRIPT_SHARE * np.maximum(total, 1) for s, n in letters.items()})
+                 {s: n >= SCRIPT_SHARE * np.maximum(total, 1) for s, n in letters.items()}, floor.astype(np.float32))
 
 
 class _Words(dict):
-    """Numbers words as they are met, scores the new ones together, and keeps scores and lengths."""
+    """Numbers words as they are met, scores the new ones together, and keeps scores, lengths and where they fit.
+
+    A word can stand in a language that its script is open to (``opens``). It fits (``fits``) if moreover its trigrams
+    are on average likelier there than if all known trigrams were alike.
+    """
 
     def __init__(self, model: Model):
         super().__init__()
         self.model, self.fresh = model, []
         self.scores, self.sizes = np.zeros((0, len(model.langs)), np.float32), np.zeros(0, np.int32)
+        self.opens, self.fits = np.zeros((2, 0, len(model.langs)), bool)
         # One more row stands for features that are not known, and one for scripts that no language uses.
         self.logs = np.vstack([model.logs.reshape(-1, len(model.langs)), np.zeros((1, len(model.langs)), np.float32)])
         self.scripts = {s: i for i, s in enumerate(model.open_to)}
+        # The same with what unknown trigrams cost; whole words say nothing about the fit.
+        self.costs = np.vstack([np.where([[f.startswith(" ")] for f in model.rows], 0, model.logs).reshape(-1, len(model.langs)),
+                                model.floor[None, :]]).astype(np.float32)
+        self.alike = -np.log(max(1, sum(not f.startswith(" ") for f in model.rows)))
         self.open = np.array([*model.open_to.values(), np.zeros(len(model.langs), bool)])
 
     def __missing__(self, word: str) -> int:
@@ -135,11 +148,12 @@ class _Words(dict):
     def settle(self) -> None:
         """Score the words met since the last call."""
         parts = [self._scored(self.fresh[i:i + SCORED_AT_ONCE]) for i in range(0, len(self.fresh), SCORED_AT_ONCE)]
-        self.scores = np.concatenate([self.scores, *parts])
+        for name, i in (("scores", 0), ("opens", 1), ("fits", 2)):
+            setattr(self, name, np.concatenate([getattr(self, name), *(p[i] for p in parts)]))
         self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, self.fresh), np.int32)])
         self.fresh = []
 
-    def _scored(self, words: list[str]) -> np.ndarray:
+    def _scored(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         get, unknown, rows, starts = self.model.rows.get, len(self.logs) - 1, [], []
         for word in words:
             lowered = word.lower()
@@ -153,7 +167,12 @@ class _Words(dict):
         limited = np.maximum(said - np.where(np.isfinite(best), best, 0), -WORD_LIMIT)
         out = np.where(allowed, limited, -2 * WORD_LIMIT)
         out[~allowed.any(axis=1)] = 0
-        return out.astype(np.float32)
+        grams = np.diff(np.append(starts, len(rows))) - 1
+        cost = np.add.reduceat(self.costs[rows], starts)
+        # The whole word comes first; where it is unknown its cost is not the word's.
+        cost -= self.costs[[rows[i] for i in starts]]
+        fits = allowed & (cost > grams[:, None] * self.alike)
+        return out.astype(np.float32), allowed, fits
 
 
 def best_paths(scores: np.ndarray, sizes: list[int], penalty: float) -> np.ndarray:
@@ -187,19 +206,24 @@ def best_paths(scores: np.ndarray, sizes: list[int], penalty: float) -> np.ndarr
 
 
 def _label_texts(texts: list[str], words: _Words, penalty: float) -> list[tuple]:
-    """(language, share, spans) of each text; the spans tile it."""
+    """(language, score, spans) of each text; the spans tile it."""
     ids = [np.fromiter(map(words.__getitem__, WORD.findall(t)), np.int32) for t in texts]
     words.settle()
     langs, out = words.model.langs, []
     sizes = [len(x) for x in ids]
     flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
     labels = best_paths(words.scores[flat], sizes, penalty)
+    owners = np.repeat(np.arange(len(sizes)), sizes)
+    span = np.cumsum(np.concatenate([[0], (np.diff(labels) != 0) | (np.diff(owners) != 0)])[:len(flat)]).astype(int)
+    open_letters = words.sizes[flat] * words.opens[flat, labels]
+    counted, fitting = (np.bincount(span, weights=x) for x in (open_letters, words.sizes[flat] * words.fits[flat, labels]))
+    borne_out = open_letters * (fitting >= FITTING_SHARE * counted)[span]
     at = 0
     for text, own, n in zip(texts, ids, sizes):
         if not n:
             out.append((UNDETERMINED, 0.0, []))
             continue
-        mine = labels[at:at + n]
+        mine, sure = labels[at:at + n], borne_out[at:at + n]
         at += n
         letters = np.bincount(mine, weights=words.sizes[own], minlength=len(langs))
         best = int(letters.argmax())
@@ -210,7 +234,7 @@ def _label_texts(texts: list[str], words: _Words, penalty: float) -> list[tuple]
             starts += [places[i] for i in turns]
         ends = starts[1:] + [len(text)]
         kinds = [langs[mine[i]] for i in [0, *turns]]
-        out.append((langs[best], float(letters[best] / letters.sum()),
+        out.append((langs[best], float(sure[mine == best].sum() / letters.sum()),
                     [{"start": s, "end": e, "lang": k} for s, e, k in zip(starts, ends, kinds)]))
     return out
 
@@ -218,9 +242,10 @@ def _label_texts(texts: list[str], words: _Words, penalty: float) -> list[tuple]
 def label(text: Column, model: Model, penalty: float = SWITCH_PENALTY) -> Column:
     """Struct (lang_pred, score, spans) for each text; ``spans`` are code point ranges that tile the text.
 
-    ``lang_pred`` is the language with most letters and ``score`` its share of them. A text that is NULL, empty
-    or without a letter gets ``und``, 0 and no span. A word in a script that no learned language uses says
-    nothing. Memory holds ``WORDS_AT_ONCE`` words or one text, whichever is more.
+    ``lang_pred`` is the language with most letters. ``score`` is the share of the text's letters that bear it out:
+    letters in a script open to it, in its spans, where words that fit the language hold at least half of them. A
+    text in a script that no learned language uses, or of strings that no language would form, scores near 0.
+    A text that is NULL, empty or without a letter gets ``und``, 0 and no span. Memory holds ``WORDS_AT_ONCE`` words or one text, whichever is more.
     """
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         words = _Words(model)
@@ -262,6 +287,6 @@ def identify(docs: DataFrame, model: Model | None = None, penalty: float = SWITC
 
 
 def keep_identified(docs: DataFrame, least_share: float = 0.5) -> DataFrame:
-    """Rows whose text has a language that holds ``least_share`` of its letters; columns unchanged."""
+    """Rows whose text has a language borne out by ``least_share`` of its letters (``score``); columns unchanged."""
     named = docs.select(F.struct("*").alias("row"), "doc_id", "text", "lang")
     return identify(named).where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least_share)).select("row.*")
