@@ -37,21 +37,38 @@ def rule_for(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> C
     return out
 
 
-def path_templates(paths: DataFrame, depth: int = 6, fan_out: int = 50, least_share: float = 0.02,
+def path_templates(paths: DataFrame, depth: int = 6, fan_out: int = 50, least_pages: int = 5,
                    chi_square: float = 5.99) -> DataFrame:
     """Grow a template tree per host over (host, path, n, labelled, bad) and give each path its ``template``.
 
-    Level by level from the host: a segment becomes a wildcard if it looks variable, or if its parent has more
-    than ``fan_out`` different segments and it holds less than ``least_share`` of their pages. Of the others those
+    Level by level from the host: a segment becomes a wildcard if it looks variable. Of the others those
     whose pages are blocked, allowed and unlabelled much as their parent's are (a chi-square under ``chi_square``; the
-    default is the 5 % point for two degrees of freedom) are merged into the wildcard too. What lies below
-    ``depth`` is one ``**``. Rows are distinct paths with counts; each level is two sums and two lookups by host and
-    parent, which broadcast a table of measured size, or else its most used keys ahead of a shuffle, so that
-    a host with a third of all pages is no single task.
+    default is the 5 % point for two degrees of freedom) are merged into the wildcard too, whatever their share. The
+    test means little on a handful of pages, so beside more than ``fan_out`` segments those of fewer than
+    ``least_pages`` pages are merged as well; a section of more pages keeps its verdict however its host grows.
+
+    Below ``depth`` only branches that hold pages of different kinds are grown on, to their last segment; what lies
+    below the others is one ``**``, which holds pages of one kind only and so changes no verdict. Rows are distinct
+    paths with counts; each level is two sums and two lookups by host and parent, which broadcast a
+    table of measured size, or else its most used keys ahead of a shuffle, so that a host with a third of all
+    pages is no single task.
     """
     segments = F.split(F.regexp_replace("path", "^/", ""), "/", -1)
-    rows = paths.withColumn("parts", segments).withColumn("template", F.lit(""))
-    for level in range(depth):
+    rows = materialize(paths.withColumn("parts", segments).withColumn("template", F.lit("")))
+    deepest = rows.agg(F.max(F.size("parts"))).first()[0] or 0
+    ended = []
+    for level in range(deepest):
+        if level >= depth:
+            ended.append(rows.where(F.size("parts") <= level))
+            below = rows.where(F.size("parts") > level)
+            counts = below.groupBy("host", "template").agg(F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
+            alike = (F.col("labelled") == 0) | (F.col("bad") == F.col("n")) | ((F.col("labelled") == F.col("n")) & (F.col("bad") == 0))
+            mixed = materialize(counts.where(~alike).select("host", "template", F.lit(True).alias("mixed")))
+            placed = lookup_join(below, mixed, ["host", "template"])
+            ended.append(placed.where("mixed IS NULL").drop("mixed").withColumn("template", F.concat("template", F.lit("/" + REST))))
+            rows = materialize(placed.where("mixed").drop("mixed"))
+            if rows.isEmpty():
+                break
         here = F.get("parts", F.lit(level))
         rows = rows.withColumn("part", F.when(here.rlike(VARIABLE), F.lit(WILD)).otherwise(here))
         kids = materialize(rows.where("part IS NOT NULL AND part != '*'").groupBy("host", "template", "part")
@@ -66,16 +83,17 @@ def path_templates(paths: DataFrame, depth: int = 6, fan_out: int = 50, least_sh
             expected = F.col("n") * every / F.col("all_n")
             distance = distance + F.when(expected > 0, (mine - expected) * (mine - expected) / expected).otherwise(0.0)
         differs = distance >= chi_square
-        common = (F.col("kinds") <= fan_out) | (F.col("n") >= least_share * F.col("all_n"))
-        own = materialize(lookup_join(kids, whole, ["host", "template"]).where(common & differs)
+        counted = (F.col("kinds") <= fan_out) | (F.col("n") >= least_pages)
+        own = materialize(lookup_join(kids, whole, ["host", "template"]).where(counted & differs)
                           .select("host", "template", "part", F.lit(True).alias("own")))
         rows = (lookup_join(rows, own, ["host", "template", "part"])
                 .withColumn("template", F.when(F.col("part").isNull(), F.col("template"))
                             .otherwise(F.concat("template", F.lit("/"), F.when(F.col("own"), F.col("part")).otherwise(WILD))))
                 .drop("own", "part"))
         rows = materialize(rows)
-    deep = F.size("parts") > depth
-    return rows.withColumn("template", F.when(deep, F.concat("template", F.lit("/" + REST))).otherwise(F.col("template"))).drop("parts")
+    for part in ended:
+        rows = rows.unionByName(part)
+    return rows.drop("parts")
 
 
 def judge_pages(pages: DataFrame, rules: list[tuple[str, str, str]], reject_at: float = 0.8, prior_weight: float = 4.0,
