@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sievepoint.llm import chat, decontamination, hnsw, language, licences, lines, mixing, pii, simhash, urls
+from sievepoint.llm import (chat, decontamination, hnsw, language, licences, lines, manifest, mixing, phrases, pii, shards,
+                            simhash, urls)
 from sievepoint.llm.text import sha256
 
 QUERIES, ORACLES = {}, {}
@@ -173,3 +174,116 @@ def op10_benchmark_passages(spark, sf_dir):
     found = decontamination.find_passages(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), window=10)
     return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
                         sha256(F.array_join("item_ids", ",")).alias("items_sha256"), "contaminated")
+
+
+@query(r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM piece),
+sizes AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+f AS MATERIALIZED (
+  SELECT lang, size, p, count(*) AS a FROM (
+    SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS p
+    FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM words, range(1, 5) t(size) WHERE len(w) >= size))
+  GROUP BY lang, size, p),
+candidate AS MATERIALIZED (SELECT *, string_split(p, ' ') AS w FROM f WHERE size > 1 AND a >= 30),
+often AS MATERIALIZED (SELECT lang, p, a FROM f WHERE a >= 30),
+cut AS (SELECT lang, p, a, k, array_to_string(w[1:k], ' ') AS x, array_to_string(w[k + 1:], ' ') AS y
+        FROM (SELECT *, unnest(range(1, size)) AS k FROM candidate)),
+scored AS (
+  SELECT c.lang, c.p, c.a, k, l.a AS l, r.a AS r,
+         CAST(CAST(2000000 AS HUGEINT) * c.a // (CAST(l.a AS HUGEINT) + r.a) AS BIGINT) AS score
+  FROM cut c JOIN often l ON l.lang = c.lang AND l.p = c.x JOIN often r ON r.lang = c.lang AND r.p = c.y),
+worst AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+inner_parts AS (
+  SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS p, max(a) AS most
+  FROM (SELECT *, unnest(range(1, size - k + 2)) AS i FROM candidate, range(2, 4) t(k) WHERE size > k) GROUP BY ALL),
+kept AS (SELECT w.*, w.p AS phrase FROM worst w LEFT JOIN inner_parts s ON s.lang = w.lang AND s.p = w.p
+         WHERE most IS NULL OR 100 * most < 80 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+""")
+def op11_collocations(spark, sf_dir):
+    return phrases.collocations(_table(spark, sf_dir, "documents"), longest=4, least=30, covered=80, top=2000)
+
+
+# CRC-32 of a list of bytes, bit by bit; DuckDB has none built in.
+_BIT = "xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END)"
+_CRC_TABLE = ("SELECT list(x ORDER BY b) AS t FROM (SELECT b, list_reduce(range(8), lambda x, i: "
+              + _BIT + ", b::BIGINT) AS x FROM range(256) r(b))")
+
+
+def _crc(table: str, codes: str) -> str:
+    return f"xor(list_reduce({codes}, lambda x, b: xor(x >> 8, {table}[xor(x & 255, b) + 1]), 4294967295::BIGINT), 4294967295)"
+
+
+_FRAME = "coalesce(CAST(strlen({0}) AS VARCHAR) || ':' || {0}, '-')"
+_LEAF = "sha256({})".format(" || ".join(
+    _FRAME.format(f"CAST({c} AS VARCHAR)") for c in ("doc_id", "source", "lang", "n_chars", "text")))
+
+
+@query(f"""
+WITH RECURSIVE crc AS ({_CRC_TABLE}),
+leaf AS (
+  SELECT doc_id, lang, n_chars, {_LEAF} AS leaf, {_LEAF.replace("n_chars", "(n_chars + 1)")} AS changed,
+         {_crc("t", "list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)")} % 7 = 0 AS tampered,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos
+  FROM documents, crc),
+node AS (
+  SELECT lang, 0 AS level, pos, leaf AS d, count(*) OVER (PARTITION BY lang) AS n FROM leaf
+  UNION ALL
+  SELECT lang, level + 1, pos // 2, sha256(string_agg(d, '' ORDER BY pos)), (n + 1) // 2 FROM node WHERE n > 1
+  GROUP BY lang, level, pos // 2, n),
+subroot AS (SELECT lang, level AS height, d AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS spot FROM node WHERE n = 1),
+top AS (
+  SELECT 0 AS level, spot AS pos, subroot AS d, count(*) OVER () AS n FROM subroot
+  UNION ALL
+  SELECT level + 1, pos // 2, sha256(string_agg(d, '' ORDER BY pos)), (n + 1) // 2 FROM top WHERE n > 1 GROUP BY level, pos // 2, n),
+tree AS (
+  SELECT s.lang, n.level, n.pos AS pos, n.d FROM node n JOIN subroot s ON s.lang IS NOT DISTINCT FROM n.lang WHERE n.level < s.height
+  UNION ALL SELECT s.lang, s.height + t.level, t.pos, t.d FROM top t, subroot s),
+heights AS (SELECT lang, height, height + (SELECT max(level) FROM top) AS whole, spot, subroot FROM subroot),
+path AS (
+  SELECT l.doc_id, l.lang, 0 AS level, l.pos, CASE WHEN tampered THEN coalesce(changed, leaf) ELSE leaf END AS d, '' AS proof FROM leaf l
+  UNION ALL
+  SELECT p.doc_id, p.lang, p.level + 1, CASE WHEN p.level < h.height THEN p.pos ELSE h.spot >> (p.level - h.height) END // 2,
+         sha256(CASE WHEN o.d IS NULL THEN p.d WHEN o.pos % 2 = 1 THEN p.d || o.d ELSE o.d || p.d END), p.proof || coalesce(o.d, '')
+  FROM path p JOIN heights h ON h.lang IS NOT DISTINCT FROM p.lang
+  LEFT JOIN tree o ON o.lang IS NOT DISTINCT FROM p.lang AND o.level = p.level
+    AND o.pos = xor(CASE WHEN p.level < h.height THEN p.pos ELSE h.spot >> (p.level - h.height) END, 1)
+  WHERE p.level < h.whole),
+root AS (SELECT d AS root FROM top WHERE n = 1)
+SELECT l.doc_id, l.leaf, h.subroot, root, sha256(p.proof) AS proof_sha256, p.d AS folded_root, p.d = root AS verified
+FROM leaf l JOIN heights h ON h.lang IS NOT DISTINCT FROM l.lang JOIN path p ON p.doc_id = l.doc_id AND p.level = h.whole, root
+""")
+def op12_merkle_manifest(spark, sf_dir):
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    changed = [F.col("n_chars") + 1 if i == 3 else c for i, c in enumerate(fields)]
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    rows = _table(spark, sf_dir, "documents").select(
+        "doc_id", "lang", manifest.leaf_digest(*fields).alias("leaf"),
+        F.when(tampered, manifest.leaf_digest(*changed)).alias("changed"))
+    found = manifest.manifest(rows, group="lang", order="doc_id", fanout=2)
+    folded = manifest.fold(F.coalesce("changed", "leaf"), F.col("proof"))
+    return found.select("doc_id", "leaf", "subroot", "root", sha256(manifest.siblings(F.col("proof"))).alias("proof_sha256"),
+                        folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+_DRAW = "CAST('0x' || substr(md5('shard:' || doc_id || ':' || s), 1, 13) AS BIGINT)"
+_BYTES = "list_transform(range(1, strlen(coalesce(text, '')) + 1), lambda i: CAST('0x' || substr(h, 2 * i - 1, 2) AS BIGINT))"
+
+
+@query(f"""
+WITH crc AS ({_CRC_TABLE}),
+drawn AS (SELECT doc_id, s, {_DRAW} AS u FROM documents, range(41) r(s)),
+spot AS (
+  SELECT doc_id, arg_max(s, u) FILTER (s < 40) AS shard, arg_max(s, u) AS grown_shard FROM drawn GROUP BY doc_id),
+bytes AS (SELECT doc_id, strlen(coalesce(text, '')) + 16 AS size, {_crc("t", _BYTES)} AS text_crc32
+          FROM (SELECT *, hex(encode(coalesce(text, ''))) AS h FROM documents), crc)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard // 18 AS region, shard // 6 AS rack, CAST(shard AS INTEGER) AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, CAST(grown_shard AS INTEGER) AS grown_shard
+FROM bytes JOIN spot USING (doc_id)
+""")
+def op13_weighted_shards(spark, sf_dir):
+    return shards.assign(_table(spark, sf_dir, "documents"), shards=40)
