@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sievepoint.llm import decontamination, language, lines, mixing, overlap
+from sievepoint.llm import decontamination, language, lines, mixing, simhash
 from sievepoint.llm.queries import WEIGHTS
 from sievepoint.runtime import materialize
 
@@ -25,8 +25,8 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: a Jaccard coefficient of 0.8 or more over shingles of five words."""
-    return overlap.keep_one_of_each(docs, size=5, least=0.8)
+    """One document of each group whose fingerprints of 3-word shingles are linked by 3 or fewer differing bits."""
+    return simhash.keep_one_of_each(docs, radius=3, size=3)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
