@@ -19,6 +19,7 @@ from sievepoint.models import classifiers as C, training as T
 from sievepoint.operators import splits as X
 from sievepoint.operators.rules import RuleOptions, decide
 from sievepoint.plans import scoring as P, state as S
+from sievepoint.plans.batch import BatchOptions, Noise, run_batch
 from sievepoint.plans.features import FeatureOptions
 from sievepoint.runtime import materialize, spread, state_dir
 from sievepoint.streaming.scoring import score_stream
@@ -408,3 +409,44 @@ def stream_refreshes_state(spark, sf):
 @query("bypassed_stream", "SELECT app_id, 0.0::DOUBLE AS pred_fraud_prob, CAST(0 AS INT) AS pred_fraud FROM applications")
 def bypassed_stream(spark, sf):
     return run_stream(spark, sf, bypass=True)
+
+
+_BATCH = BatchOptions(END_TO_END, frozenset(DECLARED_TEXT), scale=True, kind="decision_tree", params={"max_depth": 4, "maxBins": 64},
+                      train_noise=Noise(("app_duration",), 0.5), test_noise=Noise(("app_duration",), 0.5))
+_TEST_SQL = """, held AS (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY md5(concat('42:', CAST(app_id AS STRING)))) AS rn, count(*) OVER () AS n FROM s)
+  WHERE rn <= ceil(0.2::DOUBLE * n))"""
+_QUALITY_SQL = """, c AS (SELECT count(*) FILTER (y AND hit) AS tp, count(*) FILTER (NOT y AND hit) AS fp, count(*) FILTER (y AND NOT hit) AS fn,
+             count(*) FILTER (NOT y AND NOT hit) AS tn FROM held)
+SELECT round(1 - fp / 2.0::DOUBLE / (fp + tn), 9) AS auc, 1.0::DOUBLE AS recall, tp::DOUBLE / (tp + fp) AS "precision",
+       (tp + tn)::DOUBLE / (tp + fp + fn + tn) AS accuracy, tp, fp, fn, tn"""
+
+
+@query("batch_job", _BLENDED_SQL + _TEST_SQL + _QUALITY_SQL + " FROM c")
+def batch_job(spark, sf):
+    """Extract, report, transform, split, noise, scale, train and test applications in one run: quality on the test rows."""
+    path = f"{state_dir(spark)}/sievepoint/{uuid.uuid4().hex}"
+    done, _ = run_batch(spark, path, lambda: marked(spark, sf), _BATCH, _lookups(spark, sf))
+    return done["test"].tables["results"].withColumn("auc", F.round("auc", 9))
+
+
+@query("batch_job_resumed", _BLENDED_SQL + """
+SELECT app_id, CAST(y AS DOUBLE) AS label, CAST(hit AS DOUBLE) AS pred_fraud_prob, CAST(hit AS INT) AS pred_fraud,
+       'extract:saved,report:saved,transform:saved,split:ran,prepare:ran,train:ran,test:ran' AS second_run
+FROM s WHERE app_id % 4 = 3""")
+def batch_job_resumed(spark, sf):
+    """The job with a test source of its own, stopped ahead of its split and run again: answers for the test rows."""
+    path = f"{state_dir(spark)}/sievepoint/{uuid.uuid4().hex}"
+    rows = marked(spark, sf)
+
+    def run(before=None):
+        return run_batch(spark, path, lambda: rows.where("app_id % 4 != 3"), _BATCH, _lookups(spark, sf),
+                         lambda: rows.where("app_id % 4 = 3"), before=before)
+
+    def stop(stage):
+        if stage == "split":
+            raise InterruptedError(stage)
+    try:
+        run(stop)
+    except InterruptedError:
+        done, log = run()
+    return done["test"].tables["answers"].withColumn("second_run", F.lit(",".join(f"{s}:{how}" for s, how in log)))
