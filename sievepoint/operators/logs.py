@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from sievepoint.operators.lookup import lookup_join
-from sievepoint.operators.ordered import carry_last, running_total
+from sievepoint.operators.ordered import PART, POS, in_ranges
 from sievepoint.runtime import materialize
 
 # Line formats of the run log. The header is ``[module: func(): time] LEVEL: ``; its
@@ -70,30 +70,48 @@ def metrics_json(metrics: DataFrame) -> DataFrame:
 
 
 def _span_events(lines: DataFrame) -> DataFrame:
+    """The span lines in ranges of the order (run, pos), parsed where they arrive: a shuffle of lines costs less than parsing twice."""
+    ranged = in_ranges(lines.filter(F.col("line").contains(SPAN_MARK)).select("run", "pos", "line"), [F.col("run"), F.col("pos")])
     m = F.col("_m")
-    return (lines.filter(F.col("line").contains(SPAN_MARK))
-            .select("run", "pos", _groups(F.col("line"), SPAN_LINE, 4).alias("_m"))
-            .select("run", "pos", m[0].alias("module"), F.get(m, F.lit(1)).alias("func"),
+    return (ranged.select("run", "pos", PART, POS, _groups(F.col("line"), SPAN_LINE, 4).alias("_m"))
+            .select("run", "pos", PART, POS, F.get(m, F.lit(1)).alias("func"),
                     F.try_to_timestamp(F.get(m, F.lit(2)), F.lit(STAMP)).alias("ts"),
-                    F.get(m, F.lit(3)).alias("state")))
+                    F.get(m, F.lit(3)).alias("state"), F.struct("run").alias("_g")))
 
 
 def spans(lines: DataFrame) -> DataFrame:
     """Every span event with its nesting level, its duration at the end, and the time since the
     first event of the run. Times are in seconds; a start has no duration.
+
+    One ordered pass. Inside a range, levels count from the range's own beginning, and ends meet their starts there. What a range
+    leaves for others is small: for each run its change of depth and first time, and for runs that go over an edge of ranges
+    the last start of every level, for ends whose start lies in an earlier range. An end takes the last start of
+    its level, also where a log lacks an end.
     """
-    # Range sampling and the two ordered passes read the events again, so they are parsed once. A
-    # filter ahead of the write would be pushed down and run the pattern twice.
-    events = materialize(_span_events(lines)).filter(F.col("state").isNotNull())
-    step = F.when(F.col("state") == "Start", 1).otherwise(-1)
-    deep = running_total(events, [F.col("pos")], step, "depth", ["run"])
     starts = F.col("state") == "Start"
-    leveled = deep.withColumn("level", F.when(starts, F.col("depth")).otherwise(F.col("depth") + 1)).drop("depth")
-    # Inside one level starts and ends alternate, so the last start before an end is its own.
-    opened = carry_last(leveled, [F.col("pos")], F.when(starts, F.col("ts")), "_opened", ["run", "level"])
-    first = materialize(events.groupBy("run").agg(F.min("ts").alias("_first")))
+    here = W.partitionBy(PART, "_g").orderBy(POS).rowsBetween(W.unboundedPreceding, W.currentRow)
+    level = F.sum(F.when(starts, 1).otherwise(-1)).over(here) + F.when(starts, 0).otherwise(1)
+    of_level = W.partitionBy(PART, "_g", "_level").orderBy(POS).rowsBetween(W.unboundedPreceding, W.currentRow)
+    events = _span_events(lines).filter(F.col("state").isNotNull()).withColumn("_level", level)
+    local = materialize(events.withColumn("_opened", F.last(F.when(starts, F.col("ts")), ignorenulls=True).over(of_level)))
+
+    # One row for each run in each range.
+    run = W.partitionBy("_g")
+    before = run.orderBy(PART).rowsBetween(W.unboundedPreceding, -1)
+    change = F.max_by(F.when(starts, F.col("_level")).otherwise(F.col("_level") - 1), POS)
+    parts = materialize(local.groupBy(PART, "_g").agg(change.alias("_change"), F.min("ts").alias("_min")).select(
+        PART, "_g", F.coalesce(F.sum("_change").over(before), F.lit(0)).alias("_base"), F.min("_min").over(run).alias("_first"),
+        (F.count(F.lit(1)).over(run) > 1).alias("_over")))
+    # Runs over an edge of ranges: two at most for each range.
+    edges = lookup_join(local, parts.where("_over").select(PART, "_g", F.col("_base").alias("_from")), [PART, "_g"]).where("_from IS NOT NULL")
+    asked = edges.where(starts | F.col("_opened").isNull()).groupBy(PART, "_g", "_level").agg(
+        F.first("_from").alias("_from"), F.max_by("ts", F.when(starts, F.col(POS))).alias("_start"))
+    earlier = W.partitionBy("_g", F.col("_level") + F.col("_from")).orderBy(PART).rowsBetween(W.unboundedPreceding, -1)
+    carried = materialize(asked.select(PART, "_g", "_level", F.last("_start", ignorenulls=True).over(earlier).alias("_carried")).where("_carried IS NOT NULL"))
+
+    joined = lookup_join(lookup_join(local, parts.drop("_over"), [PART, "_g"]), carried, [PART, "_g", "_level"])
     micros = lambda a, b: (F.unix_micros(b) - F.unix_micros(a)) / F.lit(1e6)
-    return lookup_join(opened, first, ["run"]).select(
-        "run", "pos", "level", "func", "state", "ts",
-        F.when(~starts, micros(F.col("_opened"), F.col("ts"))).alias("delta"),
+    return joined.select(
+        "run", "pos", (F.col("_level") + F.col("_base")).alias("level"), "func", "state", "ts",
+        F.when(~starts, micros(F.coalesce("_opened", "_carried"), F.col("ts"))).alias("delta"),
         micros(F.col("_first"), F.col("ts")).alias("elapsed"))

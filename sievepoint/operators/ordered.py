@@ -15,7 +15,7 @@ PART, POS = "_part", "_pos"
 _ROW_BITS = 33  # monotonically_increasing_id keeps the partition above these bits
 
 
-def _ranged(df: DataFrame, order: list[Column]) -> DataFrame:
+def in_ranges(df: DataFrame, order: list[Column]) -> DataFrame:
     """``df`` plus its range number and its position in the range.
 
     ``order`` must be total, else equal keys make one range heavy. The result must be used once, or
@@ -30,7 +30,7 @@ def _ranged(df: DataFrame, order: list[Column]) -> DataFrame:
 
 
 def range_parts(df: DataFrame, order: list[Column]) -> DataFrame:
-    return materialize(_ranged(df, order))
+    return materialize(in_ranges(df, order))
 
 
 def row_index(df: DataFrame, order: list[Column], name: str = "idx") -> DataFrame:
@@ -50,7 +50,7 @@ def _group_key(group: list[str]) -> Column:
 
 
 def _by_range(df: DataFrame, group: list[str], order: list[Column]) -> tuple[DataFrame, W]:
-    parts = _ranged(df, [*(F.col(g) for g in group), *order]).withColumn("_g", _group_key(group))
+    parts = in_ranges(df, [*(F.col(g) for g in group), *order]).withColumn("_g", _group_key(group))
     local = (W.partitionBy(PART, "_g").orderBy(POS)
              .rowsBetween(W.unboundedPreceding, W.currentRow))
     return parts, local
