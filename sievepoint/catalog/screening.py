@@ -6,7 +6,7 @@ from sievepoint import constants as K
 from sievepoint.catalog.quality import AS_OF
 from sievepoint.catalog.registry import applications, area_codes, ip_ranges, query, table
 from sievepoint.functions import cleaning as C, identity as I, temporal as D
-from sievepoint.operators import lookup as L, rules as R
+from sievepoint.operators import lookup as L, ranges as N, rules as R
 from sievepoint.plans import features as P
 
 _words = lambda words: "(" + ", ".join(f"'{w}'" for w in sorted(set(words))) + ")"
@@ -181,7 +181,7 @@ SELECT app_id, CASE WHEN x IS NULL THEN 'ZZ' WHEN start IS NULL OR x >= (SELECT
 def _countries(spark, sf, **kw):
     rows = applications(spark, sf, "app_id", "ip_address")
     x = I.address_number(I.known_address(F.col("ip_address")))
-    return L.range_lookup(rows, x, ip_ranges(spark, sf), "ip_country", **kw).drop("ip_address")
+    return N.range_lookup(rows, x, ip_ranges(spark, sf), "ip_country", **kw).drop("ip_address")
 
 
 @query("country_by_address_range", _COUNTRY)

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sievepoint.operators.lookup import lookup_join
-from sievepoint.operators.ordered import carry_last, row_index, running_total
-from sievepoint.runtime import materialize
+from sievepoint.operators.ordered import row_index, running_total
+from sievepoint.operators.search import build_index, search
+from sievepoint.runtime import BROADCAST_ROWS, materialize
 
 
 def ecdf(df: DataFrame, column: str) -> DataFrame:
@@ -18,22 +18,16 @@ def ecdf(df: DataFrame, column: str) -> DataFrame:
         "v", (F.col("below") / F.lit(n + 1.0)).alias("p"))
 
 
-def ecdf_lookup(df: DataFrame, x: Column, knots: DataFrame, name: str = "p") -> DataFrame:
+def ecdf_lookup(df: DataFrame, x: Column, knots: DataFrame, name: str = "p", max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Linear interpolation between the neighbouring knots, clamped at both ends."""
-    numbered = row_index(knots, [F.col("v")])
+    numbered = row_index(knots.select(F.col("v").cast("double").alias("v"), "p"), [F.col("v")])
     following = numbered.select((F.col("idx") - 1).alias("idx"), F.col("v").alias("v1"), F.col("p").alias("p1"))
     # Knot numbers are unique, so this join has no heavy key.
-    segments = numbered.join(following, "idx", "left").select(
-        F.col("v").alias("_x"), F.lit(0).alias("_kind"), F.struct("v", "p", "v1", "p1").alias("_seg"))
-    lowest = numbered.filter("idx = 0").first()
-    probe = df.withColumn("_x", x.cast("double"))
-    asked = probe.filter(F.col("_x").isNotNull()).select("_x").distinct().select(
-        "_x", F.lit(1).alias("_kind"), F.lit(None).cast(segments.schema["_seg"].dataType).alias("_seg"))
-    held = carry_last(segments.withColumn("_x", F.col("_x").cast("double")).unionByName(asked),
-                      [F.col("_x"), F.col("_kind")], F.col("_seg"), "_at").filter("_kind = 1")
-    s = lambda c: F.col(f"_at.{c}")
-    value = (F.when(F.col("_at").isNull(), F.lit(lowest.p if lowest else None))
+    segments = materialize(numbered.join(following, "idx", "left").select(F.col("v").alias("key"), F.struct("v", "p", "v1", "p1").alias("value")))
+    lowest = segments.agg(F.min_by("value.p", "key")).first()[0]
+    found = search(df.withColumn("_x", x.cast("double")), F.col("_x"), build_index(segments, max_rows), "_at")
+    s = lambda c: F.col(f"_at.{c}")
+    value = (F.when(F.col("_x").isNull(), F.lit(None)).when(F.col("_at").isNull(), F.lit(lowest))
              .when(s("v1").isNull(), s("p"))
              .otherwise(s("p") + (F.col("_x") - s("v")) * (s("p1") - s("p")) / (s("v1") - s("v"))))
-    found = materialize(held.select("_x", value.alias(name)))
-    return lookup_join(probe, found, ["_x"]).drop("_x")
+    return found.select(*df.columns, value.cast("double").alias(name))

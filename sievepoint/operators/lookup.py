@@ -1,21 +1,18 @@
-"""Left lookups of small or large keyed tables, range lookup, membership flags."""
+"""Left lookups of small or large keyed tables, membership flags, merges."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from sievepoint.operators.ordered import carry_last
 from sievepoint.runtime import BROADCAST_ROWS, fits_broadcast, materialize
 
 # Keys broadcast ahead of a shuffled lookup; every other key is rarer than each of these.
 HOT_KEYS = 10_000
 # Copies of the groups with a NULL key in a large merge, and so the tasks that share one such group's rows.
 MERGE_SALTS = 256
-# More ranges than this under one coarse key would make the bucketed range join quadratic.
-RANGES_PER_BUCKET = 4_096
 
 
 @dataclass(frozen=True)
@@ -98,84 +95,6 @@ def area_state(df: DataFrame, codes: DataFrame | Sized, phone_code: str = "area_
     return looked.withColumn(name, state).drop("_code", "_state", "_found")
 
 
-def settle_ranges(ranges: DataFrame) -> DataFrame:
-    """(start, country) with one row per start: no NULL start, and of equal starts the greatest country."""
-    return (ranges.where(F.col("start").isNotNull()).groupBy(F.col("start").cast("long").alias("start"))
-            .agg(F.max("country").alias("country")))
-
-
-@dataclass(frozen=True)
-class RangeTable:
-    """Ranges made ready for lookups: ``coarse`` for a broadcast by equi key, else ``settled`` for ordered passes."""
-    settled: DataFrame
-    coarse: DataFrame | None
-    shift: int
-
-
-def prepare_ranges(ranges: DataFrame, max_rows: int = BROADCAST_ROWS) -> RangeTable:
-    """Settle the ranges and, within the broadcast bounds, bucket them by the upper bits of their numbers.
-
-    The span of the starts sets how many bits a bucket leaves out, so a few thousand buckets
-    cover numbers of any size. Both ways give the same answers.
-    """
-    settled = materialize(settle_ranges(ranges))
-    if not fits_broadcast(settled, max_rows):
-        return RangeTable(settled, None, 0)
-    ends = settled.agg(F.min("start").alias("a"), F.max("start").alias("b"), F.count(F.lit(1)).alias("n")).first()
-    span = (ends.b - ends.a) if ends.n else 0
-    # About 16 buckets per range, 65,536 at least where the span has them.
-    shift = max(0, span.bit_length() - max(16, ends.n.bit_length() + 4))
-    spans = (settled.select("start", "country", F.lead("start").over(W.orderBy("start")).alias("_end"))
-             .filter(F.col("_end").isNotNull()))
-    coarse = materialize(spans.select(
-        "start", "country", "_end",
-        F.explode(F.sequence(F.shiftright("start", shift), F.shiftright(F.col("_end") - 1, shift))).alias("_b")))
-    fullest = coarse.groupBy("_b").count().agg(F.max("count")).first()[0] or 0
-    small = fullest <= RANGES_PER_BUCKET and fits_broadcast(coarse, max_rows * 4)
-    return RangeTable(settled, coarse if small else None, shift)
-
-
-def range_lookup(df: DataFrame, x: Column, ranges: DataFrame | RangeTable, name: str = "country",
-                 below: str = "-", missing: str = "ZZ", max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Value of the largest range start <= ``x``.
-
-    ``below`` stands for a number under the first start or at and past the last one, ``missing``
-    for an unparsable number or a range with no value. ``ranges`` has ``start`` and ``country``, or is
-    a ``RangeTable`` made ready before.
-    """
-    table = ranges if isinstance(ranges, RangeTable) else prepare_ranges(ranges, max_rows)
-    probe = df.withColumn("_x", x.cast("long"))
-    if table.coarse is not None:
-        probe = probe.withColumn("_bx", F.shiftright("_x", table.shift))
-        inside = ((F.col("_bx") == F.col("_b")) & (F.col("_x") >= F.col("start"))
-                  & (F.col("_x") < F.col("_end")))
-        found = probe.join(F.broadcast(table.coarse), inside, "left")
-        value = (F.when(F.col("_x").isNull(), missing)
-                 .when(F.col("_b").isNull(), below)
-                 .otherwise(F.coalesce("country", F.lit(missing))))
-        return found.select(*df.columns, value.alias(name))
-    known = materialize(_range_values(probe.select("_x"), table.settled))
-    value = (F.when(F.col("_x").isNull(), missing)
-             .when(F.col("_outside"), below)
-             .otherwise(F.coalesce("country", F.lit(missing))))
-    return lookup_join(probe, known, ["_x"], max_rows).select(*df.columns, value.alias(name))
-
-
-def _range_values(numbers: DataFrame, ranges: DataFrame) -> DataFrame:
-    """The same lookup for distinct numbers by a distributed as-of pass, for large range tables."""
-    starts = ranges.select(F.col("start").alias("_x"), F.lit(0).alias("_kind"),
-                           F.struct(F.col("start"), F.col("country")).alias("_range"))
-    asked = numbers.filter("_x is not null").distinct().select(
-        "_x", F.lit(1).alias("_kind"),
-        F.lit(None).cast(starts.schema["_range"].dataType).alias("_range"))
-    carried = carry_last(starts.unionByName(asked), [F.col("_x"), F.col("_kind")],
-                         F.col("_range"), "_held")
-    last = ranges.agg(F.max("start")).first()[0]
-    outside = F.col("_held").isNull() | F.coalesce(F.col("_x") >= F.lit(last), F.lit(True))
-    return carried.filter("_kind = 1").select(
-        "_x", outside.alias("_outside"), F.col("_held.country").alias("country"))
-
-
 def remainder(df: DataFrame, taken: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose ``key`` is not in ``taken``."""
     return df.join(taken.select(key), key, "left_anti")

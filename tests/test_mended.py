@@ -6,7 +6,7 @@ import pytest
 from conftest import values
 from pyspark.sql import functions as F
 
-from sievepoint.operators import fitted as M, lookup as L, splits as X
+from sievepoint.operators import fitted as M, lookup as L, ranges as N, splits as X
 from sievepoint.runtime import materialize, measured_size, scratch
 from sievepoint.sources import readers as S, sinks as W
 
@@ -49,7 +49,7 @@ def test_ranges_settle_before_the_plan_is_chosen(rows, max_rows):
     big = 1 << 60
     ranges = rows([(None, "XX"), (10, "A"), (10, "B"), (20, None), (30, "C"), (big, "D"), (big + 7, "E")], "start long, country string")
     df = rows([(5,), (10,), (25,), (31,), (1 << 40,), (big + 3,), (big + 7,), (None,)], "x long")
-    got = {r.x: r.country for r in L.range_lookup(df, F.col("x"), ranges, max_rows=max_rows).collect()}
+    got = {r.x: r.country for r in N.range_lookup(df, F.col("x"), ranges, max_rows=max_rows).collect()}
     assert got == {5: "-", 10: "B", 25: "ZZ", 31: "C", 1 << 40: "C", big + 3: "D", big + 7: "-", None: "ZZ"}
 
 

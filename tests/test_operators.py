@@ -7,8 +7,9 @@ import pytest
 from conftest import values
 from pyspark.sql import functions as F
 
-from sievepoint.operators import (distribution as E, fitted as M, logs as G, lookup as L, metrics as Q, ordered as O,
+from sievepoint.operators import (distribution as E, fitted as M, logs as G, lookup as L, metrics as Q, ordered as O, ranges as N,
                                   reports as R, splits as X)
+from sievepoint.operators.search import build_index, search
 
 
 @pytest.fixture(params=["1", "16"])
@@ -72,10 +73,20 @@ def test_range_lookup_edges(rows, max_rows):
     ranges = rows([(100, "A"), (65536 * 3, "B"), (65536 * 3 + 5, None), (65536 * 4, "D")], "start long, country string")
     cases = {50: "-", 100: "A", 65536 * 2: "A", 65536 * 3: "B", 65536 * 3 + 4: "B", 65536 * 3 + 5: "ZZ", 65536 * 4: "-", 1 << 40: "-"}
     df = rows([*((x,) for x in cases), (None,)], "x long")
-    got = {r.x: r.country for r in L.range_lookup(df, F.col("x"), ranges, max_rows=max_rows).collect()}
+    got = {r.x: r.country for r in N.range_lookup(df, F.col("x"), ranges, max_rows=max_rows).collect()}
     assert got == {**cases, None: "ZZ"}
 
 
+@pytest.mark.parametrize("n, max_rows", [(0, 9), (1, 9), (2, 9), (1000, 2000), (1000, 0), (0, 0), (1, 0), (64, 0), (65, 0)])
+def test_search_in_sorted_index(spark, rows, n, max_rows):
+    """Every number between and beside the keys, with one number asked for by half of all rows."""
+    entries = spark.range(n).select((F.col("id") * 3).alias("key"), F.struct((F.col("id") * 10).alias("v")).alias("value"))
+    asked = spark.range(-2, 3 * n + 5).select(F.col("id").alias("x")).union(spark.range(2 * n).select(F.lit(n).cast("long").alias("x")))
+    index = build_index(entries, max_rows)
+    got = {r.x: r.found.v if r.found else None for r in search(asked, F.col("x"), index, "found").collect()}
+    assert got == {x: (min(x // 3, n - 1) * 10 if x >= 0 and n else None) for x in {*range(-2, 3 * n + 5), *([n] if n else [])}}
+
+
 def test_area_states(rows):
     df = rows([(1, "(916)"), (2, "(702)"), (3, "(000)"), (4, "916"), (5, None)], "i int, area_code string")
     codes = rows([("916", "CA"), ("702", "NV")], "code string, state string")
@@ -122,11 +133,12 @@ def test_leave_one_out_lone_row(rows):
     assert {r.i: r.loo for r in M.leave_one_out(df, "c", "y", "loo").collect()} == {1: 0.0, 2: 1.0, 3: 0.5, 4: 0.5}
 
 
-def test_ecdf_and_interpolation(rows, partitions):
+@pytest.mark.parametrize("max_rows", [1000, 0])
+def test_ecdf_and_interpolation(rows, partitions, max_rows):
     knots = E.ecdf(rows([(v,) for v in (1.0, 1.0, 2.0, 4.0)], "x double"), "x")
     assert values(knots, "v", "p") == [(1.0, 0.4), (2.0, 0.6), (4.0, 0.8)]
     asked = rows([(0.0,), (1.0,), (1.5,), (3.0,), (4.0,), (9.0,), (None,)], "x double")
-    got = {r.x: r.p for r in E.ecdf_lookup(asked, F.col("x"), knots).collect()}
+    got = {r.x: r.p for r in E.ecdf_lookup(asked, F.col("x"), knots, max_rows=max_rows).collect()}
     want = {0.0: 0.4, 1.0: 0.4, 1.5: 0.5, 3.0: 0.7, 4.0: 0.8, 9.0: 0.8}
     assert got.pop(None) is None and got == pytest.approx(want)
 
