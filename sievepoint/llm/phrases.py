@@ -17,10 +17,11 @@ from sievepoint.runtime import materialize
 BREAKS = ".,;:!?\n\x0b\x0c\r"  # a phrase does not reach over one of these
 BLANKS = " \t"
 # Bytes of text counted at a time. Chunks end where pieces do, so a text of any length takes bounded memory.
-CHUNK = 4 << 20
-# Bits of the sieve of frequent phrases: 2^20 long integers at most, however many phrases there are.
-SIEVE_BITS = 26
-STRIPES = "lang string, prefix string, stripe array<struct<next: string, n: bigint, h: int>>"
+CHUNK = 2 << 20
+# Bits of a phrase's hash by which it is counted before it is counted by its words, and of the sieve of frequent hashes:
+# 2^20 long integers at most, however many phrases there are.
+BUCKET_BITS, SIEVE_BITS = 40, 26
+STRIPES = "lang string, prefix string, stripe array<struct<next: string, n: bigint, h: bigint>>"
 
 _KIND = np.zeros(256, np.uint8)
 _KIND[[ord(c) for c in BLANKS]] = 1
@@ -53,15 +54,23 @@ def _buffers(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets - offsets[0], data
 
 
+def _chunk_end(offsets: np.ndarray, data: np.ndarray, at: int) -> int:
+    """The first end of a text or of a piece at or after a byte."""
+    end = int(offsets[min(np.searchsorted(offsets, at), len(offsets) - 1)])
+    for begin in range(at, end, CHUNK):
+        breaks = np.flatnonzero(_KIND[data[begin:min(begin + CHUNK, end)]] == 2)
+        if len(breaks):
+            return begin + int(breaks[0])
+    return end
+
+
 def _chunks(texts: pa.Array) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
     """Lower-cased words of the texts, for each its piece and its text, some ``CHUNK`` bytes at a time."""
     offsets, data = _buffers(texts)
-    kind = _KIND[data]
-    ends = np.union1d(np.flatnonzero(kind == 2), offsets)
     begin = 0
     while begin < len(data):
-        end = int(ends[min(np.searchsorted(ends, begin + CHUNK), len(ends) - 1)])
-        part = kind[begin:end]
+        end = max(begin + 1, _chunk_end(offsets, data, begin + CHUNK))
+        part = _KIND[data[begin:end]]
         inside = part == 0
         first = inside.copy()
         first[1:] &= ~inside[:-1]
@@ -74,9 +83,9 @@ def _chunks(texts: pa.Array) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]
             letters = np.ascontiguousarray(_LOWER[data[begin:end][inside]])
             words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(word_ends), pa.py_buffer(letters))
             text = np.searchsorted(offsets, starts + begin, side="right") - 1
-            piece = np.cumsum(part == 2, dtype=np.int64)[starts] + text
+            piece = np.cumsum(part == 2, dtype=np.int32)[starts] + text
             yield words, piece, text
-        begin = end if end > begin else len(data)
+        begin = end
 
 
 def _ranked(key: np.ndarray, code: np.ndarray, base: int) -> np.ndarray:
@@ -84,93 +93,103 @@ def _ranked(key: np.ndarray, code: np.ndarray, base: int) -> np.ndarray:
     return np.unique(key * np.int64(base) + code, return_inverse=True)[1].astype(np.int64)
 
 
-def _stripes(size: int, sieve) -> callable:
-    """Stripes for all prefixes of ``size - 1`` words that pass the sieve, combined within a chunk."""
+def _stripes(size: int, longest: int, sieve) -> callable:
+    """Stripes of all phrases of ``size`` words that pass the sieve, and hash counts of those with a word more.
+
+    Both are combined within a chunk. The stripe of the empty prefix also has the number of all words, under no word.
+    """
     def passes(h):
         bit = h >> np.uint64(64 - SIEVE_BITS)
         return (sieve.value[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
 
+    def batch(lang, prefix, heads, entries):
+        lists = pa.ListArray.from_arrays(pa.array(np.append(heads, len(entries)).astype(np.int32)), entries)
+        return pa.RecordBatch.from_arrays([lang, prefix, lists], ["lang", "prefix", "stripe"])
+
+    def entries_of(following, counts, hashes=None):
+        h = pa.nulls(len(counts), pa.int64()) if hashes is None else pa.array(hashes.astype(np.int64))
+        return pa.StructArray.from_arrays([following, pa.array(counts), h], ["next", "n", "h"])
+
     def of_chunk(langs, lang_codes, lang_hashes, words, piece, text):
-        coded = words.dictionary_encode()
-        codes, known = coded.indices.to_numpy().astype(np.int64), coded.dictionary
-        word_hash = _hashes(known)[codes]
+        word_hash, n = _hashes(words), len(words)
         lang = lang_codes[text]
-        n, before = len(codes), size - 1
         hashes = lang_hashes[lang]  # of the words read so far from each place on, in their language
-        for j in range(before):
+        for j in range(size):
             hashes = _mixed(hashes[:n - j] * _MIX + word_hash[j:n])
-        places = np.arange(len(hashes))
-        if before:
-            whole = piece[places] == piece[places + before - 1]
-            alive = whole & passes(hashes)
-            places = np.flatnonzero(alive)
-            after = places + before
-            follows = after < n
-            follows[follows] = piece[places[follows]] == piece[after[follows]]
-            follows[follows] = alive[places[follows] + 1]
+        alive = piece[:len(hashes)] == piece[size - 1:size - 1 + len(hashes)]
+        if size > 1:
+            alive &= passes(hashes)
         else:
-            after, follows = places, np.ones(n, bool)
+            of_lang = np.bincount(lang)
+            seen = np.flatnonzero(of_lang)
+            yield batch(langs.take(pa.array(seen)), pa.array([""] * len(seen)), np.arange(len(seen)),
+                        entries_of(pa.nulls(len(seen), pa.string()), of_lang[seen]))
+        places = np.flatnonzero(alive)
         if not len(places):
-            return None
+            return
+        if size < longest:
+            goes_on = np.flatnonzero(alive[:-1] & alive[1:])
+            goes_on = goes_on[piece[goes_on] == piece[goes_on + size]]
+            longer = _mixed(hashes[goes_on] * _MIX + word_hash[goes_on + size]) >> np.uint64(64 - BUCKET_BITS)
+            bucket, counts = np.unique(longer, return_counts=True)
+            yield batch(pa.nulls(1, pa.string()), pa.nulls(1, pa.string()), np.zeros(1, np.int32),
+                        entries_of(pa.nulls(len(bucket), pa.string()), counts, bucket))
+        used = np.zeros(n, bool)
+        for j in range(size):
+            used[places + j] = True
+        used = np.flatnonzero(used)
+        coded = words.take(pa.array(used)).dictionary_encode()
+        known, codes = coded.dictionary, np.zeros(n, np.int64)
+        codes[used] = coded.indices.to_numpy()
         key = lang[places]
-        for j in range(before):
+        for j in range(size - 1):
             key = _ranked(key, codes[places + j], len(known))
-        # Entry 0 is the rest: the piece ends, or the next word cannot make a frequent phrase.
-        entry = np.where(follows, codes[np.minimum(after, n - 1)] + 1, 0)
-        pair, where, counts = np.unique(key * np.int64(len(known) + 1) + entry, return_index=True, return_counts=True)
-        heads = np.flatnonzero(np.diff(pair // (len(known) + 1), prepend=-1))
-        place, named = places[where], follows[where]
-        following = pa.array(np.where(named, codes[np.minimum(after[where], n - 1)], 0), mask=~named)
-        full = _mixed(hashes[np.minimum(place, len(hashes) - 1)] * _MIX + word_hash[np.minimum(after[where], n - 1)])
-        bits = (full >> np.uint64(64 - SIEVE_BITS)).astype(np.int32)
-        stripe = pa.StructArray.from_arrays([known.take(following), pa.array(counts), pa.array(bits)], ["next", "n", "h"])
-        at = place[heads]
-        parts = [known.take(pa.array(codes[at + j])) for j in range(before)]
+        pair, where, counts = np.unique(key * np.int64(len(known)) + codes[places + size - 1], return_index=True, return_counts=True)
+        heads = np.flatnonzero(np.diff(pair // len(known), prepend=-1))
+        at = places[where[heads]]
+        parts = [known.take(pa.array(codes[at + j])) for j in range(size - 1)]
         prefix = pc.binary_join_element_wise(*parts, " ") if parts else pa.array([""] * len(at))
-        lists = pa.ListArray.from_arrays(pa.array(np.append(heads, len(pair)).astype(np.int32)), stripe)
-        return pa.RecordBatch.from_arrays([langs.take(pa.array(lang[at])), prefix, lists], ["lang", "prefix", "stripe"])
+        following = known.take(pa.array(codes[places[where] + size - 1]))
+        yield batch(langs.take(pa.array(lang[at])), prefix, heads, entries_of(following, counts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            coded = batch.column("lang").dictionary_encode()
+        for rows in batches:
+            coded = rows.column("lang").dictionary_encode()
             lang_codes, lang_hashes = coded.indices.to_numpy().astype(np.int64), _hashes(coded.dictionary)
-            for words, piece, text in _chunks(batch.column("body")):
-                made = of_chunk(coded.dictionary, lang_codes, lang_hashes, words, piece, text)
-                if made is not None:
-                    yield made
+            for words, piece, text in _chunks(rows.column("body")):
+                yield from of_chunk(coded.dictionary, lang_codes, lang_hashes, words, piece, text)
     return run
 
 
-def _sieve(spark, frequent: DataFrame | None):
+def _sieve(spark, buckets: DataFrame | None):
     """One bit for the hash of every frequent phrase. A phrase that is not frequent may pass too, which changes no result."""
     bits = np.zeros(1 << (SIEVE_BITS - 6), np.uint64)
-    if frequent is not None:
-        bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("h").bitwiseAND(F.lit(63)))
-        for r in frequent.groupBy(F.shiftright("h", 6).alias("at")).agg(F.bit_or(bit).alias("set")).toLocalIterator():
+    if buckets is not None:
+        at = F.shiftright("h", BUCKET_BITS - SIEVE_BITS)
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int"))
+        for r in buckets.groupBy(F.shiftright(at, 6).alias("at")).agg(F.bit_or(bit).alias("set")).toLocalIterator():
             bits[r["at"]] = np.uint64(r["set"] & 0xFFFFFFFFFFFFFFFF)
     return spark.sparkContext.broadcast(bits)
 
 
 def stripes(docs: DataFrame, longest: int = 4, least: int = 30) -> DataFrame:
-    """Next-word counts of every prefix: (size, lang, prefix, next, n, h), where a phrase is a prefix and its next word.
+    """Next-word counts of every prefix: (size, lang, prefix, next, n), where a phrase of ``size`` words is a prefix and its next word.
 
-    ``size`` counts the phrase's words. An entry with ``next`` NULL holds what follows a prefix less than ``least`` times, or
-    the end of its piece, so a stripe's entries add up to the prefix's occurrences. Stripes are filled by length, and a place is
-    counted only where the prefix and the phrase's last words were frequent a length before. Chunks combine their stripes
-    before they are shuffled; stripes are merged entry by entry, so that one with any number of entries is merged by many tasks.
+    Entries found at least ``least`` times are kept, and for each language one of the empty prefix without a word, the number of
+    all words. Every pass over the texts fills the stripes of one length. Beside them it counts the hashes of phrases
+    that are a word longer and whose two shorter parts passed, so that the next pass meets only phrases which can be frequent: what
+    is shuffled are hash counts and the entries of frequent phrases. Chunks combine both before the shuffle; stripes are merged
+    entry by entry, so that one with any number of entries is merged by many tasks.
     """
     spark = docs.sparkSession
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), whole_text("text").alias("body"))
-    levels, frequent = [], None
+    levels, buckets = [], None
     for size in range(1, longest + 1):
-        made = texts.mapInArrow(_stripes(size, _sieve(spark, frequent)), STRIPES)
-        merged = (made.select("lang", "prefix", F.inline("stripe")).groupBy("lang", "prefix", "next")
-                  .agg(F.sum("n").alias("n"), F.min("h").alias("h")))
-        kept = F.when(F.col("n") >= least, F.col("next"))
-        level = materialize(merged.groupBy("lang", "prefix", kept.alias("next")).agg(F.sum("n").alias("n"), F.min("h").alias("h"))
-                            .select(F.lit(size).alias("size"), "lang", "prefix", "next", "n", "h"))
-        levels.append(level)
-        frequent = level.where("next IS NOT NULL")
+        made = texts.mapInArrow(_stripes(size, longest, _sieve(spark, buckets)), STRIPES)
+        merged = materialize(made.select("lang", "prefix", F.inline("stripe")).groupBy("lang", "prefix", "next", "h")
+                             .agg(F.sum("n").alias("n")).where((F.col("n") >= least) | (F.col("prefix").isNotNull() & F.col("next").isNull())))
+        buckets = merged.where("prefix IS NULL")
+        levels.append(merged.where("prefix IS NOT NULL").select(F.lit(size).alias("size"), "lang", "prefix", "next", "n"))
     return reduce(DataFrame.unionByName, levels)
 
 
@@ -193,17 +212,17 @@ def collocations(docs: DataFrame, longest: int = 4, least: int = 30, covered: in
     dropped if one that holds its words is found at least ``covered`` % as often; that phrase may be dropped itself. Order is
     by score and a, both descending, then by phrase.
 
-    All numbers come from the stripes: an entry is a phrase's count, a stripe's sum its prefix's. The greatest entry of
-    a stripe and of all stripes that end alike tell what covers a phrase: any longer phrase holds one with a single word
-    more, which is found as often at least.
+    All numbers come from the stripes: an entry is a phrase's count, and so the total of the stripe whose prefix that phrase is.
+    The greatest entry of a phrase's stripe, and of all entries that end with it, tell what covers it: any longer phrase
+    holds one with a single word more, which is found as often at least.
 
     A NULL language is ``und``. NULL or empty texts have no word; a language without a phrase has no row. Repeated rows
     count each. Other columns are ignored; an empty table gives an empty result.
     """
     found = stripes(docs, longest, least)
-    totals = materialize(found.groupBy("lang", "prefix").agg(F.sum("n").alias("total")))
     phrase = F.concat_ws(" ", F.when(F.col("size") > 1, F.col("prefix")), "next")
     frequent = found.where("next IS NOT NULL").select("lang", "size", "prefix", phrase.alias("phrase"), F.col("n").alias("a"))
+    totals = frequent.where(F.col("size") < longest).select("lang", "phrase", "a")
     longer = frequent.where("size > 2")
     tail = F.col("phrase").substr(F.locate(" ", F.col("phrase")) + 1, F.length("phrase"))
     cover = (longer.select("lang", F.col("prefix").alias("phrase"), "a").unionByName(longer.select("lang", tail.alias("phrase"), "a"))
@@ -213,13 +232,12 @@ def collocations(docs: DataFrame, longest: int = 4, least: int = 30, covered: in
     cuts = candidates.select("lang", "phrase", "a", "words", F.explode(F.sequence(F.lit(1), F.size("words") - 1)).alias("k"))
     cuts = cuts.select("lang", "phrase", "a", "k", _joined(F.col("words"), F.lit(1), F.col("k")).alias("first"),
                        _joined(F.col("words"), F.col("k") + 1, F.size("words")).alias("rest"))
-    cuts = lookup_join(cuts, totals.select("lang", F.col("prefix").alias("first"), F.col("total").alias("l")), ["lang", "first"])
-    cuts = lookup_join(cuts, totals.select("lang", F.col("prefix").alias("rest"), F.col("total").alias("r")), ["lang", "rest"])
+    cuts = lookup_join(cuts, totals.toDF("lang", "first", "l"), ["lang", "first"])
+    cuts = lookup_join(cuts, totals.toDF("lang", "rest", "r"), ["lang", "rest"])
     worst = F.min(F.struct(score_of(2_000_000).alias("score"), "k", "l", "r"))
     scored = cuts.groupBy("lang", "phrase", "a").agg(worst.alias("cut")).join(cover, ["lang", "phrase"], "left")
     left = scored.where(F.col("most").isNull() | (100 * F.col("most").cast("decimal(20,0)") < covered * F.col("a").cast("decimal(20,0)")))
     rows = left.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
     order = W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = rows.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
-    sizes = totals.where("prefix = ''").select("lang", F.col("total").alias("n"))
-    return lookup_join(ranked, sizes, ["lang"]).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    return lookup_join(ranked, found.where("next IS NULL").select("lang", "n"), ["lang"]).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
