@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from sievepoint.llm.text import lower_ascii, whole_text
 from sievepoint.operators.lookup import lookup_join
@@ -37,33 +37,83 @@ def rule_for(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> C
     return out
 
 
-def path_templates(paths: DataFrame, depth: int = 6, fan_out: int = 50, least_pages: int = 5,
-                   chi_square: float = 5.99) -> DataFrame:
+KINDS = ("bad", "good", "rest")
+
+
+def _distance(mine: dict[str, Column], whole: dict[str, Column]) -> Column:
+    """How far the kinds of some pages are from shares given by counts: a chi-square whose expected counts have one added.
+
+    The one keeps a handful of pages from being far from anything, by the pages' own number: it is the same
+    beside few sections and beside many.
+    """
+    n, every = sum(mine.values()), sum(whole.values())
+    out = F.lit(0.0)
+    for kind in KINDS:
+        expected = n * whole[kind] / every
+        out = out + (mine[kind] - expected) * (mine[kind] - expected) / (expected + 1)
+    return out
+
+
+def _merged(own: DataFrame, chi_square: float) -> DataFrame:
+    """Names for segments (host, template, part, bad, good, rest) of their own: (host, template, part, name).
+
+    Segments of one parent whose kinds are much alike share a name. They are put into cells by tenths of their blocked
+    and allowed pages, 66 at most; cells are taken in that order, and one joins those before it while the test finds no
+    difference. A segment that stands alone keeps its name, others are ``(least|..)``.
+    """
+    every = F.col("bad") + F.col("good") + F.col("rest")
+    own = materialize(own.withColumns({"cb": F.floor(10 * F.col("bad") / every), "cg": F.floor(10 * F.col("good") / every)}))
+    cells = own.groupBy("host", "template", "cb", "cg").agg(
+        *(F.sum(k).alias(k) for k in KINDS), F.min("part").alias("least"), F.count(F.lit(1)).alias("parts"))
+    listed = cells.groupBy("host", "template").agg(F.sort_array(F.collect_list(F.struct("cb", "cg", *KINDS, "least", "parts"))).alias("cells"))
+    start = F.struct(*(F.lit(0).cast("long").alias(k) for k in KINDS), F.lit(0).alias("group"), F.array().cast("array<int>").alias("groups"))
+
+    def step(acc, x):
+        pool = {k: acc[k] + x[k] for k in KINDS}
+        joins = (_distance({k: acc[k] for k in KINDS}, pool) + _distance({k: x[k] for k in KINDS}, pool)) < chi_square
+        joins = joins & (F.size(acc["groups"]) > 0)
+        group = acc["group"] + F.when(joins, 0).otherwise(1)
+        return F.struct(*(F.when(joins, pool[k]).otherwise(x[k]).alias(k) for k in KINDS), group.alias("group"),
+                        F.concat(acc["groups"], F.array(group)).alias("groups"))
+    groups = F.aggregate("cells", start, step, lambda acc: acc["groups"])
+    numbered = listed.select("host", "template", F.explode(F.arrays_zip("cells", groups.alias("groups"))).alias("c")).select(
+        "host", "template", "c.cells.cb", "c.cells.cg", "c.cells.least", "c.cells.parts", F.col("c.groups").alias("group"))
+    every_cell = W.partitionBy("host", "template", "group")  # 66 rows at most
+    named = materialize(numbered.select("host", "template", "cb", "cg", F.min("least").over(every_cell).alias("least"),
+                                        F.sum("parts").over(every_cell).alias("parts")))
+    placed = lookup_join(own, named, ["host", "template", "cb", "cg"])
+    name = F.when(F.col("parts") == 1, F.col("part")).otherwise(F.concat(F.lit("("), "least", F.lit("|..)")))
+    return placed.select("host", "template", "part", name.alias("name"))
+
+
+def path_templates(paths: DataFrame, depth: int = 6, chi_square: float = 5.99) -> DataFrame:
     """Grow a template tree per host over (host, path, n, labelled, bad) and give each path its ``template``.
 
     Level by level from the host: a segment becomes a wildcard if it looks variable. Of the others those
     whose pages are blocked, allowed and unlabelled much as their parent's are (a chi-square under ``chi_square``; the
-    default is the 5 % point for two degrees of freedom) are merged into the wildcard too, whatever their share. The
-    test means little on a handful of pages, so beside more than ``fan_out`` segments those of fewer than
-    ``least_pages`` pages are merged as well; a section of more pages keeps its verdict however its host grows.
+    default is the 5 % point for two degrees of freedom) are merged into the wildcard too. Those that differ from their
+    parent are merged with each other where they are alike. The test weighs a section by its own pages, so
+    the section keeps its verdict however many others stand beside it.
 
     Below ``depth`` only branches that hold pages of different kinds are grown on, to their last segment; what lies
     below the others is one ``**``, which holds pages of one kind only and so changes no verdict. Rows are distinct
-    paths with counts; each level is two sums and two lookups by host and parent, which broadcast a
+    paths with counts; each level is a few sums and lookups by host and parent, which broadcast a
     table of measured size, or else its most used keys ahead of a shuffle, so that a host with a third of all
     pages is no single task.
     """
     segments = F.split(F.regexp_replace("path", "^/", ""), "/", -1)
     rows = materialize(paths.withColumn("parts", segments).withColumn("template", F.lit("")))
     deepest = rows.agg(F.max(F.size("parts"))).first()[0] or 0
+    sums = [F.sum(c).alias(k) for k, c in zip(KINDS, (F.col("bad"), F.col("labelled") - F.col("bad"), F.col("n") - F.col("labelled")))]
     ended = []
     for level in range(deepest):
         if level >= depth:
             ended.append(rows.where(F.size("parts") <= level))
             below = rows.where(F.size("parts") > level)
-            counts = below.groupBy("host", "template").agg(F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
-            alike = (F.col("labelled") == 0) | (F.col("bad") == F.col("n")) | ((F.col("labelled") == F.col("n")) & (F.col("bad") == 0))
-            mixed = materialize(counts.where(~alike).select("host", "template", F.lit(True).alias("mixed")))
+            counts = below.groupBy("host", "template").agg(*sums)
+            kinds = sum((F.col(k) > 0).cast("int") for k in KINDS)
+            unlike = (kinds > 1) & (F.col("bad") + F.col("good") > 0)
+            mixed = materialize(counts.where(unlike).select("host", "template", F.lit(True).alias("mixed")))
             placed = lookup_join(below, mixed, ["host", "template"])
             ended.append(placed.where("mixed IS NULL").drop("mixed").withColumn("template", F.concat("template", F.lit("/" + REST))))
             rows = materialize(placed.where("mixed").drop("mixed"))
@@ -71,25 +121,15 @@ def path_templates(paths: DataFrame, depth: int = 6, fan_out: int = 50, least_pa
                 break
         here = F.get("parts", F.lit(level))
         rows = rows.withColumn("part", F.when(here.rlike(VARIABLE), F.lit(WILD)).otherwise(here))
-        kids = materialize(rows.where("part IS NOT NULL AND part != '*'").groupBy("host", "template", "part")
-                           .agg(F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad")))
-        whole = materialize(kids.groupBy("host", "template").agg(
-            F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("all_n"), F.sum("labelled").alias("all_labelled"),
-            F.sum("bad").alias("all_bad")))
-        distance = F.lit(0.0)
-        for mine, every in ((F.col("bad"), F.col("all_bad")),
-                            (F.col("labelled") - F.col("bad"), F.col("all_labelled") - F.col("all_bad")),
-                            (F.col("n") - F.col("labelled"), F.col("all_n") - F.col("all_labelled"))):
-            expected = F.col("n") * every / F.col("all_n")
-            distance = distance + F.when(expected > 0, (mine - expected) * (mine - expected) / expected).otherwise(0.0)
-        differs = distance >= chi_square
-        counted = (F.col("kinds") <= fan_out) | (F.col("n") >= least_pages)
-        own = materialize(lookup_join(kids, whole, ["host", "template"]).where(counted & differs)
-                          .select("host", "template", "part", F.lit(True).alias("own")))
-        rows = (lookup_join(rows, own, ["host", "template", "part"])
+        kids = materialize(rows.where("part IS NOT NULL AND part != '*'").groupBy("host", "template", "part").agg(*sums))
+        whole = materialize(kids.groupBy("host", "template").agg(*(F.sum(k).alias(f"all_{k}") for k in KINDS)))
+        differs = _distance({k: F.col(k) for k in KINDS}, {k: F.col(f"all_{k}") for k in KINDS}) >= chi_square
+        own = lookup_join(kids, whole, ["host", "template"]).where(differs).select("host", "template", "part", *KINDS)
+        names = materialize(_merged(own, chi_square))
+        rows = (lookup_join(rows, names, ["host", "template", "part"])
                 .withColumn("template", F.when(F.col("part").isNull(), F.col("template"))
-                            .otherwise(F.concat("template", F.lit("/"), F.when(F.col("own"), F.col("part")).otherwise(WILD))))
-                .drop("own", "part"))
+                            .otherwise(F.concat("template", F.lit("/"), F.coalesce("name", F.lit(WILD)))))
+                .drop("name", "part"))
         rows = materialize(rows)
     for part in ended:
         rows = rows.unionByName(part)
@@ -117,6 +157,7 @@ def judge_pages(pages: DataFrame, rules: list[tuple[str, str, str]], reject_at:
     rated = materialize(sums.select("host", "template", purity.alias("purity")))
     judged = lookup_join(placed.select("host", "path", "template"), rated, ["host", "template"])
     own = F.when(F.col("purity") >= reject_at, "block").otherwise("allow")
-    return (found.join(judged, ["host", "path"])
+    # An address that a third of all pages have is a hot key.
+    return (lookup_join(found, materialize(judged.select("host", "path", "template", "purity")), ["host", "path"])
             .select("page_id", "host", "path", F.col("fit.rule").alias("rule"),
                     F.coalesce("fit.verdict", own).alias("verdict"), "template", "purity"))
