@@ -55,13 +55,13 @@ rates AS (
   FROM given WHERE chars > 0),
 terms AS (
   SELECT source, j, exp(-rate + j * ln(rate) - lgamma(j + 1.0::DOUBLE)) AS p
-  FROM rates, range(0, 400) t(j) WHERE j <= ceil(rate + 12 * sqrt(rate) + 30)),
+  FROM (SELECT *, unnest(range(CAST(greatest(floor(rate - 12 * sqrt(rate)), 0) AS BIGINT), CAST(ceil(rate + 12 * sqrt(rate)) AS BIGINT) + 31)) AS j FROM rates)),
 upto AS (SELECT source, j, sum(p) OVER (PARTITION BY source ORDER BY j) AS p FROM terms),
 drawn AS (
   SELECT doc_id, text, lang, source, n_chars,
          CAST(CAST('0x' || substr(md5('mix:' || doc_id), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496 AS u
   FROM documents),
-counted AS (SELECT d.*, (SELECT count(*) FROM upto t WHERE t.source IS NOT DISTINCT FROM d.source AND t.p <= d.u) AS n FROM drawn d)
+counted AS (SELECT d.*, (SELECT coalesce(max(t.j) + 1, 0) FROM upto t WHERE t.source IS NOT DISTINCT FROM d.source AND t.p <= d.u) AS n FROM drawn d)
 SELECT doc_id, text, lang, source, n_chars, CAST(copy_no AS INTEGER) AS copy_no,
        CAST(CAST('0x' || substr(md5('mix:order:' || doc_id || ':' || copy_no), 1, 13) AS BIGINT) AS DOUBLE)
          / 4503599627370496 AS order_key
