@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from sievepoint.llm.text import whole_text
+from sievepoint.operators.lookup import lookup_join
+from sievepoint.runtime import materialize
 
 UNDETERMINED = "und"
 # Bounds of the fit, all of it in tables of this size on the driver.
@@ -21,6 +25,8 @@ SCRIPT_SHARE = 0.001
 # Log units: the most that one word can say for or against a language, and the price of a switch.
 WORD_LIMIT = 10.0
 SWITCH_PENALTY = 12.0
+# The score of a language that is closed to a word which others are open to: no path goes there.
+CLOSED = -1e9
 # A span is evidence for its language if words that fit it hold this share of the span's letters.
 FITTING_SHARE = 0.5
 # Words labelled together, and words whose scores a task remembers.
@@ -28,7 +34,18 @@ WORDS_AT_ONCE = 2_000_000
 WORDS_KEPT = 400_000
 SCORED_AT_ONCE = 50_000
 
-WORD = re.compile(r"[^\W\d_]+")
+
+
+def _class_of(*kinds: str) -> str:
+    """The characters of some Unicode categories as ranges of a pattern."""
+    member = [unicodedata.category(chr(i))[0] in kinds for i in range(sys.maxunicode + 1)]
+    edges = np.flatnonzero(np.diff(np.array([False, *member, False]).astype(np.int8)))
+    return "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(edges[::2], edges[1::2]))
+
+
+# A letter and the letters and marks after it, in the fit and in the labelling.
+WORD = re.compile(f"[{_class_of('L')}][{_class_of('L', 'M')}]*")
+WORD_IN_FIT = r"\p{L}[\p{L}\p{M}]*"
 RESULT = "lang_pred string, score double, spans array<struct<start:int,end:int,lang:string>>"
 
 # Unicode ranges of scripts, first and last code point.
@@ -84,20 +101,28 @@ def _features(word: Column) -> Column:
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, features: int = FEATURES) -> Model:
     """Fit word scores on rows with a text and a ``lang``.
 
-    The fit reads a sample of about ``sample_rows`` rows, chosen by hash; counts are made in Spark, and the
-    ``features`` most frequent features come to the driver. Without labelled rows nothing can be told apart
-    and every text gets ``und``.
+    The fit reads about ``sample_rows`` rows, chosen by hash: as many of each language, and all of one that has fewer. Counts are
+    made in Spark, and ``features`` features come to the driver, the most frequent of each language. So a
+    language keeps its part of both however rare it is beside the others. Without labelled rows nothing can be told
+    apart and every text gets ``und``.
     """
-    labelled = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
-    share = min(1.0, sample_rows / max(1, labelled.count()))
-    sample = labelled.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < round(share * 1_000_000))
-    words = (sample.select("lang", F.explode(F.regexp_extract_all("text", F.lit(r"\p{L}+"), 0)).alias("w"))
+    labelled = docs.where("text IS NOT NULL AND lang IS NOT NULL")
+    known = materialize(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")))
+    n_langs = max(1, known.count())
+    shares = known.select("lang", F.least(F.lit(1.0), F.lit(sample_rows / n_langs) / F.col("rows")).alias("share"))
+    # Copies of one text are chosen one by one.
+    chosen = F.xxhash64(*(c for c in ("doc_id", "text") if c in docs.columns))
+    sample = (lookup_join(labelled.select("text", "lang", chosen.alias("mark")), shares, ["lang"])
+              .where(F.pmod("mark", F.lit(1_000_000)) < F.round(F.col("share") * 1_000_000)))
+    words = (sample.select("lang", F.explode(F.regexp_extract_all("text", F.lit(WORD_IN_FIT), 0)).alias("w"))
              .groupBy("lang", F.lower("w").alias("w")).agg(F.count(F.lit(1)).alias("n")).cache())
     scripts = words.groupBy("lang", _script_column(F.col("w")).alias("s")).agg(
         F.sum(F.col("n") * F.length("w")).alias("n")).collect()
     counts = words.select("lang", "n", F.explode(_features(F.col("w"))).alias("f")).groupBy("f", "lang").agg(F.sum("n").alias("n"))
-    by_feature = (counts.groupBy("f").agg(F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("per"))
-                  .orderBy(F.desc("total"), "f").limit(features).collect())
+    place = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "f"))
+    frequent = counts.withColumn("place", place).where(F.col("place") <= features // n_langs).select("f").distinct()
+    by_feature = (counts.join(F.broadcast(frequent), "f").groupBy("f").agg(F.collect_list(F.struct("lang", "n")).alias("per"))
+                  .orderBy("f").collect())
     words.unpersist()
     langs = sorted({r.lang for r in scripts})
     at = {name: i for i, name in enumerate(langs)}
@@ -165,7 +190,7 @@ class _Words(dict):
         allowed = self.open[[self.scripts.get(script_of(w), len(self.open) - 1) for w in words]]
         best = np.where(allowed, said, -np.inf).max(axis=1, keepdims=True)
         limited = np.maximum(said - np.where(np.isfinite(best), best, 0), -WORD_LIMIT)
-        out = np.where(allowed, limited, -2 * WORD_LIMIT)
+        out = np.where(allowed, limited, CLOSED)
         out[~allowed.any(axis=1)] = 0
         grams = np.diff(np.append(starts, len(rows))) - 1
         cost = np.add.reduceat(self.costs[rows], starts)
