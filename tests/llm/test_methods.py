@@ -219,7 +219,7 @@ def test_licence_scores(spark):
 def test_templates_keep_clean_branches(spark):
     pages = [(i, f"http://x.net/{part}/{i}") for i, part in enumerate(["es", "fr", "en", "de"] * 60)]
     got = urls.judge_pages(spark.createDataFrame(pages, "page_id long, url string"), queries.RULES).collect()
-    assert {r.template for r in got if "/es/" in r.path} == {"/es/*"}
+    assert {r.template for r in got if "/es/" in r.path or "/fr/" in r.path} == {"/(es|..)/*"}
     assert {r.verdict for r in got if "/en/" in r.path or "/de/" in r.path} == {"allow"}
     assert {r.verdict for r in got if "/es/" in r.path} == {"block"}
 
@@ -233,7 +233,31 @@ def test_templates_reject_by_purity(spark):
     assert {r.verdict for r in got if "/news/" in r.path} == {"allow"}
 
 
-def plain_templates(paths, depth=6, fan_out=50, least_share=0.02, chi_square=5.99):
+def plain_distance(mine, whole):
+    n, every = sum(mine), sum(whole)
+    return sum((m - n * w / every) ** 2 / (n * w / every + 1) for m, w in zip(mine, whole))
+
+
+def plain_names(own, chi_square):
+    """Names of one parent's own segments, {segment: (bad, good, rest)}: cells by tenths, joined in order while alike."""
+    cells = {}
+    for part, sums in own.items():
+        cell = cells.setdefault((10 * sums[0] // sum(sums), 10 * sums[1] // sum(sums)), ([0, 0, 0], []))
+        cell[1].append(part)
+        for i, v in enumerate(sums):
+            cell[0][i] += v
+    groups, pool = [], None
+    for _, (sums, parts) in sorted(cells.items()):
+        both = [a + b for a, b in zip(pool, sums)] if pool else None
+        if both and plain_distance(pool, both) + plain_distance(sums, both) < chi_square:
+            pool, groups[-1] = both, groups[-1] + parts
+        else:
+            pool = sums
+            groups.append(parts)
+    return {p: p if len(g) == 1 else f"({min(g)}|..)" for g in groups for p in g}
+
+
+def plain_templates(paths, depth=6, chi_square=5.99):
     """The template of each (host, path), grown level by level; ``paths`` maps it to (n, labelled, bad)."""
     parts = {k: re.sub("^/", "", k[1]).split("/") for k in paths}
     made = {k: "" for k in paths}
@@ -244,21 +268,11 @@ def plain_templates(paths, depth=6, fan_out=50, least_share=0.02, chi_square=5.9
                 sums = kids.setdefault((k[0], made[k]), {}).setdefault(parts[k][level], [0, 0, 0])
                 for i, v in enumerate((bad, labelled - bad, n - labelled)):
                     sums[i] += v
-        grown = {}
-        for k in paths:
-            if level >= len(parts[k]):
-                grown[k] = made[k]
-                continue
-            beside = kids.get((k[0], made[k]), {})
-            mine, total = beside.get(parts[k][level]), [sum(v[i] for v in beside.values()) for i in range(3)]
-            own = False
-            if mine:
-                n, whole = sum(mine), sum(total)
-                common = len(beside) <= fan_out or n >= least_share * whole
-                expected = [n * t / whole for t in total]
-                own = common and sum((m - e) ** 2 / e for m, e in zip(mine, expected) if e > 0) >= chi_square
-            grown[k] = f"{made[k]}/{parts[k][level] if own else '*'}"
-        made = grown
+        names = {}
+        for parent, beside in kids.items():
+            total = [sum(v[i] for v in beside.values()) for i in range(3)]
+            names[parent] = plain_names({p: v for p, v in beside.items() if plain_distance(v, total) >= chi_square}, chi_square)
+        made = {k: made[k] if level >= len(parts[k]) else f"{made[k]}/{names.get((k[0], made[k]), {}).get(parts[k][level], '*')}" for k in paths}
     return {k: v + ("/**" if len(parts[k]) > depth else "") for k, v in made.items()}
 
 
