@@ -61,12 +61,18 @@ def _halved(df: DataFrame, keys: Column, n: int, name: str) -> DataFrame:
     return df
 
 
+def _settled(df: DataFrame, columns: list[str], name: str, value: Column) -> DataFrame:
+    """``columns`` and the value, behind a generator. A filter on the value would else be pushed through all steps of the search,
+    and each step would be written into it several times."""
+    return df.select(*columns, F.explode_outer(F.array(value)).alias(name))
+
+
 def search(df: DataFrame, x: Column, index: SortedIndex, name: str) -> DataFrame:
     """Add the value of the entry with the greatest key at or under ``x``; NULL if there is none."""
+    columns = [c for c in df.columns if c != name]
     asked = _halved(df.withColumn("_asked", x), index.top.select("keys").scalar(), index.n_top, "_at")
-    at = F.col("_at")
     if index.leaves is None:
-        return asked.withColumn(name, F.when(at >= 0, F.get(index.top.select("values").scalar(), at))).select(*df.columns, name)
-    found = lookup_join(asked.withColumn("_leaf", at.cast("long")), index.leaves, ["_leaf"])
-    found = _halved(found, F.col("keys"), index.leaf, "_in")
-    return found.withColumn(name, F.when(F.col("_in") >= 0, F.get("values", F.col("_in")))).select(*df.columns, name)
+        return _settled(asked, columns, name, F.when(F.col("_at") >= 0, F.get(index.top.select("values").scalar(), F.col("_at"))))
+    found = _settled(asked, [*columns, "_asked"], "_leaf", F.col("_at").cast("long"))
+    found = _halved(lookup_join(found, index.leaves, ["_leaf"]), F.col("keys"), index.leaf, "_in")
+    return _settled(found, columns, name, F.when(F.col("_in") >= 0, F.get("values", F.col("_in"))))

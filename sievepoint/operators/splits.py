@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from sievepoint.functions.hashing import normal, order_key, salted_order_key, uniform
 from sievepoint.operators.lookup import lookup_join
-from sievepoint.operators.ordered import group_index, row_index
+from sievepoint.operators.selection import select_positions
 from sievepoint.runtime import fits_broadcast, materialize
 
 PREFIX_DIGITS = 4
@@ -187,12 +187,11 @@ def _row_order(df: DataFrame, key: str) -> Column:
 
 def _chunk_marks(df: DataFrame, key: str, ends) -> list:
     """Place of the first row of every chunk but the first; ``ends`` maps n to an array of 0-based starts."""
-    indexed = materialize(row_index(df.select(_row_order(df, key).alias("o")), [F.col("o")]))
-    n = indexed.count()
-    starts = indexed.sparkSession.range(1).select(F.explode(ends(F.lit(n))).alias("idx"))
+    keys = df.select(F.lit(0).alias("g"), _row_order(df, key).alias("o"))
+    n = df.count()
+    wanted = df.sparkSession.range(1).select(F.posexplode(ends(F.lit(n))).alias("want", "k")).select("want", F.lit(0).alias("g"), "k")
     # One row per chunk boundary: the chunk count is a parameter.
-    found = indexed.join(F.broadcast(starts), "idx").select("idx", "o").collect()
-    return [r.o for r in sorted(found, key=lambda r: r.idx)]
+    return [r.o for r in sorted(select_positions(keys, wanted).collect(), key=lambda r: r.want)]
 
 
 def _chunk_number(df: DataFrame, key: str, marks: list) -> Column:
@@ -230,18 +229,16 @@ def split_chronological(df: DataFrame, group: str, ts: str, key: str, share: flo
                         name: str = "is_train") -> DataFrame:
     """First ``floor(share * n)`` rows by time of each group train; rows with no group are dropped.
 
-    Only (group, time, key) is sorted; each group's last training row is looked up by the wide rows.
+    Nothing is sorted: each group's last training row is found by counting, and looked up by the wide rows.
     """
     present = df.filter(F.col(group).isNotNull())
-    slim = present.select(group, F.col(ts).alias("_t"), F.col(key).alias("_k"))
-    placed = group_index(slim, [F.col("_t").asc_nulls_last(), F.col("_k")], [group])
-    sizes = materialize(placed.groupBy(group).agg(F.count(F.lit(1)).alias("_n")))
+    own = F.struct(F.col(ts).isNull().alias("late"), F.col(ts).alias("t"), F.col(key).alias("k"))
+    keys = present.select(F.col(group).alias("g"), own.alias("o"))
+    sizes = materialize(keys.groupBy("g").agg(F.count(F.lit(1)).alias("n")))
     # The row at 0-based position floor(share * n) - 1 is the last one to train on.
-    last = (lookup_join(placed, sizes, [group])
-            .filter(F.col("idx") == F.floor(F.lit(share) * F.col("_n")) - 1)
-            .select(group, F.struct(F.col("_t").isNull(), "_t", "_k").alias("_cut")))
-    last = materialize(last)
-    own = F.struct(F.col(ts).isNull(), F.col(ts), F.col(key))
+    wanted = materialize(sizes.select("g", (F.floor(F.lit(share) * F.col("n")) - 1).alias("k")).withColumn("want", F.monotonically_increasing_id()))
+    last = select_positions(keys, wanted).join(wanted.select("want", F.col("g").alias(group)), "want")
+    last = materialize(last.select(group, F.col("o").alias("_cut")))
     return (lookup_join(present, last, [group])
             .withColumn(name, F.coalesce(own <= F.col("_cut"), F.lit(False))).drop("_cut"))
 

@@ -85,6 +85,11 @@ def test_search_in_sorted_index(spark, rows, n, max_rows):
     index = build_index(entries, max_rows)
     got = {r.x: r.found.v if r.found else None for r in search(asked, F.col("x"), index, "found").collect()}
     assert got == {x: (min(x // 3, n - 1) * 10 if x >= 0 and n else None) for x in {*range(-2, 3 * n + 5), *([n] if n else [])}}
+    assert search(asked, F.col("x"), index, "found").where("found.v = 10").count() == got_rows(asked, lambda x: n > 1 and (3 <= x < 6 or (n == 2 and x >= 3)))
+
+
+def got_rows(asked, test):
+    return sum(map(test, (r.x for r in asked.collect())))
 
 
 def test_area_states(rows):
