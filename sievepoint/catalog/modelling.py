@@ -67,6 +67,35 @@ def boosted_tree_training(spark, sf):
     return T.train(rows, "boosted_trees", {"n_estimators": 10, "max_depth": 3})[2]
 
 
+# One cut parts the classes, so each side's margin goes its own way: its next step follows from the margin and its rows.
+_PENALTIES = {"light": {"reg_lambda": 1, "reg_alpha": 0}, "heavy": {"reg_lambda": 200, "reg_alpha": 20}}
+
+
+def _margins_sql(trees, rate):
+    parts = []
+    for name, p in _PENALTIES.items():
+        parts.append(f"""{name}(y, n, t, m) AS (
+  SELECT y, count(*)::DOUBLE, 0, 0.0::DOUBLE FROM p GROUP BY y
+  UNION ALL SELECT y, n, t + 1, m + {rate} * (CASE WHEN y THEN 1 ELSE -1 END) * greatest(n * abs(y::INT - 1 / (1 + exp(-m))) - {p["reg_alpha"]}, 0)
+    / (n * (1 / (1 + exp(-m))) * (1 - 1 / (1 + exp(-m))) + {p["reg_lambda"]}) FROM {name} WHERE t < {trees})""")
+    return ", ".join(parts)
+
+
+@query("penalised_boosting", f"""
+WITH RECURSIVE {_planted_sql()}, {_margins_sql(6, 0.3)}
+SELECT app_id, p.y, round(1 / (1 + exp(-light.m)), 9) AS light, round(1 / (1 + exp(-heavy.m)), 9) AS heavy, abs(heavy.m) < abs(light.m) AS shrunk
+FROM p JOIN light ON light.y = p.y AND light.t = 6 JOIN heavy ON heavy.y = p.y AND heavy.t = 6""")
+def penalised_boosting(spark, sf):
+    """Two trainings that differ in their leaf penalties: every row's probability by both."""
+    rows = planted(spark, sf)
+    scored = rows.withColumn("y", F.col("label") == 1)
+    for name, penalty in _PENALTIES.items():
+        model = C.make_classifier("penalised_trees", {"n_estimators": 6, "max_depth": 3, "learning_rate": 0.3, **penalty}).fit(rows)
+        scored = model.transform(scored).withColumnRenamed("margin", f"m_{name}").drop("probability")
+    prob = lambda name: F.round(1 / (1 + F.exp(-F.col(f"m_{name}"))), 9).alias(name)
+    return scored.select("app_id", "y", prob("light"), prob("heavy"), (F.abs("m_heavy") < F.abs("m_light")).alias("shrunk"))
+
+
 @query("out_of_fold_scores", f"""
 WITH {_planted_sql()}, {_folded_sql(3)} SELECT app_id, CAST(fold AS INT) AS fold, CAST(y AS DOUBLE) AS label, CAST(y AS INT) AS predicted FROM f""")
 def out_of_fold_scores(spark, sf):

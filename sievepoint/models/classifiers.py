@@ -11,14 +11,18 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from sievepoint.constants import FILL_NUMBER, SCORE_THRESHOLD
+from sievepoint.models.boosting import PenalisedTrees
 from sievepoint.operators.rules import blend, decide
 from sievepoint.operators.trim import feature_matrix
 
 KINDS = {
     "boosted_trees": GBTClassifier, "gradient_boosting": GBTClassifier,
     "random_forest": RandomForestClassifier, "logistic": LogisticRegression,
-    "decision_tree": DecisionTreeClassifier, "gaussian_nb": NaiveBayes,
+    "decision_tree": DecisionTreeClassifier, "gaussian_nb": NaiveBayes, "penalised_trees": PenalisedTrees,
 }
+# Parameters of the trees with leaf penalties, which have names of their own.
+PENALISED = {"reg_lambda": "regLambda", "reg_alpha": "regAlpha", "colsample_bytree": "colsampleByTree",
+             "colsample_bylevel": "colsampleByLevel", "min_child_weight": "minChildWeight"}
 
 # Production and search settings of the boosted trees.
 PRODUCTION_PARAMS = {"max_depth": 5, "n_estimators": 600, "colsample_bytree": 0.5, "colsample_bylevel": 0.7}
@@ -31,7 +35,7 @@ SEARCH_GRID = {
 
 def effective(kind: str, params: dict) -> dict:
     """The parameters that have an effect on ``kind``; a search over others would fit the same model again."""
-    ignored = () if kind == "logistic" else ("reg_lambda", "reg_alpha")
+    ignored = () if kind in ("logistic", "penalised_trees") else ("reg_lambda", "reg_alpha")
     return {name: value for name, value in params.items() if name not in ignored}
 
 
@@ -43,7 +47,9 @@ def spark_params(kind: str, params: dict) -> dict:
              "min_samples_leaf": "minInstancesPerNode", "random_state": "seed"}
     out, share = {}, 1.0
     for name, value in params.items():
-        if name in ("reg_lambda", "reg_alpha") and kind != "logistic":
+        if kind == "penalised_trees" and name in PENALISED:
+            out[PENALISED[name]] = float(value)
+        elif name in ("reg_lambda", "reg_alpha") and kind != "logistic":
             warnings.warn(f"{KINDS[kind].__name__} has no leaf-weight penalty: {name} is ignored")
         elif name.startswith("colsample_"):
             share *= value
@@ -78,7 +84,7 @@ def assemble(df: DataFrame, features: list[str], keep: tuple[str, ...], label: s
 
 def with_probability(scored: DataFrame, name: str = "prob") -> DataFrame:
     return scored.withColumn(name, vector_to_array("probability")[1]).drop(
-        "rawPrediction", "probability", "prediction")
+        "rawPrediction", "probability", "prediction", "margin")
 
 
 def blended(df: DataFrame, model, threshold: float = SCORE_THRESHOLD, rule: str | None = "y_rule") -> DataFrame:
