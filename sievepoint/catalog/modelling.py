@@ -33,6 +33,10 @@ FEATURES = ["step", "user_no", "value"]
 ALL_FEATURES = {"max_features": "all"}
 
 
+def _folder(spark):
+    return f"{state_dir(spark)}/sievepoint/{uuid.uuid4().hex}"
+
+
 def planted(spark, sf, low=12, high=20):
     """Assembled events whose label is ``low <= step < high``."""
     rows = table(spark, sf, "events").select(
@@ -212,8 +216,8 @@ FROM (SELECT split, {_QUALITY} FROM (SELECT split, y, prob > 0.3 AS p FROM score
 def backtest_bayes_history(spark, sf):
     rows = bayes_rows(spark, sf)
     n = rows.count()
-    splits = {f"until_{d}": rows.withColumn("is_train", F.col("app_id") < d * n / 10) for d in (3, 6)}
-    history = T.backtest(splits, "gaussian_nb", ["user_id", "value"])
+    splits = [T.Split(f"until_{d}", F.col("app_id") < d * n / 10, F.col("app_id") >= d * n / 10) for d in (3, 6)]
+    history = T.backtest(rows, splits, "gaussian_nb", ["user_id", "value"], _folder(spark))
     return history.filter("scope = 'test'").select("tag", "Recall", "Accuracy")
 
 
@@ -240,6 +244,38 @@ def parameter_grid_search(spark, sf):
         "params", F.regexp_replace("params", '"n_estimators": 3, |, "n_estimators": 3', ""))
 
 
+_WIDE = {"max_depth": [1, 2, 3, 4, 5], "min_samples_leaf": [1, 2, 5], "maxBins": [32, 48, 64, 96], "minInfoGain": [0.0, 1e-9]}
+_WIDE_POINTS = T.parameter_grid(_WIDE)
+
+
+@query("recoverable_parameter_search", _search_sql(_WIDE_POINTS))
+def recoverable_parameter_search(spark, sf):
+    """All 120 points of a grid, stopped after some and run again: the ranks of the whole."""
+    rows, path, parts = materialize(X.kfold(planted(spark, sf, *_BAND), "app_id", 2)), _folder(spark), []
+
+    def stop(left):
+        parts.append(left)
+        if len(parts) == 5:
+            raise InterruptedError(left)
+
+    def run(before):
+        return T.recoverable_search(rows, path, "decision_tree", _WIDE, folds=2, before=before)[2]
+    try:
+        run(stop)
+    except InterruptedError:
+        return run(lambda left: parts.append(left))
+
+
+@query("best_point_report", f"""
+WITH {_planted_sql(*_BAND)} SELECT CAST(c AS INT) AS class, 1.0::DOUBLE AS "precision", 1.0::DOUBLE AS recall, 1.0::DOUBLE AS f1,
+  count(*) FILTER (y = (c = 1)) AS support FROM p, range(2) r(c) GROUP BY c""")
+def best_point_report(spark, sf):
+    """The classification report of the point that a search chose, over the held-out folds."""
+    rows = materialize(X.kfold(planted(spark, sf, *_BAND), "app_id", 2))
+    best = T.search(rows, "decision_tree", {"max_depth": [1, 3], "minInfoGain": [0.0]}, folds=2)[1]
+    return T.classification_report(T.out_of_fold(rows, "decision_tree", best, folds=2))
+
+
 @query("random_parameter_search", _search_sql(random.Random(42).sample(_POINTS, 4)))
 def random_parameter_search(spark, sf):
     rows = materialize(X.kfold(planted(spark, sf, *_BAND), "app_id", 2))
@@ -326,17 +362,41 @@ def progressive_chunk_quality(spark, sf):
     return T.progressive(planted(spark, sf), "decision_tree", 4, {"max_depth": 3})
 
 
+_NOISES = [(level, share) for level in (0.25, 0.5, 1.0) for share in (0.3, 0.6)]
+
+
 @query("time_and_college_backtest", """
-SELECT tag, scope, 'decision_tree' AS model, 1.0::DOUBLE AS "AUC", 1.0::DOUBLE AS "Accuracy", 1.0::DOUBLE AS "Precision", 1.0::DOUBLE AS "Recall"
-FROM (SELECT unnest(['until_10', 'until_20', 'college_80']) AS tag), (SELECT unnest(['train', 'test']) AS scope) WHERE (SELECT count(*) FROM events) > 0""")
+WITH runs AS (
+  SELECT concat('until_', CAST(d AS STRING)) AS tag FROM range(1, 35) t(d)
+  UNION ALL SELECT concat('noise_', n) FROM (SELECT unnest(['0.25_0.3', '0.25_0.6', '0.5_0.3', '0.5_0.6', '1.0_0.3', '1.0_0.6']) AS n)
+  UNION ALL SELECT 'college_80')
+SELECT tag, scope, 'decision_tree' AS model, 1.0::DOUBLE AS "AUC", 1.0::DOUBLE AS "Accuracy", 1.0::DOUBLE AS "Precision", 1.0::DOUBLE AS "Recall",
+       CASE WHEN scope = 'train' THEN 'step' END AS feature0
+FROM runs, (SELECT unnest(['train', 'test']) AS scope) WHERE (SELECT count(*) FROM events) > 0""")
 def time_and_college_backtest(spark, sf):
-    """History rows, train and test, over two time splits and one split inside colleges."""
-    rows = planted(spark, sf)
-    bounds = rows.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
-    marks = {d: bounds.a + (bounds.b - bounds.a) * d / 30 for d in (10, 20)}
-    splits = {f"until_{d}": rows.withColumn("is_train", F.col("ts") < F.lit(t)) for d, t in marks.items()}
-    splits["college_80"] = X.split_chronological(rows, "college_id", "ts", "app_id", 0.8)
-    return T.backtest(splits, "decision_tree", FEATURES, {"max_depth": 3}).select("tag", "scope", "model", "AUC", "Accuracy", "Precision", "Recall")
+    """History rows, train and test: 34 time splits, 6 with noise on a feature that says nothing, one inside colleges.
+
+    It stops after ten splits and goes on.
+    """
+    rows = X.split_chronological(planted(spark, sf), "college_id", "ts", "app_id", 0.8)
+    first, last = rows.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
+    t, early = F.unix_micros("ts"), F.col("is_train")
+    splits = [T.Split(f"until_{d}", t < first + (last - first) * d // 35, t >= first + (last - first) * d // 35) for d in range(1, 35)]
+    splits += [T.Split(f"noise_{level}_{share}", early, ~early, T.noisy_vector(FEATURES, ["user_no"], "app_id", level, share, 7)) for level, share in _NOISES]
+    splits.append(T.Split("college_80", early, ~early))
+    path, seen = _folder(spark), []
+
+    def run(stop=None):
+        def before(tag):
+            seen.append(tag)
+            if len(seen) == stop:
+                raise InterruptedError(tag)
+        return T.backtest(rows, splits, "decision_tree", FEATURES, path, {"max_depth": 3}, before=before)
+    try:
+        run(11)
+    except InterruptedError:
+        history = run()
+    return history.select("tag", "scope", "model", "AUC", "Accuracy", "Precision", "Recall", "feature0")
 
 
 def _lookups(spark, sf):

@@ -8,18 +8,21 @@ from __future__ import annotations
 
 import json
 import random
+import uuid
+from dataclasses import dataclass
 from functools import reduce
 from itertools import product
 from statistics import fmean, pstdev
 
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from sievepoint.constants import SCORE_THRESHOLD
-from sievepoint.functions.hashing import uniform
+from sievepoint.functions.hashing import normal, uniform
 from sievepoint.models.classifiers import effective, importance, make_classifier, spark_params, with_probability
-from sievepoint.operators.metrics import confusion, evaluate, f_beta
+from sievepoint.operators.metrics import confusion, evaluate, evaluate_groups, f_beta
 from sievepoint.operators.rules import decide
 from sievepoint.operators.splits import contiguous_folds, row_range_chunks, shuffle_marks, split_random
 from sievepoint.runtime import materialize
@@ -115,6 +118,46 @@ def search(df: DataFrame, kind: str, space: dict[str, list], fold: str = "fold",
     return found.bestModel, grid[order[0]], table
 
 
+_SCORES = "tag string, run string, scope string, label double, prob double, n long"
+_RANKS = "tag string, run string, strongest array<struct<rank: int, feature: string, score: double>>"
+_POINTS = "point string, mean double, std double"
+
+
+def recoverable_search(df: DataFrame, path: str, kind: str, space: dict[str, list], fold: str = "fold", folds: int = 3,
+                       n_iter: int | None = None, seed: int = 42, parallelism: int = 8, before=None):
+    """``search`` whose points are rows of a table under ``path``: (best model refitted on all rows, best parameters, results table).
+
+    Points are fitted some at a time over the one written frame, and their scores are appended when they are
+    done. A search that was stopped goes on with the points that have no score yet; with the same seed it gives the
+    ranks of a search that was never stopped. ``before`` is told how many points are left ahead of each part.
+    """
+    spark = df.sparkSession
+    grid = parameter_grid(effective(kind, space))
+    if n_iter is not None and n_iter < len(grid):
+        grid = random.Random(seed).sample(grid, n_iter)
+    names = [json.dumps(p, sort_keys=True) for p in grid]
+    spark.createDataFrame([], _POINTS).write.mode("append").parquet(f"{path}/points")
+    scorer = MulticlassClassificationEvaluator(labelCol="label", metricName="recallByLabel", metricLabel=1.0)
+    estimator = make_classifier(kind)
+    known = lambda: {r.point: r for r in spark.read.schema(_POINTS).parquet(f"{path}/points").collect()}  # noqa: E731  one for each point
+    left = [(n, p) for n, p in zip(names, grid) if n not in known()]
+    while left:
+        if before:
+            before(len(left))
+        part, left = left[:parallelism], left[parallelism:]
+        maps = [{estimator.getParam(n): v for n, v in spark_params(kind, p).items()} for _, p in part]
+        found = CrossValidator(estimator=estimator, estimatorParamMaps=maps, evaluator=scorer, numFolds=folds, foldCol=fold,
+                               parallelism=parallelism).fit(df)
+        rows = [(n, float(m), float(s)) for (n, _), m, s in zip(part, found.avgMetrics, found.stdMetrics)]
+        spark.createDataFrame(rows, _POINTS).coalesce(1).write.mode("append").parquet(f"{path}/points")
+    scores = known()
+    order = sorted(range(len(grid)), key=lambda i: -scores[names[i]].mean)
+    table = spark.createDataFrame([(rank + 1, names[i], scores[names[i]].mean, scores[names[i]].std) for rank, i in enumerate(order)],
+                                  "rank_test_score int, params string, mean_test_score double, std_test_score double")
+    best = grid[order[0]]
+    return make_classifier(kind, best).fit(df), best, table
+
+
 def _accuracy(scored: DataFrame) -> float:
     return confusion(scored, "label", decide(F.col("prob"), 0.5)).first().accuracy
 
@@ -201,20 +244,64 @@ def progressive(df: DataFrame, kind: str, n_chunks: int, params: dict | None = N
     return reduce(DataFrame.unionByName, rows)
 
 
-def backtest(splits: dict[str, DataFrame], kind: str, features: list[str], params: dict | None = None,
-             threshold: float = SCORE_THRESHOLD) -> DataFrame:
-    """Train and score over many prepared splits (``is_train``) and gather their history rows."""
+@dataclass(frozen=True)
+class Split:
+    """One run of a backtest: the rows to train on, the rows to test on, and what is done to the training features."""
+    tag: str
+    train: Column
+    test: Column
+    features: Column | None = None
+
+
+def noisy_vector(features: list[str], columns: list[str], key: str, level: float, share: float, seed: int) -> Column:
+    """The feature vector with factors N(1, level) on some columns, for a ``share`` of the rows by hash of the key."""
+    picked = uniform(F.col(key), seed, "noise") < share
+    factor = F.lit(1.0) + F.lit(float(level)) * normal(F.col(key), seed)
+    values = vector_to_array("features")
+    return array_to_vector(F.array(*(
+        F.when(picked, F.get(values, F.lit(i)) * factor).otherwise(F.get(values, F.lit(i))) if c in columns else F.get(values, F.lit(i))
+        for i, c in enumerate(features))))
+
+
+def backtest(df: DataFrame, splits: list[Split], kind: str, features: list[str], path: str, params: dict | None = None,
+             threshold: float = SCORE_THRESHOLD, before=None) -> DataFrame:
+    """Train and score over many splits of one frame and give their history rows, train and test.
+
+    The frame is written once; a split is two conditions on its rows. Each split's scores, counted by label and probability, and its
+    strongest features are appended when it is done, so that a backtest that was stopped goes on with the splits that are left
+    (``before`` is told each tag that runs). Quality is worked out for all splits together.
+    """
     from sievepoint.sources.sinks import history_rows
-    history = []
-    for tag, rows in splits.items():
-        rows = materialize(rows)
-        model, scored = fit_score(rows.filter("is_train"), rows.filter("not is_train"), kind, params)
-        named = lambda df: evaluate(materialize(df.drop("features")), "label", "prob", threshold).select(
-            F.col("auc").alias("AUC"), F.col("accuracy").alias("Accuracy"),
-            F.col("precision").alias("Precision"), F.col("recall").alias("Recall"))
-        strongest = (importance(rows.sparkSession, model, features, 10)
-                     if hasattr(model, "featureImportances") or hasattr(model, "coefficients") else None)
-        seen = with_probability(model.transform(rows.filter("is_train")))
-        history.append(history_rows(named(seen), strongest, "train", tag=tag, model=kind))
-        history.append(history_rows(named(scored), None, "test", tag=tag, model=kind))
-    return reduce(DataFrame.unionByName, history)
+    spark, rows = df.sparkSession, materialize(df)
+    scores, ranks = f"{path}/scores", f"{path}/ranks"
+    spark.createDataFrame([], _SCORES).write.mode("append").parquet(scores)
+    spark.createDataFrame([], _RANKS).write.mode("append").parquet(ranks)
+    read = lambda where, schema: spark.read.schema(schema).parquet(where)
+    done = {r.tag for r in read(ranks, _RANKS).select("tag").distinct().collect()}
+    for split in splits:
+        if split.tag in done:
+            continue
+        if before:
+            before(split.tag)
+        model = make_classifier(kind, params).fit(rows.where(split.train) if split.features is None
+                                                  else rows.where(split.train).withColumn("features", split.features))
+        parts = [with_probability(model.transform(rows.where(part))).select(F.lit(scope).alias("scope"), "label", "prob")
+                 for scope, part in (("train", split.train), ("test", split.test))]
+        counted = parts[0].union(parts[1]).groupBy("scope", "label", "prob").agg(F.count(F.lit(1)).alias("n"))
+        run = uuid.uuid4().hex  # scores of a run that stopped before its mark are not read
+        counted.select(F.lit(split.tag).alias("tag"), F.lit(run).alias("run"), *counted.columns).write.mode("append").parquet(scores)
+        strongest = (importance(spark, model, features, 10).collect()
+                     if hasattr(model, "featureImportances") or hasattr(model, "coefficients") else [])
+        mark = [(split.tag, run, [(r["rank"], r.feature, float(r.score)) for r in strongest])]
+        spark.createDataFrame(mark, _RANKS).coalesce(1).write.mode("append").parquet(ranks)
+    order = {s.tag: i for i, s in enumerate(splits)}
+    marks = read(ranks, _RANKS).where(F.col("tag").isin(list(order)))
+    scored = read(scores, _SCORES).join(F.broadcast(marks.select("tag", "run")), ["tag", "run"])  # a mark for each split
+    quality = evaluate_groups(scored, ["tag", "scope"], "label", "prob", threshold, weight="n").join(marks, "tag")
+    quality = quality.select(
+        "tag", "scope", F.lit(kind).alias("model"), F.col("auc").alias("AUC"), F.col("accuracy").alias("Accuracy"),
+        F.col("precision").alias("Precision"), F.col("recall").alias("Recall"),
+        *(c for i in range(10) for c in (
+            F.when(F.col("scope") == "train", F.get("strongest", F.lit(i))["feature"]).alias(f"feature{i}"),
+            F.when(F.col("scope") == "train", F.get("strongest", F.lit(i))["score"]).alias(f"feature{i}_score"))))
+    return history_rows(quality, None, scope=None)

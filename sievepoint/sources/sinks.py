@@ -34,7 +34,7 @@ def write_result_dump(scored: DataFrame, features: list[str], path: str, y: str
                             F.col(p).alias("y_predicted")), path)
 
 
-def history_rows(results: DataFrame, importance: DataFrame | None = None, scope: str = "train",
+def history_rows(results: DataFrame, importance: DataFrame | None = None, scope: str | None = "train",
                  **facts) -> DataFrame:
     """Run results in history order; training runs carry their ten strongest features.
 
@@ -42,7 +42,8 @@ def history_rows(results: DataFrame, importance: DataFrame | None = None, scope:
     """
     for name, value in facts.items():
         results = results.withColumn(name, F.lit(value))
-    results = results.withColumn("scope", F.lit(scope))
+    if scope is not None:  # else the results have their own
+        results = results.withColumn("scope", F.lit(scope))
     if importance is not None and scope == "train":
         for r in importance.filter("rank < 10").collect():
             results = (results.withColumn(f"feature{r['rank']}", F.lit(r.feature))
