@@ -36,15 +36,24 @@ SCORED_AT_ONCE = 50_000
 
 
 
-def _class_of(*kinds: str) -> str:
-    """The characters of some Unicode categories as ranges of a pattern."""
-    member = [unicodedata.category(chr(i))[0] in kinds for i in range(sys.maxunicode + 1)]
+def _class_of(last: int, *kinds: str) -> str:
+    """The characters of some Unicode categories, up to ``last``, as ranges of a pattern."""
+    member = [unicodedata.category(chr(i))[0] in kinds for i in range(last + 1)]
     edges = np.flatnonzero(np.diff(np.array([False, *member, False]).astype(np.int8)))
     return "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(edges[::2], edges[1::2]))
 
 
-# A letter and the letters and marks after it, in the fit and in the labelling.
-WORD = re.compile(f"[{_class_of('L')}][{_class_of('L', 'M')}]*")
+# A letter and the letters and marks after it, in the fit and in the labelling. Beyond the basic plane a pattern tries range after
+# range on every character that is no letter, so only texts that reach there use the whole one.
+BASIC = 0xFFFF
+BASIC_WORD, WORD = (re.compile(f"[{_class_of(last, 'L')}][{_class_of(last, 'L', 'M')}]*") for last in (BASIC, sys.maxunicode))
+BEYOND_BASIC = re.compile("[\U00010000-\U0010ffff]")
+
+
+def word_pattern(text: str) -> re.Pattern:
+    return WORD if BEYOND_BASIC.search(text) else BASIC_WORD
+
+
 WORD_IN_FIT = r"\p{L}[\p{L}\p{M}]*"
 RESULT = "lang_pred string, score double, spans array<struct<start:int,end:int,lang:string>>"
 
@@ -232,7 +241,7 @@ def best_paths(scores: np.ndarray, sizes: list[int], penalty: float) -> np.ndarr
 
 def _label_texts(texts: list[str], words: _Words, penalty: float) -> list[tuple]:
     """(language, score, spans) of each text; the spans tile it."""
-    ids = [np.fromiter(map(words.__getitem__, WORD.findall(t)), np.int32) for t in texts]
+    ids = [np.fromiter(map(words.__getitem__, word_pattern(t).findall(t)), np.int32) for t in texts]
     words.settle()
     langs, out = words.model.langs, []
     sizes = [len(x) for x in ids]
@@ -255,7 +264,7 @@ def _label_texts(texts: list[str], words: _Words, penalty: float) -> list[tuple]
         turns = np.flatnonzero(np.diff(mine)) + 1
         starts = [0]
         if len(turns):
-            places = [m.start() for m in WORD.finditer(text)]
+            places = [m.start() for m in word_pattern(text).finditer(text)]
             starts += [places[i] for i in turns]
         ends = starts[1:] + [len(text)]
         kinds = [langs[mine[i]] for i in [0, *turns]]
