@@ -22,7 +22,7 @@ from sievepoint.plans import scoring as P, state as S
 from sievepoint.plans.batch import BatchOptions, Noise, run_batch
 from sievepoint.plans.features import FeatureOptions
 from sievepoint.runtime import materialize, spread, state_dir
-from sievepoint.streaming.scoring import score_stream
+from sievepoint.streaming.scoring import json_lines, read_scored, score_stream
 
 OPTIONS = FeatureOptions(as_of=AS_OF)
 DECLARED_TEXT = {c for c, e in APPLICATION_COLUMNS.items() if "CASE" in e or "concat" in e}
@@ -479,7 +479,7 @@ def run_stream(spark, sf, bypass=False, files=2, refresh=False):
         fitted(spark, sf, f"{base}/state", 2, turned=True)
         events.withColumn("event_id", F.col("event_id") + _SHIFT).write.mode("append").parquet(f"{base}/in")
         drain()
-    return spark.read.parquet(f"{base}/out").drop("batch")
+    return read_scored(spark, f"{base}/out").drop("version")
 
 
 @query("stream_scored_applications", _BLENDED_SQL + """
@@ -495,6 +495,42 @@ def stream_refreshes_state(spark, sf):
     return run_stream(spark, sf, files=1, refresh=True).select("app_id", "pred_fraud")
 
 
+_KINDS = {c: {"app_id": "int", "fraud_score": "float", "fraud_status": "int", "college_count": "int", "hispanic": "str"}.get(
+    c, "bool" if c in ("confirmed_fraud", "integrity_fg_01") else "str") for c in APPLICATION_COLUMNS} | {
+    "tstmp_submit": "datetime", "tstmp_create": "datetime"}
+
+
+@query("running_json_stream", _BLENDED_SQL.replace("AS hit", f"AS hit, NOT {_MARKED} OR ({RULE_SQL}) AS turned") + f"""
+SELECT app_id, CAST(hit AS INT) AS pred_fraud, 1 AS version, NULL::VARCHAR AS rejected FROM s
+UNION ALL SELECT app_id + {_SHIFT}, CAST(turned AS INT), 2, NULL FROM s
+UNION ALL SELECT NULL, NULL, v, '{{"app_id": ' || CAST(app_id AS VARCHAR) FROM s, range(1, 3) t(v) WHERE app_id % 50 = 0""")
+def running_json_stream(spark, sf):
+    """JSON lines scored by one running query; a second version is published while it runs. Broken lines come out beside the rows."""
+    base = _folder(spark)
+    fitted(spark, sf, f"{base}/state")
+    times = [F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c) for c in ("tstmp_submit", "tstmp_create")]
+    rows = applications(spark, sf).select(*(c for c in APPLICATION_COLUMNS), *times)
+
+    def send(shift):
+        lines = rows.withColumn("app_id", F.col("app_id") + shift).select(F.to_json(F.struct("*")).alias("value"))
+        broken = rows.where("app_id % 50 = 0").select(F.concat(F.lit('{"app_id": '), F.col("app_id").cast("string")).alias("value"))
+        lines.union(broken).coalesce(4).write.mode("append").text(f"{base}/in")
+    send(0)
+    job = score_stream(json_lines(spark, f"{base}/in"), f"{base}/state", f"{base}/out", f"{base}/progress", END_TO_END,
+                       _lookups(spark, sf), DECLARED_TEXT, trigger={"processingTime": "1 second"}, schema=_KINDS)
+    try:
+        job.processAllAvailable()
+        fitted(spark, sf, f"{base}/state", 2, turned=True)
+        send(_SHIFT)
+        job.processAllAvailable()
+    finally:
+        job.stop()
+    scored = read_scored(spark, f"{base}/out").select(F.col("app_id").cast("long").alias("app_id"), "pred_fraud", "version", F.lit(None).cast("string").alias("rejected"))
+    rejects = read_scored(spark, f"{base}/out", "rejects").select(
+        F.lit(None).cast("long").alias("app_id"), F.lit(None).cast("int").alias("pred_fraud"), "version", F.col("value").alias("rejected"))
+    return scored.unionByName(rejects)
+
+
 @query("bypassed_stream", "SELECT app_id, 0.0::DOUBLE AS pred_fraud_prob, CAST(0 AS INT) AS pred_fraud FROM applications")
 def bypassed_stream(spark, sf):
     return run_stream(spark, sf, bypass=True)

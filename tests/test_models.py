@@ -65,7 +65,7 @@ def test_stream_equals_batch_and_newest_state_is_used(spark, tmp_path):
     state, lookups = S.ready(first, Q._lookups(spark, SF))
     batch = P.score(Q.marked(spark, SF), Q.END_TO_END, state, lookups, Q.DECLARED_TEXT)
     want = sorted(map(tuple, batch.collect()))
-    from sievepoint.streaming.scoring import FreshState, score_stream
+    from sievepoint.streaming.scoring import FreshState, read_scored, score_stream
     fresh = FreshState(path, lookups)
     held = fresh.get(spark)
     assert fresh.get(spark) is held
@@ -74,13 +74,29 @@ def test_stream_equals_batch_and_newest_state_is_used(spark, tmp_path):
     job = score_stream(Q._stream(spark, events), path, str(tmp_path / "out"), str(tmp_path / "progress"),
                        Q.END_TO_END, lookups, Q.DECLARED_TEXT, trigger={"availableNow": True})
     job.awaitTermination()
-    assert len(list((tmp_path / "out").glob("batch=*"))) == 3
-    got = spark.read.parquet(str(tmp_path / "out")).drop("batch")
+    assert len(list((tmp_path / "out" / "scored").glob("batch=*"))) == 3
+    got = read_scored(spark, str(tmp_path / "out")).drop("version")
     assert sorted(map(tuple, got.collect())) == want and len(want) == 1000
     S.publish(spark, path, 2, {k: first[k] for k in ("inputs", "ranks", "codes")}, first["features"], first["model"].stages[0])
     assert fresh.get(spark)[0]["version"] == 2 and fresh.get(spark)[1]["ip_ranges"] is held[1]["ip_ranges"]
 
 
+def test_a_replayed_batch_changes_nothing(spark, tmp_path):
+    """The query's own progress is lost, a newer version has come: batches with a mark stay as they are."""
+    from sievepoint.streaming.scoring import read_scored, score_stream
+    path, events, out = (str(tmp_path / x) for x in ("state", "in", "out"))
+    first = Q.fitted(spark, SF, path, 1)
+    spark.read.parquet(f"{SF}/events.parquet").coalesce(1).write.parquet(events)
+
+    def run(progress):
+        score_stream(Q._stream(spark, events), path, out, str(tmp_path / progress), Q.END_TO_END, Q._lookups(spark, SF), Q.DECLARED_TEXT,
+                     trigger={"availableNow": True}).awaitTermination()
+        return sorted(map(tuple, read_scored(spark, out).collect()))
+    want = run("a")
+    S.publish(spark, path, 2, {k: first[k] for k in ("inputs", "ranks", "codes")}, first["features"], first["model"].stages[0])
+    assert run("b") == want and len(want) == 1000 and {r[-1] for r in want} == {1}
+
+
 def test_scoring_with_ready_state(spark, tmp_path):
     """No job before the answer is asked for, and unknown columns or the size of a batch change nothing."""
     state, lookups = S.ready(Q.fitted(spark, SF, str(tmp_path / "state")), Q._lookups(spark, SF))
