@@ -1,5 +1,7 @@
 """Feature, rule and lookup queries over applications."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from sievepoint import constants as K
@@ -8,6 +10,7 @@ from sievepoint.catalog.registry import applications, area_codes, ip_ranges, que
 from sievepoint.functions import cleaning as C, identity as I, temporal as D
 from sievepoint.operators import lookup as L, ranges as N, rules as R
 from sievepoint.plans import features as P
+from sievepoint.runtime import state_dir
 
 _words = lambda words: "(" + ", ".join(f"'{w}'" for w in sorted(set(words))) + ")"
 _DOM = "nullif(split_part(lower(email), '@', 2), '')"
@@ -109,14 +112,19 @@ def postal_numbers(spark, sf):
     return rows.select("app_id", *(I.postal_number(F.col(c)).alias(c) for c in ("postalcode", "perm_postalcode")))
 
 
-_PII = ("birthdate", "firstname", "middlename", "lastname", "mainphone", "ssn")
+# Columns that the event table cannot stand for are missing at a pace of their own.
+_HELD = ("birthdate", "firstname", "middlename", "lastname", "mainphone", "ssn")
+_PACED = {c: f"CASE WHEN app_id % {i} = 0 THEN NULL ELSE 'x' END" for i, c in enumerate((c for c in K.PERSONAL_COLUMNS if c not in _HELD), 2)}
+_PII_VIEW = f"(SELECT app_id, {', '.join(_HELD)}, {', '.join(f'{e} AS {c}' for c, e in _PACED.items())} FROM applications)"
 
 
 @query("personal_missing_flags", f"""
-SELECT app_id, {", ".join(f"{c} IS NULL AS {c}_isna" for c in _PII)},
-       {" + ".join(f"CAST({c} IS NULL AS INT)" for c in _PII)} AS num_pii_na FROM applications""")
+SELECT app_id, {", ".join(f"{c} IS NULL AS {c}_isna" for c in K.PERSONAL_COLUMNS)},
+       {" + ".join(f"CAST({c} IS NULL AS INT)" for c in K.PERSONAL_COLUMNS)} AS num_pii_na FROM {_PII_VIEW}""")
 def personal_missing_flags(spark, sf):
-    return applications(spark, sf, "app_id", *_PII).select("app_id", *C.missing_flags(_PII))
+    """Flags of all 18 personal columns and their number."""
+    rows = applications(spark, sf, "app_id", *_HELD).selectExpr("*", *(f"{e} AS {c}" for c, e in _PACED.items()))
+    return rows.select("app_id", *C.missing_flags(K.PERSONAL_COLUMNS))
 
 
 _AGE = lambda end: f"CAST(floor(floor(date_diff('microsecond', b, {end}) / 86400e6) / 365) AS INT)"
@@ -242,6 +250,17 @@ def combined_rule_flag_with_periods(spark, sf):
     return R.rule_flag(_rule_rows(spark, sf), options).select("app_id", "y_rule")
 
 
+@query("rule_flag_from_list_files", f"SELECT app_id, CAST({_R1} OR {_R3} OR {_R4} OR {_R5} AS INT) AS y_rule FROM applications")
+def rule_flag_from_list_files(spark, sf):
+    """Rules whose lists are text files, with blank lines, repeats and other cases in them."""
+    rows, files = _rule_rows(spark, sf), {}
+    for name, words in (("period_list", K.PERIOD_DOMAIN_LIST), ("address_list", K.ADDRESS_DOMAIN_LIST), ("top_domain_list", K.TOP_DOMAIN_LIST)):
+        files[name] = f"{state_dir(spark)}/sievepoint/{uuid.uuid4().hex}"
+        lines = [*words, "", " ", words[0].upper(), f" {words[0]} "]
+        spark.createDataFrame([(w,) for w in lines], "value string").write.text(files[name])
+    return R.rule_flag(rows, R.options_from_files(spark, **files)).select("app_id", "y_rule")
+
+
 @query("label_overrides", f"""
 SELECT app_id, CASE WHEN {_SECONDS} < 90 THEN true ELSE confirmed_fraud END AS short_label,
        confirmed_fraud OR {_R1} OR {_R4} OR {_R5} AS rule_label FROM applications""")
@@ -278,10 +297,16 @@ SELECT app_id, secs AS app_duration, {_DOM} AS email_domain, {_postal("postalcod
        coalesce({_LAST} IN {_words(K.FEATURE_DOMAIN_LIST)}, false) AS blacklisted_domain,
        CAST(length(firstname) AS INT) AS firstname_length,
        CASE state WHEN 'Y' THEN 'true' ELSE state END AS state, string_split(ip, '.')[1] AS ip0,
-       CAST(year(TRY_CAST(hs_comp_date AS TIMESTAMP)) AS INT) AS hs_comp_date_y FROM a""")
+       CAST(year(TRY_CAST(hs_comp_date AS TIMESTAMP)) AS INT) AS hs_comp_date_y, state = 'CA' AS "in_CA",
+       split_part(mainphone, ' ', 1) AS area_code, CAST(hour(tstmp_submit) AS INT) AS tstmp_submit_hour,
+       CAST(isodow(tstmp_submit) - 1 AS INT) AS tstmp_submit_weekday, {_postal("perm_postalcode")},
+       CAST(length(lastname) AS INT) AS lastname_length,
+       {len(K.PERSONAL_COLUMNS) - len(_HELD)} + {" + ".join(f"CAST({c} IS NULL AS INT)" for c in _HELD if c != "birthdate")}
+         + CAST(birthdate IS NULL AS INT) AS num_pii_na FROM a""")
 def application_features(spark, sf):
     opts = P.FeatureOptions(as_of=AS_OF)
     out = P.add_features(applications(spark, sf), opts,
                          {"area_codes": area_codes(spark, sf), "ip_ranges": ip_ranges(spark, sf)})
     return out.select("app_id", "app_duration", "email_domain", "postalcode", "blacklisted_domain",
-                      "firstname_length", "state", "ip0", "hs_comp_date_y")
+                      "firstname_length", "state", "ip0", "hs_comp_date_y", "in_CA", "area_code", "tstmp_submit_hour",
+                      "tstmp_submit_weekday", "perm_postalcode", "lastname_length", "num_pii_na")

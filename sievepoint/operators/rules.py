@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sievepoint import constants as K
 from sievepoint.functions import identity as I
 from sievepoint.operators.lookup import in_list
+from sievepoint.sources.readers import read_word_list
 
 
 @dataclass(frozen=True)
@@ -23,6 +24,25 @@ class RuleOptions:
     anonymized_email: bool = False
 
 
+# Entries of a list file, at most: the lists are part of every plan.
+LISTED = 10_000
+
+
+def options_from_files(spark: SparkSession, base: RuleOptions = RuleOptions(), **files: str) -> RuleOptions:
+    """``base`` with lists read from files of one entry a line: ``period_list``, ``address_list``, ``top_domain_list``.
+
+    Entries are trimmed, lower-cased and taken once, blank lines left out. An empty file makes an empty list, whose rule never
+    fires. A list of more than ``LISTED`` entries is refused.
+    """
+    read = {}
+    for name, path in files.items():
+        words = [r.value for r in read_word_list(spark, path).orderBy("value").limit(LISTED + 1).collect()]
+        if len(words) > LISTED:
+            raise ValueError(f"{name}: more than {LISTED} entries")
+        read[name] = tuple(words)
+    return replace(base, **read)
+
+
 def time_limit_rule(seconds: Column, limit: float = K.RULE_MAX_SECONDS) -> Column:
     return F.coalesce(seconds <= limit, F.lit(False))
 
