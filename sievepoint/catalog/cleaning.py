@@ -6,11 +6,12 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from sievepoint import constants as K
+from sievepoint import constants as V
 from sievepoint.catalog.registry import applications, query, table
 from sievepoint.functions import cleaning as C
-from sievepoint.operators import trim as T
+from sievepoint.operators import sketches as K, trim as T
 from sievepoint.operators.fitted import categorical_columns, numeric_columns, value_counts
+from sievepoint.plans.stages import Stages
 from sievepoint.runtime import state_dir
 from sievepoint.sources import readers as S, sinks as W
 
@@ -185,7 +186,7 @@ SELECT app_id, coalesce(CAST(confirmed_fraud AS STRING), 'missing') AS y, coales
        coalesce(college_count, -100) AS college_count, coalesce(fraud_score, -100) AS fraud_score FROM applications""")
 def renamed_and_filled(spark, sf):
     rows = applications(spark, sf, "app_id", "confirmed_fraud", "campaign1", "college_count", "fraud_score")
-    return C.fill_missing(rows.withColumnRenamed("confirmed_fraud", "y"), K.FILL_TEXT, K.FILL_NUMBER)
+    return C.fill_missing(rows.withColumnRenamed("confirmed_fraud", "y"), V.FILL_TEXT, V.FILL_NUMBER)
 
 
 @query("filled_unknown", "SELECT app_id, coalesce(lastname, 'Unknown') AS lastname FROM applications")
@@ -223,6 +224,34 @@ def low_variety_columns(spark, sf):
     return T.keep_low_variety(table(spark, sf, "customer"), 20)
 
 
+_TEXTS = ("l_returnflag", "l_linestatus", "l_shipdate", "l_orderkey", "l_partkey", "l_comment")
+_AS_TEXT = {"l_shipdate": "CAST(CAST(l_shipdate AS DATE) AS STRING)", "l_orderkey": "CAST(l_orderkey AS STRING)", "l_partkey": "CAST(l_partkey AS STRING)",
+            "l_comment": "CASE WHEN l_linenumber = 1 THEN NULL ELSE concat('c', CAST(l_linenumber AS STRING)) END"}
+
+
+@query("low_variety_by_sketches", f"""
+WITH t AS (SELECT {", ".join(f"{_AS_TEXT.get(c, c)} AS {c}" for c in _TEXTS)} FROM lineitem),
+n AS ({" UNION ALL ".join(f"SELECT '{c}' AS feature, count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS n FROM t" for c in _TEXTS)})
+SELECT feature FROM n WHERE n < (SELECT n FROM n WHERE feature = 'l_partkey')""")
+def low_variety_by_sketches(spark, sf):
+    """Columns of line items with fewer values than there are parts, from saved sketches of two parts of the data."""
+    rows = table(spark, sf, "lineitem").selectExpr(*(f"{_AS_TEXT.get(c, c)} AS {c}" for c in _TEXTS), "l_linenumber % 2 = 0 AS even")
+    path, texts = _folder(spark), list(_TEXTS)
+    for part in (True, False):
+        K.sketch_columns(rows.where(F.col("even") == part), texts, str(part)).write.mode("append").parquet(path)
+    bound = rows.agg(F.count_distinct("l_partkey")).first()[0]
+    few = K.low_variety(spark.read.parquet(path), bound, lambda near: T.variety(rows, near))
+    return rows.select(F.explode(F.array(*map(F.lit, few))).alias("feature")).distinct()
+
+
+@query("stage_row_counts", "SELECT 'applications' AS name, count(*) AS n_rows FROM applications UNION ALL SELECT 'unscored', count(*) FILTER (fraud_score IS NULL) FROM applications")
+def stage_row_counts(spark, sf):
+    """Rows of a saved stage's tables, counted by the pass that wrote them."""
+    rows = applications(spark, sf, "app_id", "fraud_score")
+    saved = Stages(spark, _folder(spark)).run("extract", "", lambda: ({"applications": rows, "unscored": rows.where("fraud_score IS NULL")}, {}))
+    return spark.createDataFrame(list(saved.rows.items()), "name string, n_rows long")
+
+
 @query("value_frequencies", """
 SELECT 'lang' AS feature, lang AS value, count(*) AS n FROM documents GROUP BY 2
 UNION ALL SELECT 'source', source, count(*) FROM documents GROUP BY 2""")

@@ -8,16 +8,17 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.ml.pipeline import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-MARKS = "stage string, number long, version string, fingerprint string, tables array<string>, models array<string>"
+MARKS = "stage string, number long, version string, fingerprint string, tables map<string, long>, models array<string>"
 
 
 @dataclass(frozen=True)
 class Saved:
-    """A committed stage: its tables and models, read back from its version's folder."""
+    """A committed stage: its tables and models, read back from its version's folder, and how many rows each table has."""
     stage: str
     version: str
+    rows: dict[str, int] = field(default_factory=dict)
     tables: dict[str, DataFrame] = field(default_factory=dict)
     models: dict[str, object] = field(default_factory=dict)
 
@@ -41,7 +42,7 @@ class Stages:
 
     def _saved(self, mark) -> Saved:
         base = f"{self.path}/{mark.stage}/{mark.version}"
-        return Saved(mark.stage, mark.version, {t: self.spark.read.parquet(f"{base}/{t}") for t in mark.tables},
+        return Saved(mark.stage, mark.version, dict(mark.tables), {t: self.spark.read.parquet(f"{base}/{t}") for t in mark.tables},
                      {m: PipelineModel.load(f"{base}/{m}") for m in mark.models})
 
     def load(self, stage: str) -> Saved:
@@ -52,6 +53,13 @@ class Stages:
         self.log.append((stage, "saved"))
         return self._saved(mark)
 
+    @staticmethod
+    def _written(table: DataFrame, path: str) -> int:
+        """Write a table and give its rows, counted by the pass that writes them."""
+        seen = Observation()
+        table.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+        return seen.get["rows"]
+
     def run(self, stage: str, settings: str, make: Callable[[], tuple[dict[str, DataFrame], dict]], after: tuple[Saved, ...] = ()) -> Saved:
         """The output of ``make``, (tables, models), saved; or the saved one if nothing it depends on has changed."""
         depends = "\n".join([settings, *(f"{s.stage}/{s.version}" for s in after)])
@@ -65,11 +73,10 @@ class Stages:
         number, version = (mark.number + 1 if mark else 1), uuid.uuid4().hex
         tables, models = make()
         base = f"{self.path}/{stage}/{version}"
-        for name, table in tables.items():
-            table.write.parquet(f"{base}/{name}")
+        rows = {name: self._written(table, f"{base}/{name}") for name, table in tables.items()}
         for name, model in models.items():
             PipelineModel([model]).write().save(f"{base}/{name}")
-        done = self.spark.createDataFrame([(stage, number, version, fingerprint, list(tables), list(models))], MARKS)
+        done = self.spark.createDataFrame([(stage, number, version, fingerprint, rows, list(models))], MARKS)
         done.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
         self.log.append((stage, "ran"))
         return self._saved(done.first())

@@ -65,6 +65,13 @@ def test_a_stop_ahead_of_a_stage(job):
     assert calls == ["first"]
 
 
+def test_rows_are_counted_while_they_are_written(spark, tmp_path, rows):
+    store = Stages(spark, str(tmp_path / "job"))
+    saved = store.run("s", "", lambda: ({"some": spark.range(1234), "none": rows([], "a int"), "cut": spark.range(50).where("id < 0")}, {}))
+    assert saved.rows == {"some": 1234, "none": 0, "cut": 0}
+    assert Stages(spark, str(tmp_path / "job")).load("s").rows == saved.rows and saved.tables["some"].count() == 1234
+
+
 def test_missing_stage(spark, tmp_path):
     with pytest.raises(LookupError, match="never"):
         Stages(spark, str(tmp_path)).load("never")
