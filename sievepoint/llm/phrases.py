@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
@@ -18,6 +19,8 @@ BREAKS = ".,;:!?\n\x0b\x0c\r"  # a phrase does not reach over one of these
 BLANKS = " \t"
 # Bytes of text counted at a time. Chunks end where pieces do, so a text of any length takes bounded memory.
 CHUNK = 2 << 20
+# Texts handed to a counting task at a time. With the session's default of 10,000 the texts alone take a tenth of a small executor.
+TEXTS_AT_ONCE = "2000"
 # Bits of a phrase's hash by which it is counted before it is counted by its words, and of the sieve of frequent hashes:
 # 2^20 long integers at most, however many phrases there are.
 BUCKET_BITS, SIEVE_BITS = 40, 26
@@ -161,6 +164,17 @@ def _stripes(size: int, longest: int, sieve) -> callable:
     return run
 
 
+@contextmanager
+def _setting(spark, name: str, value: str):
+    """A session setting for the jobs that run inside."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def _sieve(spark, buckets: DataFrame | None):
     """One bit for the hash of every frequent phrase. A phrase that is not frequent may pass too, which changes no result."""
     bits = np.zeros(1 << (SIEVE_BITS - 6), np.uint64)
@@ -186,8 +200,10 @@ def stripes(docs: DataFrame, longest: int = 4, least: int = 30) -> DataFrame:
     levels, buckets = [], None
     for size in range(1, longest + 1):
         made = texts.mapInArrow(_stripes(size, longest, _sieve(spark, buckets)), STRIPES)
-        merged = materialize(made.select("lang", "prefix", F.inline("stripe")).groupBy("lang", "prefix", "next", "h")
-                             .agg(F.sum("n").alias("n")).where((F.col("n") >= least) | (F.col("prefix").isNotNull() & F.col("next").isNull())))
+        kept = (F.col("n") >= least) | (F.col("prefix").isNotNull() & F.col("next").isNull())
+        with _setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", TEXTS_AT_ONCE):
+            merged = materialize(made.select("lang", "prefix", F.inline("stripe")).groupBy("lang", "prefix", "next", "h")
+                                 .agg(F.sum("n").alias("n")).where(kept))
         buckets = merged.where("prefix IS NULL")
         levels.append(merged.where("prefix IS NOT NULL").select(F.lit(size).alias("size"), "lang", "prefix", "next", "n"))
     return reduce(DataFrame.unionByName, levels)
