@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sievepoint.operators.lookup import BROADCAST_ROWS, Sized, lookup_join, measured
 from sievepoint.operators.ordered import row_index
-from sievepoint.runtime import fits_broadcast, materialize
+from sievepoint.runtime import BROADCAST_BYTES, materialize, measured_size
 
 # Entries of a leaf, as long as the first keys of all leaves are few enough for one array.
 LEAF = 64
@@ -37,9 +37,9 @@ def _packed(entries: DataFrame, *group: str) -> DataFrame:
 def build_index(entries: DataFrame, max_rows: int = BROADCAST_ROWS) -> SortedIndex:
     """``entries``: (key, value), keys unique and without NULL."""
     entries = materialize(entries.select("key", "value"))
-    if fits_broadcast(entries, max_rows):
-        return SortedIndex(materialize(_packed(entries)), entries.count())
-    n = entries.count()
+    n, size = measured_size(entries)
+    if n <= max_rows and size <= BROADCAST_BYTES:
+        return SortedIndex(materialize(_packed(entries)), n)
     leaf = max(LEAF, math.ceil(n / BROADCAST_ROWS))
     numbered = row_index(entries, [F.col("key")]).withColumn("_leaf", F.expr(f"idx div {leaf}L"))
     leaves = materialize(_packed(numbered, "_leaf"))

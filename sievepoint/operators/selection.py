@@ -16,7 +16,7 @@ from sievepoint.operators.search import build_index, search
 from sievepoint.runtime import materialize
 
 # Pivots that a group gets in a round, about, and rows of a stretch that is listed.
-PIVOTS, LISTED = 256, 4096
+PIVOTS, LISTED = 256, 16_384
 
 
 def select_positions(keys: DataFrame, wanted: DataFrame, pivots: int = PIVOTS, listed: int = LISTED) -> DataFrame:
@@ -28,15 +28,17 @@ def select_positions(keys: DataFrame, wanted: DataFrame, pivots: int = PIVOTS, l
     """
     found, keys = [], keys.select("g", "o")
     while True:
-        sizes = materialize(keys.groupBy("g").agg(F.count(F.lit(1)).alias("n")))
-        asked = materialize(lookup_join(wanted, sizes, ["g"]).where("k >= 0 AND k < n"))
-        short = lookup_join(keys, asked.where(F.col("n") <= listed).select("g", F.lit(True).alias("is_short")).distinct(), ["g"])
-        lists = short.where("is_short").groupBy("g").agg(F.sort_array(F.collect_list("o")).alias("all"))
-        found.append(materialize(asked.where(F.col("n") <= listed).join(lists, "g").select(
-            "want", F.element_at("all", (F.col("k") + 1).cast("int")).alias("o"))))
+        sizes = keys.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+        asked = materialize(wanted.join(sizes, "g").where("k >= 0 AND k < n"))
+        more = asked.agg(F.count_if(F.col("n") <= listed).alias("short"), F.count_if(F.col("n") > listed).alias("long")).first()
+        if more.short:
+            groups = asked.where(F.col("n") <= listed).select("g", F.lit(True).alias("is_short")).distinct()
+            lists = lookup_join(keys, groups, ["g"]).where("is_short").groupBy("g").agg(F.sort_array(F.collect_list("o")).alias("all"))
+            found.append(materialize(asked.where(F.col("n") <= listed).join(lists, "g").select(
+                "want", F.element_at("all", (F.col("k") + 1).cast("int")).alias("o"))))
+        if not more.long:
+            return reduce(DataFrame.unionByName, found) if found else asked.join(keys, "g").select("want", "o")
         asked = asked.where(F.col("n") > listed)
-        if asked.isEmpty():
-            return reduce(DataFrame.unionByName, found)
         long = lookup_join(keys, asked.select("g", "n").distinct(), ["g"]).where("n IS NOT NULL")
         drawn = long.where(F.rand() < pivots / F.col("n")).select(F.struct("g", "o").alias("key")).distinct()
         index = build_index(drawn.withColumn("value", F.col("key")))
