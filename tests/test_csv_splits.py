@@ -66,6 +66,13 @@ def test_edges_of_files(spark, small_splits, tmp_path):
     assert values(S.read_typed_csv(spark, str(tmp_path / "[bc].csv"), KINDS, mixed_headers=True), "id", "note") == [(5, "x")]
 
 
+def test_headers_that_hold_line_breaks(spark, small_splits, tmp_path):
+    (tmp_path / "a.csv").write_text('"i\nd",note\n1,x\n')
+    (tmp_path / "b.csv").write_bytes(b'note,"i\nd"\r\ny,2\r\n')
+    got = S.read_typed_csv(spark, str(tmp_path), {"i\nd": "int", "note": "str"}, mixed_headers=True)
+    assert sorted((r["i\nd"], r.note) for r in got.collect()) == [(1, "x"), (2, "y")]
+
+
 def test_bare_quotes_need_whole_files(spark, tmp_path):
     (tmp_path / "a.csv").write_text('id,note\n1,5" pipe\n2,x\n')
     got = S.read_typed_csv(spark, str(tmp_path), KINDS, splittable=False)
