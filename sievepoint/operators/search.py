@@ -1,23 +1,29 @@
 """The entry with the greatest key at or under a number, found by halving a sorted array.
 
-A table within the broadcast bounds is one array. A larger one is cut into leaves of few entries: the first keys of the leaves are
-the array that is halved, and the leaf it gives is looked up and halved in turn. Numbers asked for are neither sorted nor
-made distinct, and no bucket can hold many entries.
+A short table is one array. A larger one is cut into leaves of few entries: the first keys of the leaves are the array that is
+halved, and the leaf it gives is looked up and halved in turn. Numbers asked for are neither sorted nor made distinct, and no
+bucket can hold many entries. The array is a constant of every step of the search, which the driver writes into each task's code
+once a step, so its length has a bound of its own, whatever the table's size; only leaves grow with the table.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sievepoint.operators.lookup import BROADCAST_ROWS, Sized, lookup_join, measured
 from sievepoint.operators.ordered import row_index
-from sievepoint.runtime import BROADCAST_BYTES, materialize, measured_size
+from sievepoint.runtime import materialize, measured_size
 
-# Entries of a leaf, as long as the first keys of all leaves are few enough for one array.
+# Bounds of the array that is halved: its entries and their bytes.
+TOP = 1 << 14
+TOP_BYTES = 4 * 1024 * 1024
+# Entries of a leaf, as long as the first keys of all leaves are few enough for the array.
 LEAF = 64
+# Entries in the leaves that are broadcast ahead of a shuffled lookup.
+HOT_ENTRIES = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -38,14 +44,15 @@ def build_index(entries: DataFrame, max_rows: int = BROADCAST_ROWS) -> SortedInd
     """``entries``: (key, value), keys unique and without NULL."""
     entries = materialize(entries.select("key", "value"))
     n, size = measured_size(entries)
-    if n <= max_rows and size <= BROADCAST_BYTES:
+    if n <= min(max_rows, TOP) and size <= TOP_BYTES:
         return SortedIndex(materialize(_packed(entries)), n)
-    leaf = max(LEAF, math.ceil(n / BROADCAST_ROWS))
+    leaf = max(LEAF, math.ceil(n / TOP), math.ceil(size / TOP_BYTES))
     numbered = row_index(entries, [F.col("key")]).withColumn("_leaf", F.expr(f"idx div {leaf}L"))
     leaves = materialize(_packed(numbered, "_leaf"))
-    # One key for each leaf: a million at most.
+    # One key for each leaf: as many as TOP at most.
     first = F.sort_array(F.collect_list(F.get("keys", F.lit(0)))).alias("keys")
-    return SortedIndex(materialize(leaves.agg(first)), math.ceil(n / leaf), measured(leaves, max_rows), leaf)
+    found = replace(measured(leaves, max_rows), hot_keys=max(1, HOT_ENTRIES // leaf))
+    return SortedIndex(materialize(leaves.agg(first)), math.ceil(n / leaf), found, leaf)
 
 
 def _halved(df: DataFrame, keys: Column, n: int, name: str) -> DataFrame:

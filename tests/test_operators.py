@@ -88,6 +88,20 @@ def test_search_in_sorted_index(spark, rows, n, max_rows):
     assert search(asked, F.col("x"), index, "found").where("found.v = 10").count() == got_rows(asked, lambda x: n > 1 and (3 <= x < 6 or (n == 2 and x >= 3)))
 
 
+def test_search_array_keeps_its_bound(spark):
+    """The array that goes with every task does not grow with the table, though the table may be broadcast."""
+    n = 40_000
+    entries = spark.range(n).select((F.col("id") * 3).alias("key"), F.col("id").alias("value"))
+    index = build_index(entries)
+    assert index.n_top <= 1 << 14 and index.leaves.hot_keys * index.leaf <= 1 << 16
+    asked = spark.range(-7, 3 * n + 7, 11).select(F.col("id").alias("x"))
+    assert search(asked, F.col("x"), index, "found").where(
+        "NOT (found <=> if(x < 0, NULL, least(x div 3, 39999)))").count() == 0
+    wide = spark.range(300).select("id", F.repeat(F.lit("k"), 100_000).alias("text"))
+    keyed = wide.select(F.format_string("%s%05d", "text", "id").alias("key"), F.col("id").alias("value"))
+    assert build_index(keyed).n_top <= 64
+
+
 def got_rows(asked, test):
     return sum(map(test, (r.x for r in asked.collect())))
 
