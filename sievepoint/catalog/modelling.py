@@ -94,7 +94,7 @@ def penalised_boosting(spark, sf):
     rows = planted(spark, sf)
     scored = rows.withColumn("y", F.col("label") == 1)
     for name, penalty in _PENALTIES.items():
-        model = C.make_classifier("penalised_trees", {"n_estimators": 6, "max_depth": 3, "learning_rate": 0.3, **penalty}).fit(rows)
+        model = C.fit(rows, "penalised_trees", {"n_estimators": 6, "max_depth": 3, "learning_rate": 0.3, **penalty})
         scored = model.transform(scored).withColumnRenamed("margin", f"m_{name}").drop("probability")
     prob = lambda name: F.round(1 / (1 + F.exp(-F.col(f"m_{name}"))), 9).alias(name)
     return scored.select("app_id", "y", prob("light"), prob("heavy"), (F.abs("m_heavy") < F.abs("m_light")).alias("shrunk"))
@@ -287,7 +287,7 @@ def random_parameter_search(spark, sf):
 WITH {_planted_sql()} SELECT app_id, CAST(y OR app_id % 10 = 0 AS DOUBLE) AS pred_fraud_prob, CAST(y OR app_id % 10 = 0 AS INT) AS pred_fraud FROM p""")
 def blended_predictions(spark, sf):
     rows = planted(spark, sf)
-    model = C.make_classifier("decision_tree").fit(rows)
+    model = C.fit(rows, "decision_tree")
     return C.predict(rows.withColumn("y_rule", (F.col("app_id") % 10 == 0).cast("int")), model)
 
 
@@ -296,7 +296,7 @@ SELECT CAST(r AS INT) AS rank, f AS feature, s AS score FROM (VALUES (0, 'step',
 WHERE (SELECT count(*) FROM events) > 0""")
 def feature_importances(spark, sf):
     """All features of a forest, strongest first; the label depends on one."""
-    model = C.make_classifier("random_forest", {"n_estimators": 10, **ALL_FEATURES}).fit(planted(spark, sf))
+    model = C.fit(planted(spark, sf), "random_forest", {"n_estimators": 10, **ALL_FEATURES})
     return C.importance(spark, model, FEATURES)
 
 
@@ -304,7 +304,7 @@ def feature_importances(spark, sf):
 SELECT CAST(0 AS INT) AS rank, 'step' AS feature WHERE (SELECT count(*) FROM events) > 0""")
 def coefficient_importances(spark, sf):
     """The strongest coefficient on standardised features."""
-    model = C.make_classifier("logistic", {"maxIter": 25}).fit(planted(spark, sf))
+    model = C.fit(planted(spark, sf), "logistic", {"maxIter": 25})
     return C.importance(spark, model, FEATURES, 1).select("rank", "feature")
 
 
@@ -420,7 +420,7 @@ def fitted(spark, sf, path, version=1, turned=False):
     assembled, state, features = P.prepare_training(
         known, END_TO_END, _lookups(spark, sf), DECLARED_TEXT)
     rows = materialize(assembled)
-    model = C.make_classifier("decision_tree", {"max_depth": 4, "maxBins": 64}).fit(rows)
+    model = C.fit(rows, "decision_tree", {"max_depth": 4, "maxBins": 64})
     S.publish(spark, path, version, state, features, model)
     return S.load(spark, path)
 

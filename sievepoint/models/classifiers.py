@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import warnings
 
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
@@ -24,6 +25,9 @@ KINDS = {
 PENALISED = {"reg_lambda": "regLambda", "reg_alpha": "regAlpha", "colsample_bytree": "colsampleByTree",
              "colsample_bylevel": "colsampleByLevel", "min_child_weight": "minChildWeight"}
 
+# Rows that one task of a fit keeps and reads at most.
+ROWS_A_PART = 250_000
+
 # Production and search settings of the boosted trees.
 PRODUCTION_PARAMS = {"max_depth": 5, "n_estimators": 600, "colsample_bytree": 0.5, "colsample_bylevel": 0.7}
 SEARCH_GRID = {
@@ -71,6 +75,24 @@ def make_classifier(kind: str, params: dict | None = None):
     return KINDS[kind](**{**fixed, **spark_params(kind, params or {})})
 
 
+def in_parts(rows: DataFrame, most: int = ROWS_A_PART) -> DataFrame:
+    """``rows``, dealt evenly to more partitions where one has more than ``most``.
+
+    A fit keeps its rows, binned, in the partitions they come in, and a task reads one whole; a scan of a short file has as
+    many partitions as there are cores, however many rows.
+    """
+    sizes = rows.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n"))
+    size = sizes.agg(F.sum("n").alias("n"), F.max("n").alias("largest")).first()
+    if (size.largest or 0) <= most:
+        return rows
+    return rows.repartition(max(math.ceil(size.n / most), rows.sparkSession.sparkContext.defaultParallelism))
+
+
+def fit(rows: DataFrame, kind: str, params: dict | None = None):
+    """A classifier fitted on ``rows``. Naive Bayes sums its rows as they are read and needs no parts."""
+    return make_classifier(kind, params).fit(rows if kind == "gaussian_nb" else in_parts(rows))
+
+
 def assemble(df: DataFrame, features: list[str], keep: tuple[str, ...], label: str | None = None,
              fill: float = FILL_NUMBER) -> DataFrame:
     """(keep..., features vector, label) in fixed feature order."""

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sievepoint.constants import SCORE_THRESHOLD
 from sievepoint.functions.hashing import normal, uniform
-from sievepoint.models.classifiers import effective, importance, make_classifier, spark_params, with_probability
+from sievepoint.models.classifiers import effective, fit, importance, in_parts, make_classifier, spark_params, with_probability
 from sievepoint.operators.metrics import confusion, evaluate, evaluate_groups, f_beta
 from sievepoint.operators.rules import decide
 from sievepoint.operators.splits import contiguous_folds, row_range_chunks, shuffle_marks, split_random
@@ -29,7 +29,7 @@ from sievepoint.runtime import materialize
 
 
 def fit_score(train: DataFrame, test: DataFrame, kind: str, params: dict | None = None):
-    model = make_classifier(kind, params).fit(train)
+    model = fit(train, kind, params)
     return model, with_probability(model.transform(test))
 
 
@@ -53,7 +53,7 @@ def train(df: DataFrame, kind: str, params: dict | None = None, fold: str | None
     else:
         model, scored = fit_score(df.filter(~F.col(is_test)), df.filter(F.col(is_test)), kind, params)
     if retrain or model is None:
-        model = make_classifier(kind, params).fit(df)
+        model = fit(df, kind, params)
     scored = materialize(scored.drop("features"))
     return model, scored, evaluate(scored, "label", "prob", threshold)
 
@@ -73,7 +73,7 @@ def train_kinds(df: DataFrame, kinds: dict[str, dict], fold: str | None = None,
         else:
             scored = fit_score(df.where(~F.col(is_test)), df.where(is_test), kind, params)[1]
             splits = {"holdout": materialize(scored.drop("features"))}
-        models[kind] = make_classifier(kind, params).fit(df)
+        models[kind] = fit(df, kind, params)
         rows += [evaluate(part, "label", "prob", threshold).withColumns({
             "kind": F.lit(kind), "split": F.lit(name), "params": F.lit(json.dumps(params, sort_keys=True))}) for name, part in splits.items()]
     return models, reduce(DataFrame.unionByName, rows)
@@ -109,7 +109,7 @@ def search(df: DataFrame, kind: str, space: dict[str, list], fold: str = "fold",
     maps = [{estimator.getParam(n): v for n, v in spark_params(kind, p).items()} for p in grid]
     scorer = MulticlassClassificationEvaluator(labelCol="label", metricName="recallByLabel", metricLabel=1.0)
     found = CrossValidator(estimator=estimator, estimatorParamMaps=maps, evaluator=scorer,
-                           numFolds=folds, foldCol=fold, parallelism=parallelism).fit(df)
+                           numFolds=folds, foldCol=fold, parallelism=parallelism).fit(in_parts(df))
     order = sorted(range(len(grid)), key=lambda i: -found.avgMetrics[i])
     rows = [(rank + 1, json.dumps(grid[i], sort_keys=True), float(found.avgMetrics[i]),
              float(found.stdMetrics[i])) for rank, i in enumerate(order)]
@@ -147,7 +147,7 @@ def recoverable_search(df: DataFrame, path: str, kind: str, space: dict[str, lis
         part, left = left[:parallelism], left[parallelism:]
         maps = [{estimator.getParam(n): v for n, v in spark_params(kind, p).items()} for _, p in part]
         found = CrossValidator(estimator=estimator, estimatorParamMaps=maps, evaluator=scorer, numFolds=folds, foldCol=fold,
-                               parallelism=parallelism).fit(df)
+                               parallelism=parallelism).fit(in_parts(df))
         rows = [(n, float(m), float(s)) for (n, _), m, s in zip(part, found.avgMetrics, found.stdMetrics)]
         spark.createDataFrame(rows, _POINTS).coalesce(1).write.mode("append").parquet(f"{path}/points")
     scores = known()
@@ -155,7 +155,7 @@ def recoverable_search(df: DataFrame, path: str, kind: str, space: dict[str, lis
     table = spark.createDataFrame([(rank + 1, names[i], scores[names[i]].mean, scores[names[i]].std) for rank, i in enumerate(order)],
                                   "rank_test_score int, params string, mean_test_score double, std_test_score double")
     best = grid[order[0]]
-    return make_classifier(kind, best).fit(df), best, table
+    return fit(df, kind, best), best, table
 
 
 def _accuracy(scored: DataFrame) -> float:
@@ -179,7 +179,7 @@ def learning_curve(df: DataFrame, kind: str, params: dict | None = None, key: st
         for r in range(repeats):
             held = F.col("is_test")[r]
             known = split.filter(~held & (uniform(F.col(key), r, "curve") < size))
-            model = make_classifier(kind, params).fit(known)
+            model = fit(known, kind, params)
             n = known.count()
             on_train.append(_accuracy(with_probability(model.transform(known))))
             on_test.append(_accuracy(with_probability(model.transform(split.filter(held)))))
@@ -283,8 +283,8 @@ def backtest(df: DataFrame, splits: list[Split], kind: str, features: list[str],
             continue
         if before:
             before(split.tag)
-        model = make_classifier(kind, params).fit(rows.where(split.train) if split.features is None
-                                                  else rows.where(split.train).withColumn("features", split.features))
+        known = rows.where(split.train)
+        model = fit(known if split.features is None else known.withColumn("features", split.features), kind, params)
         parts = [with_probability(model.transform(rows.where(part))).select(F.lit(scope).alias("scope"), "label", "prob")
                  for scope, part in (("train", split.train), ("test", split.test))]
         counted = parts[0].union(parts[1]).groupBy("scope", "label", "prob").agg(F.count(F.lit(1)).alias("n"))
