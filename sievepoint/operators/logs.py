@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from sievepoint.operators.lookup import lookup_join
@@ -17,6 +19,8 @@ METRIC_MARK, SPAN_MARK = "] INFO: run_metrics: ", "] INFO: Function "
 STAMP = "yyyy-MM-dd HH:mm:ss,SSS"
 PREFIXED = {"model_params": "", "train_performance": "train_", "test_performance": "test_"}
 LISTED = "feature_importances"
+# Lines in one range of the order, and so about as many in a task that sorts them.
+RANGE_LINES = 200_000
 
 
 _CUT = "\x01"
@@ -70,13 +74,21 @@ def metrics_json(metrics: DataFrame) -> DataFrame:
 
 
 def _span_events(lines: DataFrame) -> DataFrame:
-    """The span lines in ranges of the order (run, pos), parsed where they arrive: a shuffle of lines costs less than parsing twice."""
-    ranged = in_ranges(lines.filter(F.col("line").contains(SPAN_MARK)).select("run", "pos", "line"), [F.col("run"), F.col("pos")])
+    """The span lines in ranges of the order (run, pos), parsed where they arrive: a shuffle of lines costs less than parsing twice.
+
+    Lines are counted first. Where a shuffle's partitions would be too few, there are as many ranges as keep each short, and as many
+    partitions of runs by range.
+    """
+    kept = lines.filter(F.col("line").contains(SPAN_MARK)).select("run", "pos", "line")
+    parts = math.ceil(kept.count() / RANGE_LINES)
+    more = parts > int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = in_ranges(kept, [F.col("run"), F.col("pos")], parts if more else None)
     m = F.col("_m")
-    return (ranged.select("run", "pos", PART, POS, _groups(F.col("line"), SPAN_LINE, 4).alias("_m"))
+    events = (ranged.select("run", "pos", PART, POS, _groups(F.col("line"), SPAN_LINE, 4).alias("_m"))
             .select("run", "pos", PART, POS, F.get(m, F.lit(1)).alias("func"),
                     F.try_to_timestamp(F.get(m, F.lit(2)), F.lit(STAMP)).alias("ts"),
                     F.get(m, F.lit(3)).alias("state"), F.struct("run").alias("_g")))
+    return events.repartition(parts, PART, "_g") if more else events
 
 
 def spans(lines: DataFrame) -> DataFrame:

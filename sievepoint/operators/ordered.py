@@ -15,13 +15,14 @@ PART, POS = "_part", "_pos"
 _ROW_BITS = 33  # monotonically_increasing_id keeps the partition above these bits
 
 
-def in_ranges(df: DataFrame, order: list[Column]) -> DataFrame:
-    """``df`` plus its range number and its position in the range.
+def in_ranges(df: DataFrame, order: list[Column], parts: int | None = None) -> DataFrame:
+    """``df`` plus its range number and its position in the range; ``parts`` ranges, else as many as a shuffle has.
 
     ``order`` must be total, else equal keys make one range heavy. The result must be used once, or
     written: a second evaluation could draw other range bounds.
     """
-    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = df.repartitionByRange(parts, *order) if parts else df.repartitionByRange(*order)
+    ordered = ranged.sortWithinPartitions(*order)
     mark = F.monotonically_increasing_id()
     return (ordered.withColumn("_mark", mark)
             .withColumn(PART, F.shiftright("_mark", _ROW_BITS))

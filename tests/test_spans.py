@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from sievepoint.operators import logs
 from sievepoint.operators.logs import spans
 
 
@@ -56,3 +57,15 @@ def test_spans(spark, rows, ranges):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert sorted(got, key=str) == sorted(plain(events), key=str)
+
+
+def test_no_range_grows_with_the_lines(spark, monkeypatch):
+    """One run of many lines, and lines of many runs: ranges stay short, and the spans are those of few ranges."""
+    def lines(n):
+        state, stamp = "if(id % 2 = 0, 'Start', 'End')", "date_format(timestamp_millis(1700000000000 + id * 7), 'yyyy-MM-dd HH:mm:ss,SSS')"
+        return spark.range(n).selectExpr("if(id < 1500, 0, id div 20) AS run", "id AS pos", f"concat('[m.py: f(): ', {stamp}, '] INFO: Function ', {state}) AS line")
+    want = sorted(map(tuple, spans(lines(4000)).collect()), key=str)
+    monkeypatch.setattr(logs, "RANGE_LINES", 100, raising=False)
+    sizes = [r["count"] for r in logs._span_events(lines(4000)).groupBy("_part").count().collect()]
+    assert sum(sizes) == 4000 and max(sizes) <= 250
+    assert sorted(map(tuple, spans(lines(4000)).collect()), key=str) == want
