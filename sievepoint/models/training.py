@@ -172,17 +172,23 @@ _CURVE = "x double, n_train long, train_mean double, train_std double, test_mean
 def learning_curve(df: DataFrame, kind: str, params: dict | None = None, key: str = "app_id",
                    shares=(0.1, 0.325, 0.55, 0.775, 1.0), repeats: int = 5, share: float = 0.2) -> DataFrame:
     """Accuracy on train and held-out rows for growing training shares, over shuffle splits."""
-    split = materialize(shuffle_marks(df, key, repeats, share))
+    # The draws are written with the marks: a fit passes over its rows several times.
+    draws = F.array(*(uniform(F.col(key), r, "curve") for r in range(repeats)))
+    split = materialize(shuffle_marks(df, key, repeats, share).withColumn("_draws", draws))
     rows = []
     for size in shares:
         n, on_train, on_test = 0, [], []
         for r in range(repeats):
             held = F.col("is_test")[r]
-            known = split.filter(~held & (uniform(F.col(key), r, "curve") < size))
-            model = fit(known, kind, params)
-            n = known.count()
-            on_train.append(_accuracy(with_probability(model.transform(known))))
-            on_test.append(_accuracy(with_probability(model.transform(split.filter(held)))))
+            known = ~held & (F.col("_draws")[r] < size)
+            model = fit(split.filter(known), kind, params)
+            # Train and held-out rows in one pass.
+            scored = with_probability(model.transform(split.filter(known | held).withColumn("_held", held)))
+            right = F.avg((decide(F.col("prob"), 0.5) == F.col("label")).cast("double"))
+            found = {s["_held"]: s for s in scored.groupBy("_held").agg(F.count(F.lit(1)).alias("n"), right.alias("accuracy")).collect()}
+            n = found[False].n
+            on_train.append(found[False].accuracy)
+            on_test.append(found[True].accuracy)
         rows.append(_curve_row(size, n, on_train, on_test))
     return df.sparkSession.createDataFrame(rows, _CURVE)
 
