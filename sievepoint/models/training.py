@@ -9,11 +9,14 @@ from __future__ import annotations
 import json
 import random
 import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 from itertools import product
+from multiprocessing.pool import ThreadPool
 from statistics import fmean, pstdev
 
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator
@@ -118,6 +121,82 @@ def search(df: DataFrame, kind: str, space: dict[str, list], fold: str = "fold",
     return found.bestModel, grid[order[0]], table
 
 
+@contextmanager
+def _held(df: DataFrame, *columns: str):
+    """The columns that many fits read, dealt out and kept once for all of them; what does not fit into memory stays on disk."""
+    rows = in_parts(df.select(*columns)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield rows
+    finally:
+        rows.unpersist()
+
+
+def _leaves(node, depths: list[int], level: int = 0, above: tuple = ()) -> list[tuple]:
+    """For each leaf from left to right, the class that the tree cut at each depth gives its rows."""
+    above = (*above, *(node.prediction() for d in depths if d == level))
+    if "InternalNode" not in node.getClass().getName():
+        return [(*above, *(node.prediction() for d in depths if d > level))]
+    return _leaves(node.leftChild(), depths, level + 1, above) + _leaves(node.rightChild(), depths, level + 1, above)
+
+
+def _by_depth(grid: list[dict], kind: str) -> list[tuple[dict, dict[int, list[int]]]]:
+    """Points that differ in their depth alone share a fit: (other parameters of the estimator, positions in the grid by depth)."""
+    groups: dict[str, tuple[dict, dict[int, list[int]]]] = {}
+    default = make_classifier(kind).getMaxDepth()
+    for i, point in enumerate(grid):
+        others = spark_params(kind, point)
+        depth = others.pop("maxDepth", default)
+        groups.setdefault(json.dumps(others, sort_keys=True), (others, {}))[1].setdefault(depth, []).append(i)
+    return list(groups.values())
+
+
+def _tree_scores(rows: DataFrame, kind: str, part: list[tuple[dict, dict[int, list[int]]]], fold: str, folds: int, scorer,
+                 parallelism: int) -> dict[int, list[float]]:
+    """Recall of each point of ``part`` on each fold.
+
+    A single tree grows level by level from all its rows and features, so that the tree of a lesser depth is the deepest one
+    cut there. The deepest is fitted, and one pass over a fold scores all trees at all depths.
+    """
+    def fitted(job):
+        (others, depths), i = job
+        return make_classifier(kind, {**others, "maxDepth": max(depths)}).fit(rows.where(F.col(fold) != i))
+    jobs = [(group, i) for i in range(folds) for group in part]
+    with ThreadPool(min(parallelism, len(jobs))) as pool:
+        models = pool.map(inheritable_thread_target(rows.sparkSession)(fitted), jobs, chunksize=1)
+    scores: dict[int, list[float]] = {at: [] for _, depths in part for places in depths.values() for at in places}
+    for i in range(folds):
+        scored, sums = rows.where(F.col(fold) == i), []
+        mine = [(group, m) for (group, k), m in zip(jobs, models) if k == i]
+        for n, ((_, depths), model) in enumerate(mine):
+            deep = sorted(depths)
+            given = _leaves(model._java_obj.rootNode(), deep)
+            scored = model.setLeafCol(f"_leaf{n}").transform(scored).drop("rawPrediction", "probability", "prediction")
+            for k, d in enumerate(deep):
+                answer = F.get(F.lit([leaf[k] for leaf in given]), F.col(f"_leaf{n}").cast("int"))
+                scored = scored.withColumn(f"_p{n}_{d}", answer)
+                sums.append(F.count(F.when((F.col("label") == 1.0) & (F.col(f"_p{n}_{d}") == 1.0), 1)).alias(f"_p{n}_{d}"))
+        found = scored.agg(F.count(F.when(F.col("label") == 1.0, 1)).alias("_all"), *sums).first()
+        for n, ((_, depths), _) in enumerate(mine):
+            for d, places in depths.items():
+                # Without any row of the class the evaluator says what its recall is.
+                value = (found[f"_p{n}_{d}"] / found["_all"] if found["_all"]
+                         else scorer.evaluate(scored.select("label", F.col(f"_p{n}_{d}").alias("prediction"))))
+                for at in places:
+                    scores[at].append(value)
+    return scores
+
+
+def _check_folds(rows: DataFrame, fold: str, folds: int) -> None:
+    known = F.col(fold).between(0, folds - 1)
+    found = rows.agg(F.count(F.when(~F.coalesce(known, F.lit(False)), 1)).alias("bad"),
+                     *(F.count(F.when(F.col(fold) == i, 1)).alias(f"_{i}") for i in range(folds))).first()
+    if found.bad:
+        raise ValueError(f"{fold} must be in 0 to {folds - 1}")
+    for i in range(folds):
+        if found[f"_{i}"] in (0, sum(found[1:])):
+            raise ValueError(f"the rows to fit or to score at fold {i} are none")
+
+
 _SCORES = "tag string, run string, scope string, label double, prob double, n long"
 _RANKS = "tag string, run string, strongest array<struct<rank: int, feature: string, score: double>>"
 _POINTS = "point string, mean double, std double"
@@ -127,9 +206,10 @@ def recoverable_search(df: DataFrame, path: str, kind: str, space: dict[str, lis
                        n_iter: int | None = None, seed: int = 42, parallelism: int = 8, before=None):
     """``search`` whose points are rows of a table under ``path``: (best model refitted on all rows, best parameters, results table).
 
-    Points are fitted some at a time over the one written frame, and their scores are appended when they are
-    done. A search that was stopped goes on with the points that have no score yet; with the same seed it gives the
-    ranks of a search that was never stopped. ``before`` is told how many points are left ahead of each part.
+    Points are fitted some at a time over the one frame that is kept, and their scores are appended when they are
+    done. Single trees that differ in their depth alone are fitted once. A search that was stopped goes on with the points that
+    have no score yet; with the same seed it gives the ranks of a search that was never stopped. ``before`` is told how many
+    points are left ahead of each part.
     """
     spark = df.sparkSession
     grid = parameter_grid(effective(kind, space))
@@ -140,16 +220,28 @@ def recoverable_search(df: DataFrame, path: str, kind: str, space: dict[str, lis
     scorer = MulticlassClassificationEvaluator(labelCol="label", metricName="recallByLabel", metricLabel=1.0)
     estimator = make_classifier(kind)
     known = lambda: {r.point: r for r in spark.read.schema(_POINTS).parquet(f"{path}/points").collect()}  # noqa: E731  one for each point
-    left = [(n, p) for n, p in zip(names, grid) if n not in known()]
-    while left:
-        if before:
-            before(len(left))
-        part, left = left[:parallelism], left[parallelism:]
-        maps = [{estimator.getParam(n): v for n, v in spark_params(kind, p).items()} for _, p in part]
-        found = CrossValidator(estimator=estimator, estimatorParamMaps=maps, evaluator=scorer, numFolds=folds, foldCol=fold,
-                               parallelism=parallelism).fit(in_parts(df))
-        rows = [(n, float(m), float(s)) for (n, _), m, s in zip(part, found.avgMetrics, found.stdMetrics)]
-        spark.createDataFrame(rows, _POINTS).coalesce(1).write.mode("append").parquet(f"{path}/points")
+    done = known()
+    left = [i for i, n in enumerate(names) if n not in done]
+    trees = kind == "decision_tree"
+    with _held(df, fold, "features", "label") as rows:
+        if left and trees:
+            _check_folds(rows, fold, folds)
+        while left:
+            if before:
+                before(len(left))
+            if trees:
+                # A group is one fit for each fold.
+                part = _by_depth([grid[i] for i in left], kind)[:max(1, parallelism // folds)]
+                found = {left[at]: (fmean(s), pstdev(s)) for at, s in _tree_scores(rows, kind, part, fold, folds, scorer, parallelism).items()}
+            else:
+                part = left[:parallelism]
+                maps = [{estimator.getParam(n): v for n, v in spark_params(kind, grid[i]).items()} for i in part]
+                cv = CrossValidator(estimator=estimator, estimatorParamMaps=maps, evaluator=scorer, numFolds=folds, foldCol=fold,
+                                    parallelism=parallelism).fit(rows)
+                found = {i: (float(m), float(s)) for i, m, s in zip(part, cv.avgMetrics, cv.stdMetrics)}
+            written = [(names[i], *found[i]) for i in sorted(found)]
+            spark.createDataFrame(written, _POINTS).coalesce(1).write.mode("append").parquet(f"{path}/points")
+            left = [i for i in left if i not in found]
     scores = known()
     order = sorted(range(len(grid)), key=lambda i: -scores[names[i]].mean)
     table = spark.createDataFrame([(rank + 1, names[i], scores[names[i]].mean, scores[names[i]].std) for rank, i in enumerate(order)],
