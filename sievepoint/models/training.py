@@ -365,33 +365,37 @@ def backtest(df: DataFrame, splits: list[Split], kind: str, features: list[str],
              threshold: float = SCORE_THRESHOLD, before=None) -> DataFrame:
     """Train and score over many splits of one frame and give their history rows, train and test.
 
-    The frame is written once; a split is two conditions on its rows. Each split's scores, counted by label and probability, and its
+    The frame is written once and kept; a split is two conditions on its rows. Each split's scores, counted by label and probability, and its
     strongest features are appended when it is done, so that a backtest that was stopped goes on with the splits that are left
     (``before`` is told each tag that runs). Quality is worked out for all splits together.
     """
     from sievepoint.sources.sinks import history_rows
-    spark, rows = df.sparkSession, materialize(df)
+    spark = df.sparkSession
     scores, ranks = f"{path}/scores", f"{path}/ranks"
     spark.createDataFrame([], _SCORES).write.mode("append").parquet(scores)
     spark.createDataFrame([], _RANKS).write.mode("append").parquet(ranks)
     read = lambda where, schema: spark.read.schema(schema).parquet(where)
     done = {r.tag for r in read(ranks, _RANKS).select("tag").distinct().collect()}
-    for split in splits:
-        if split.tag in done:
-            continue
-        if before:
-            before(split.tag)
-        known = rows.where(split.train)
-        model = fit(known if split.features is None else known.withColumn("features", split.features), kind, params)
-        parts = [with_probability(model.transform(rows.where(part))).select(F.lit(scope).alias("scope"), "label", "prob")
-                 for scope, part in (("train", split.train), ("test", split.test))]
-        counted = parts[0].union(parts[1]).groupBy("scope", "label", "prob").agg(F.count(F.lit(1)).alias("n"))
-        run = uuid.uuid4().hex  # scores of a run that stopped before its mark are not read
-        counted.select(F.lit(split.tag).alias("tag"), F.lit(run).alias("run"), *counted.columns).write.mode("append").parquet(scores)
-        strongest = (importance(spark, model, features, 10).collect()
-                     if hasattr(model, "featureImportances") or hasattr(model, "coefficients") else [])
-        mark = [(split.tag, run, [(r["rank"], r.feature, float(r.score)) for r in strongest])]
-        spark.createDataFrame(mark, _RANKS).coalesce(1).write.mode("append").parquet(ranks)
+    with _held(materialize(df), *df.columns) as rows:
+        for split in splits:
+            if split.tag in done:
+                continue
+            if before:
+                before(split.tag)
+            known = rows.where(split.train)
+            model = fit(known if split.features is None else known.withColumn("features", split.features), kind, params)
+            # Train and test rows in one pass; a row may be both.
+            parts = F.array(*(F.when(part, F.lit(scope)) for scope, part in (("train", split.train), ("test", split.test))))
+            scored = with_probability(model.transform(rows.where(split.train | split.test).withColumn("_parts", parts)))
+            counted = scored.groupBy("_parts", "label", "prob").agg(F.count(F.lit(1)).alias("n"))
+            counted = (counted.select(F.explode("_parts").alias("scope"), "label", "prob", "n").where("scope IS NOT NULL")
+                       .groupBy("scope", "label", "prob").agg(F.sum("n").alias("n")))
+            run = uuid.uuid4().hex  # scores of a run that stopped before its mark are not read
+            counted.select(F.lit(split.tag).alias("tag"), F.lit(run).alias("run"), *counted.columns).write.mode("append").parquet(scores)
+            strongest = (importance(spark, model, features, 10).collect()
+                         if hasattr(model, "featureImportances") or hasattr(model, "coefficients") else [])
+            mark = [(split.tag, run, [(r["rank"], r.feature, float(r.score)) for r in strongest])]
+            spark.createDataFrame(mark, _RANKS).coalesce(1).write.mode("append").parquet(ranks)
     order = {s.tag: i for i, s in enumerate(splits)}
     marks = read(ranks, _RANKS).where(F.col("tag").isin(list(order)))
     scored = read(scores, _SCORES).join(F.broadcast(marks.select("tag", "run")), ["tag", "run"])  # a mark for each split
