@@ -18,6 +18,7 @@ from sievepoint.operators.splits import noise_features, noise_label, split_data
 from sievepoint.operators.trim import feature_names
 from sievepoint.plans.features import FeatureOptions, transform
 from sievepoint.plans.stages import Saved, Stages
+from sievepoint.plans.state import ready_lookups
 
 STAGES = ("extract", "report", "transform", "split", "prepare", "train", "test")
 
@@ -88,10 +89,12 @@ def run_batch(spark: SparkSession, path: str, source: Callable[[], DataFrame], o
 
     def transformed():
         # Scores and outcomes of the past are the report's; they are no features.
-        encoded, state = transform(raw["train"].drop(*rates), opts.features, lookups, None, set(opts.declared_text), "train")
+        # Lookups are made ready once, for the rows of both sources.
+        known = ready_lookups(lookups) if opts.features.personal else lookups
+        encoded, state = transform(raw["train"].drop(*rates), opts.features, known, None, set(opts.declared_text), "train")
         tables = {"train": encoded, "features": _listed(spark, _features(encoded, opts)), **{f"state_{n}": t for n, t in state.items()}}
         if "test" in raw:
-            tables["test"] = transform(raw["test"].drop(*rates), opts.features, lookups, state, set(opts.declared_text), "test")[0]
+            tables["test"] = transform(raw["test"].drop(*rates), opts.features, known, state, set(opts.declared_text), "test")[0]
         return tables, {}
     step("transform", (opts.features, sorted(opts.declared_text), sorted(lookups or {})), transformed, "extract")
     made = done["transform"].tables

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.ml.pipeline import PipelineModel
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F, types as T
 
-MARKS = "stage string, number long, version string, fingerprint string, tables map<string, long>, models array<string>"
+MARKS = ("stage string, number long, version string, fingerprint string, tables map<string, long>, models array<string>, "
+         "schemas map<string, string>")
 
 
 @dataclass(frozen=True)
@@ -29,6 +31,9 @@ class Stages:
     A stage writes into a folder of its own that nothing reads before its commit mark, a row of the ``commits`` table, is
     written. What a stopped run leaves has no mark and is never seen. A stage runs again if its settings, or the version of a
     stage it reads, differ from those of its newest mark; else its saved version is used. ``log`` has (stage, "ran" or "saved").
+
+    A mark has the schemas of its tables: finding them in the files would be a job for each table, whose broadcasts take
+    4 MB of the driver each, however short the table.
     """
 
     def __init__(self, spark: SparkSession, path: str, before: Callable[[str], None] | None = None):
@@ -42,9 +47,14 @@ class Stages:
 
     def _saved(self, mark) -> Saved:
         base = f"{self.path}/{mark.stage}/{mark.version}"
-        return Saved(mark.stage, mark.version, dict(mark.tables), {t: self.spark.read.parquet(f"{base}/{t}") for t in mark.tables},
+        return Saved(mark.stage, mark.version, dict(mark.tables), {t: self._table(f"{base}/{t}", (mark.schemas or {}).get(t)) for t in mark.tables},
                      {m: PipelineModel.load(f"{base}/{m}") for m in mark.models})
 
+    def _table(self, path: str, schema: str | None) -> DataFrame:
+        """Marks of before schemas were kept have none."""
+        reader = self.spark.read
+        return (reader.schema(T.StructType.fromJson(json.loads(schema))) if schema else reader).parquet(path)
+
     def load(self, stage: str) -> Saved:
         """The newest committed version, whatever its settings."""
         mark = self._newest(stage)
@@ -76,7 +86,8 @@ class Stages:
         rows = {name: self._written(table, f"{base}/{name}") for name, table in tables.items()}
         for name, model in models.items():
             PipelineModel([model]).write().save(f"{base}/{name}")
-        done = self.spark.createDataFrame([(stage, number, version, fingerprint, rows, list(models))], MARKS)
-        done.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
+        schemas = {name: table.schema.json() for name, table in tables.items()}
+        done = Row(stage=stage, number=number, version=version, fingerprint=fingerprint, tables=rows, models=list(models), schemas=schemas)
+        self.spark.createDataFrame([done], MARKS).coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
         self.log.append((stage, "ran"))
-        return self._saved(done.first())
+        return self._saved(done)
