@@ -3,8 +3,11 @@
 from contextlib import contextmanager
 
 import pytest
+from pyspark.ml.linalg import Vectors
 
 from sievepoint.catalog import modelling as Q
+from sievepoint.models import classifiers as C
+from sievepoint.operators import fitted as T
 from sievepoint.plans import batch as B, features as P, state as S
 from sievepoint.plans.stages import Stages
 
@@ -73,3 +76,27 @@ def test_the_batch_job_sorts_ranges_once(spark, tmp_path, monkeypatch):
         B.run_batch(spark, str(tmp_path), lambda: known.where("app_id % 4 != 3"), Q._BATCH, Q._lookups(spark, SF),
                     lambda: known.where("app_id % 4 = 3"), before=stop)
     assert len(calls) == 1 and {"train", "test"} <= set(Stages(spark, str(tmp_path)).load("transform").tables)
+
+
+def test_a_fit_and_its_stream_sort_ranges_once(spark, monkeypatch):
+    calls = _prepared(monkeypatch)
+    assert Q.run_stream(spark, SF).count() == Q.marked(spark, SF).count()
+    assert len(calls) == 1
+
+
+def test_a_published_state_lists_its_schemas(spark, tmp_path, rows):
+    tables = {"ranks": rows([("a", "x", 0, 3), ("a", None, 1, None), ("b", None, 0, None)], "feature string, value string, rank long, n long")}
+    model = C.fit(spark.createDataFrame([(Vectors.dense([float(i)]), float(i % 2)) for i in range(20)], ["features", "label"]), "decision_tree")
+    S.publish(spark, str(tmp_path), 1, tables, ["f"], model)
+    listed = spark.read.parquet(f"{tmp_path}/version=1/tables").collect()
+    assert [(r.name, r.schema) for r in listed] == [("ranks", tables["ranks"].schema.json())]
+    back = S.load(spark, str(tmp_path))
+    assert back["features"] == ["f"] and sorted(map(tuple, back["ranks"].collect()), key=str) == sorted(map(tuple, tables["ranks"].collect()), key=str)
+    with _jobs(spark, "prepare") as jobs:
+        ready = T.prepare(tables["ranks"], "rank")
+    assert ready.lengths == {"a": 1, "b": 0} and ready.features == {"a", "b"}
+    # Sizes and lengths by one pass, small columns by another.
+    with _jobs(spark, "two") as two:
+        tables["ranks"].groupBy("feature").count().collect()
+        tables["ranks"].collect()
+    assert len(jobs) <= len(two)
