@@ -2,12 +2,15 @@
 
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
+from sievepoint.catalog import modelling as Q
 from sievepoint.plans import features as P
 from sievepoint.runtime import evened
 from sievepoint.streaming.scoring import read_scored, score_stream
 
+SF = "/root/testdata/sf0.001"
 OPTIONS = P.FeatureOptions(as_of=date(2024, 2, 8))
 
 
@@ -32,3 +35,18 @@ def test_a_batch_of_one_file_is_scored_by_all_cores(spark, tmp_path):
                  trigger={"availableNow": True}).awaitTermination()
     assert len(list((tmp_path / "out" / "scored").glob("batch=0/part-*.parquet"))) >= spark.sparkContext.defaultParallelism
     assert sorted(r.app_id for r in read_scored(spark, f"{tmp_path}/out").collect()) == list(range(60_000))
+
+
+def test_json_lines_are_written_by_all_cores(spark, tmp_path, monkeypatch):
+    class Sent(Exception):
+        pass
+
+    def sent(*args, **kwargs):
+        raise Sent
+    monkeypatch.setattr(Q, "_folder", lambda _: str(tmp_path))
+    monkeypatch.setattr(Q, "fitted", lambda *args, **kwargs: None)
+    monkeypatch.setattr(Q, "score_stream", sent)
+    with pytest.raises(Sent):
+        Q.running_json_stream(spark, SF)
+    assert len(list((tmp_path / "in").glob("part-*"))) >= spark.sparkContext.defaultParallelism
+    assert spark.read.text(f"{tmp_path}/in").count() == 1020
